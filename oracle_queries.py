@@ -173,10 +173,12 @@ RELATIONS: dict[str, str] = {name: _mapped(name) for name in MAPPING} | {
     "given": """
         SELECT answer_id, request_id, variant, response FROM answers
         UNION ALL
-        SELECT 'report-' || patient_id,
-               'q_' || lpad(cast(cast(substr(patient_id, 9) AS bigint) % 20 + 1 AS string), 2, '0'),
-               'improved', '### ' || section
-        FROM report_sections""",
+        SELECT 'report-' || s.patient_id,
+               'q_' || lpad(cast(cast(substr(s.patient_id, 9) AS bigint) % 20 + 1 AS string), 2, '0'),
+               'improved', '### ' || section || chr(10) || '- **Risk Factors:** '
+               || replace(p.risk_factors, '; ', ', ')
+               || chr(10) || '- **Recommendation:** ' || p.recommendations
+        FROM report_sections s JOIN priority p ON s.patient_id = p.patient_id""",
     "texts": """
         SELECT g.*, q.complexity, q.request, q.expected_facts, lower(g.response) AS txt
         FROM given g JOIN questions q ON g.request_id = q.request_id""",

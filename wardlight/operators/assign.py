@@ -87,8 +87,7 @@ def coordinator_slots(tables: ClinicalTables, specialties: str | Sequence[str] |
         places, "turn", [],
         [F.col("slot"), F.desc("available_capacity"), F.desc("years_experience"),
          F.col("coordinator_id")],
-        {"__slot": F.col("slot"),
-         "__standing": F.struct(-F.col("available_capacity"), -F.col("years_experience")),
+        {"__round": F.struct("slot", -F.col("available_capacity"), -F.col("years_experience")),
          "__id": F.substring("coordinator_id", 1, id_prefix)})
 
 
@@ -100,6 +99,7 @@ def assign_coordinators(tables: ClinicalTables, patients: DataFrame,
     The patient of rank k takes place k; patients beyond the last place stay
     in the result without a coordinator. Both numberings are bucketed, so
     neither side is ever sorted in one task, and the join key is unique.
+    ``patients`` is read twice: settle it first if it is costly.
     """
     ranked = distributed_row_number(
         patients.select("patient_id", "priority_score"), "turn", [],

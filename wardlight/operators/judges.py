@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardlight.functions.columns import contains_any, count_contained
+from wardlight.operators.priority import priority_scores
 from wardlight.operators.report import outreach_report_rows, section_text
 from wardlight.sources.clinical import ClinicalTables
 
@@ -36,13 +37,17 @@ def chat_answers(tables: ClinicalTables) -> DataFrame:
 
 
 def report_answers(tables: ClinicalTables) -> DataFrame:
-    """Report paragraphs of all patients, as the answers of the second variant."""
+    """Report paragraph and advice of all patients, as the answers of the second variant."""
     number = F.substring_index("patient_id", "-", -1).cast("bigint") % 20 + 1
-    return outreach_report_rows(tables).select(
+    advice = priority_scores(tables).select("patient_id", "risk_factors", "recommendations")
+    text = F.concat(section_text(),
+                    F.lit("\n- **Risk Factors:** "), F.concat_ws(", ", "risk_factors"),
+                    F.lit("\n- **Recommendation:** "), "recommendations")
+    return outreach_report_rows(tables).join(advice, "patient_id").select(
         F.concat(F.lit("report-"), "patient_id").alias("answer_id"),
         F.concat(F.lit("q_"), F.lpad(number.cast("string"), 2, "0")).alias("request_id"),
         F.lit("improved").alias("variant"),
-        section_text().alias("response"))
+        text.alias("response"))
 
 
 def with_expectations(answers: DataFrame, questions: DataFrame) -> DataFrame:
@@ -190,10 +195,11 @@ def questions_by_complexity(answers: DataFrame) -> DataFrame:
 
 def sample_per_complexity(answers: DataFrame) -> DataFrame:
     """First question of each complexity, with its first answer's id and length."""
-    first = F.struct("request_id", "answer_id")
-    return (answers.groupBy("complexity")
-            .agg(F.min_by(F.struct("request_id", "request", "answer_id",
-                                   F.length("response").alias("response_chars")), first).alias("s"))
+    shown = ("request_id", "request", "answer_id", "response_chars")
+    return (answers.withColumn("response_chars", F.length("response"))
+            .select("complexity", *shown)
+            .groupBy("complexity")
+            .agg(F.min_by(F.struct(*shown), F.struct("request_id", "answer_id")).alias("s"))
             .select("complexity", "s.*"))
 
 

@@ -138,6 +138,28 @@ def condition_labels(tables: ClinicalTables) -> DataFrame:
                     F.explode(F.transform(hits, lambda entry: entry["condition"])).alias("condition")))
 
 
+def condition_counts(tables: ClinicalTables) -> DataFrame:
+    """Distinct patients and diagnosis rows of each condition.
+
+    Rows are counted per encounter before the join and per patient after it,
+    one column per condition, so each side is shuffled once and a patient
+    appears once in the last step: a distinct count without a distinct.
+    """
+    code = F.col("icd10_code")
+    per_encounter = (
+        tables.diagnoses.where(has_prefix(code, CONDITION_PREFIXES.values()))
+        .groupBy("encounter_id")
+        .agg(*(F.count_if(code.startswith(p)).alias(c) for c, p in CONDITION_PREFIXES.items())))
+    per_patient = (
+        per_encounter.join(tables.encounters.select("encounter_id", "patient_id"), "encounter_id")
+        .groupBy("patient_id").agg(*(F.sum(c).alias(c) for c in CONDITION_PREFIXES)))
+    totals = per_patient.agg(*(
+        F.struct(F.count_if(F.col(c) > 0).alias("patients"), F.sum(c).alias("diagnosis_rows")).alias(c)
+        for c in CONDITION_PREFIXES))
+    return totals.unpivot([], list(CONDITION_PREFIXES), "condition", "n").select(
+        "condition", "n.patients", "n.diagnosis_rows")
+
+
 def by_mrn(rows: DataFrame, tables: ClinicalTables) -> DataFrame:
     """Patient rows keyed by medical record number instead of patient id."""
     return tables.patients.select("patient_id", "mrn").join(rows, "patient_id").drop("patient_id")

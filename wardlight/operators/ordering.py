@@ -12,63 +12,75 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-
 def _attach(rows: DataFrame, lookup: DataFrame, keys: list[str], column: str) -> DataFrame:
     """Left join of one column of ``lookup`` (unique on ``keys``), null keys included."""
     renamed = lookup.select(*(F.col(k).alias(f"__k_{k}") for k in keys), column)
-    match = reduce(lambda a, b: a & b,
-                   (F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys), F.lit(True))
+    match = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys))
     return rows.join(renamed, match, "left").drop(*(f"__k_{k}" for k in keys))
 
 
-def bucket_offsets(rows: DataFrame, partition_by: list[str], buckets: list[str]) -> DataFrame:
-    """Rows that precede each bucket within its partition key.
+def _rows_before(partition_by: list[str], order_by: str, count: str) -> Column:
+    before = (Window.partitionBy(*partition_by).orderBy(order_by)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    return F.coalesce(F.sum(count).over(before), F.lit(0))
+
+
+def bucket_marks(rows: DataFrame, partition_by: list[str], buckets: list[str]) -> DataFrame:
+    """One mark per bucket: its keys and ``__offset``, the rows before it in its partition.
 
     ``buckets`` run from coarse to fine. Counts combine map-side, and each
     level's running sum spans only the buckets below one parent.
     """
     keys = partition_by + buckets
-    offsets = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    counts = offsets
-    offsets = offsets.withColumn("__offset", F.lit(0).cast("bigint"))
-    for depth in range(len(buckets), 0, -1):
-        level = keys[:len(partition_by) + depth]
-        parent = level[:-1]
-        before = Window.partitionBy(*parent).orderBy(level[-1]).rowsBetween(
-            Window.unboundedPreceding, -1)
-        running = (counts.groupBy(*level).agg(F.sum("__n").alias("__m"))
-                   .withColumn("__before", F.coalesce(F.sum("__m").over(before), F.lit(0))))
-        offsets = (_attach(offsets, running, level, "__before")
-                   .withColumn("__offset", F.col("__offset") + F.col("__before"))
-                   .drop("__before"))
-    return offsets.select(*keys, "__n", "__offset")
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    marks = counts.withColumn("__offset", _rows_before(keys[:-1], keys[-1], "__n"))
+    for depth in range(len(keys) - 1, len(partition_by), -1):
+        level = keys[:depth]
+        totals = (counts.groupBy(*level).agg(F.sum("__n").alias("__m"))
+                  .withColumn("__before", _rows_before(level[:-1], level[-1], "__m")))
+        marks = (_attach(marks, totals, level, "__before")
+                 .withColumn("__offset", F.col("__offset") + F.col("__before")))
+    return marks.select(*keys, "__offset")
+
+
+def number_after_marks(rows: DataFrame, marks: DataFrame, name: str, keys: list[str],
+                       order_by: list[Column], spread: dict[str, str]) -> DataFrame:
+    """Number the rows of each bucket onwards from its mark's ``__offset``.
+
+    Marks are sorted in as the first row of their bucket instead of being
+    joined: one shuffle, and null keys need no special care. ``spread`` maps
+    further columns of the marks to the names under which every row gets them.
+    """
+    both = rows.withColumn("__rank", F.lit(1)).unionByName(
+        marks.withColumn("__rank", F.lit(0)), allowMissingColumns=True)
+    bucket = Window.partitionBy(*keys).orderBy("__rank", *order_by)
+    so_far = bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = both.withColumns({
+        name: (F.max("__offset").over(so_far) + F.row_number().over(bucket) - 1).cast("bigint"),
+        **{new: F.max(old).over(so_far) for old, new in spread.items()},
+    })
+    return numbered.where(F.col("__rank") == 1).drop("__rank", "__offset", *spread)
 
 
 def distributed_row_number(rows: DataFrame, name: str, partition_by: list[str],
                            order_by: list[Column], buckets: dict[str, Column],
-                           at_most: int | Column | None = None) -> DataFrame:
+                           at_most: int | None = None) -> DataFrame:
     """``row_number()`` over ``partition_by`` ordered by ``order_by``.
 
     ``buckets`` (coarse to fine) must never decrease along ``order_by``; they
     bound how many rows one task sorts. With ``at_most``, rows in buckets that
-    start beyond it are dropped before the sort and the result is exactly the
-    rows whose number is within it.
+    start beyond it are dropped before the sort, and the result is exactly the
+    rows numbered up to it. ``rows`` is evaluated for the counts and again for
+    the numbering, so settle a costly input first.
     """
     tagged = rows.withColumns(buckets)
     keys = partition_by + list(buckets)
-    offsets = bucket_offsets(tagged, partition_by, list(buckets))
-    if at_most is not None:
-        limit = at_most if isinstance(at_most, Column) else F.lit(at_most)
-        offsets = offsets.where(F.col("__offset") < limit)
-    offsets = offsets.select(*(F.col(k).alias(f"__k_{k}") for k in keys), "__offset")
-    match = reduce(lambda a, b: a & b,
-                   (F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys))
-    placed = tagged.join(offsets, match, "inner").drop(*(f"__k_{k}" for k in keys))
-    local = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
-    numbered = placed.withColumn(name, (F.col("__offset") + local).cast("bigint"))
+    marks = bucket_marks(tagged, partition_by, list(buckets))
     if at_most is not None:
-        numbered = numbered.where(F.col(name) <= limit)
-    return numbered.drop("__offset", *buckets)
+        marks = marks.where(F.col("__offset") < at_most)
+        tagged = tagged.join(marks.select(*keys), keys, "left_semi").select(*tagged.columns)
+    numbered = number_after_marks(tagged, marks, name, keys, order_by, {}).drop(*buckets)
+    return numbered if at_most is None else numbered.where(F.col(name) <= at_most)
 
 
 def next_in_group(rows: DataFrame, name: str, key: str, order_by: str, value: Column,

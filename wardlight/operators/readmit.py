@@ -6,27 +6,32 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from wardlight.functions.columns import has_prefix
 from wardlight.operators.lookups import only_patients
-from wardlight.operators.ordering import distributed_row_number, next_in_group
+from wardlight.operators.ordering import next_in_group, number_after_marks
 from wardlight.schema import READMISSION_LOOKAHEAD_DAYS, READMISSION_WINDOW_DAYS
 from wardlight.sources.clinical import ClinicalTables
 
 
-def encounter_sequence(tables: ClinicalTables, id_prefix: int = 14) -> DataFrame:
+def encounter_sequence(tables: ClinicalTables) -> DataFrame:
     """Position of each encounter in its patient's history, and the history's length.
 
-    Numbered by admission date, then encounter id. A patient's stays are cut
-    by date and by the leading ``id_prefix`` characters of the id, so that a
-    patient who holds a large share of all stays is sorted in many tasks.
+    Numbered by admission date, then encounter id. Stays are counted per
+    patient and day, the running counts are taken over days, and only the
+    stays of one day are ever sorted together.
     """
-    stays = tables.encounters.select("patient_id", "encounter_id", "admission_date")
-    numbered = distributed_row_number(
-        stays, "enc_num", ["patient_id"],
-        [F.col("admission_date"), F.col("encounter_id")],
-        {"__day": F.to_date("admission_date"),
-         "__id": F.substring("encounter_id", 1, id_prefix)})
-    totals = stays.groupBy("patient_id").agg(F.count(F.lit(1)).alias("total_encs"))
-    return numbered.join(totals, "patient_id")
+    stays = (tables.encounters.select("patient_id", "encounter_id", "admission_date")
+             .withColumn("__day", F.to_date("admission_date")))
+    history = Window.partitionBy("patient_id")
+    marks = (
+        stays.groupBy("patient_id", "__day").agg(F.count(F.lit(1)).alias("__n"))
+        .select("patient_id", "__day",
+                F.coalesce(F.sum("__n").over(history.orderBy("__day").rowsBetween(
+                    Window.unboundedPreceding, -1)), F.lit(0)).alias("__offset"),
+                F.sum("__n").over(history).alias("__total")))
+    return number_after_marks(
+        stays, marks, "enc_num", ["patient_id", "__day"],
+        [F.col("admission_date"), F.col("encounter_id")], {"__total": "total_encs"}).drop("__day")
 
 
 def readmission_pairs(tables: ClinicalTables, patients: DataFrame | None = None,
@@ -125,15 +130,16 @@ def readmits_last_month(tables: ClinicalTables) -> DataFrame:
 
 
 def top_diagnoses_readmitted(tables: ClinicalTables, top: int = 10) -> DataFrame:
-    """Most frequent codes on stays that led to a 30-day readmission."""
+    """Most frequent codes on stays that led to a 30-day readmission.
+
+    The stay ids on the right are unique, so the join cannot multiply rows;
+    distinct patients are counted by a two-step aggregation.
+    """
     originals = (readmission_pairs(tables).where("is_30_day")
                  .select(F.col("original_encounter_id").alias("encounter_id"), "patient_id"))
-    # Codes are counted per stay before the join, so a stay with very many
-    # diagnosis rows travels as one row per code.
-    per_stay = (tables.diagnoses.groupBy("encounter_id", "icd10_code")
-                .agg(F.count(F.lit(1)).alias("n")))
-    per_patient = (per_stay.join(originals, "encounter_id")
-                   .groupBy("icd10_code", "patient_id").agg(F.sum("n").alias("n")))
+    per_patient = (tables.diagnoses.select("encounter_id", "icd10_code")
+                   .join(originals, "encounter_id")
+                   .groupBy("icd10_code", "patient_id").agg(F.count(F.lit(1)).alias("n")))
     return (per_patient.groupBy("icd10_code")
             .agg(F.sum("n").alias("diagnosis_rows"), F.count(F.lit(1)).alias("patients"))
             .orderBy(F.desc("diagnosis_rows"), "icd10_code").limit(top))
@@ -172,51 +178,51 @@ LACE_EMERGENCY_DAYS = 183
 def lace_index(tables: ClinicalTables) -> DataFrame:
     """LACE readmission index per stay (length, acuity, comorbidity, emergency use).
 
-    Comorbidities count from the first stay of the patient that shows the
-    code group, which is one small row per patient. Emergency visits are first
-    counted per patient and day; the range window then sees days, not stays.
+    Comorbidities count from the first stay of the patient that shows the code
+    group, which makes one small row per patient. They and the emergency
+    visits depend on the patient and the day only, so they are worked out per
+    patient and day, where the range window sees days rather than stays, and
+    joined to the stays once.
     """
     stays = tables.encounters.select(
-        "encounter_id", "patient_id", "admission_date", "length_of_stay", "encounter_type")
+        "encounter_id", "patient_id", F.to_date("admission_date").alias("admission_day"),
+        "length_of_stay", "encounter_type")
     onset_columns = {p: f"onset_{p.lower()}" for p in LACE_COMORBIDITY}
     per_stay = (
         tables.diagnoses
-        .where(F.col("icd10_code").rlike("^(" + "|".join(LACE_COMORBIDITY) + ")"))
+        .where(has_prefix(F.col("icd10_code"), LACE_COMORBIDITY))
         .groupBy("encounter_id")
         .agg(*(F.bool_or(F.col("icd10_code").startswith(p)).alias(p) for p in LACE_COMORBIDITY)))
     onset = (
-        per_stay.join(stays.select("encounter_id", "patient_id", "admission_date"), "encounter_id")
+        per_stay.join(stays.select("encounter_id", "patient_id", "admission_day"), "encounter_id")
         .groupBy("patient_id")
-        .agg(*(F.min(F.when(F.col(p), F.col("admission_date"))).alias(c)
+        .agg(*(F.min(F.when(F.col(p), F.col("admission_day"))).alias(c)
                for p, c in onset_columns.items())))
 
-    day_number = F.datediff("admission_day", F.lit("1970-01-01").cast("date"))
-    half_year = (Window.partitionBy("patient_id").orderBy("day_number")
+    half_year = (Window.partitionBy("patient_id").orderBy(F.unix_date("admission_day"))
                  .rangeBetween(-LACE_EMERGENCY_DAYS, -1))
-    visits = (
-        stays.groupBy("patient_id", F.to_date("admission_date").alias("admission_day"))
-        .agg(F.count_if(F.col("encounter_type") == "Emergency").alias("n"))
-        .withColumn("day_number", day_number)
-        .select("patient_id", "admission_day",
-                F.coalesce(F.sum("n").over(half_year), F.lit(0)).alias("visits")))
-
-    days = F.col("length_of_stay")
+    days = (stays.groupBy("patient_id", "admission_day")
+            .agg(F.count_if(F.col("encounter_type") == "Emergency").alias("n"))
+            .withColumn("visits", F.coalesce(F.sum("n").over(half_year), F.lit(0))))
     comorbidity = F.lit(0)
     for prefix, column in onset_columns.items():
-        seen = F.coalesce(F.col(column) <= F.col("admission_date"), F.lit(False))
+        seen = F.coalesce(F.col(column) <= F.col("admission_day"), F.lit(False))
         comorbidity = comorbidity + seen.cast("int") * LACE_COMORBIDITY[prefix]
+    per_day = (
+        days.join(onset, "patient_id", "left")
+        .withColumn("c_raw", comorbidity)
+        .select("patient_id", "admission_day",
+                F.when(F.col("c_raw") >= 4, 5).otherwise(F.col("c_raw")).alias("c_points"),
+                F.least("visits", F.lit(4)).cast("int").alias("e_points")))
+
+    length = F.col("length_of_stay")
+    points = ("l_points", "a_points", "c_points", "e_points")
     return (
-        stays.withColumn("admission_day", F.to_date("admission_date"))
-        .join(visits, ["patient_id", "admission_day"])
-        .join(onset, "patient_id", "left")
-        .withColumns({
-            "l_points": F.when(days < 1, 0).when(days <= 3, days).when(days <= 6, 4)
-                         .when(days <= 13, 5).otherwise(7),
-            "a_points": F.when(F.col("encounter_type") == "Emergency", 3).otherwise(0),
-            "c_raw": comorbidity,
-            "e_points": F.least("visits", F.lit(4)).cast("int"),
-        })
-        .withColumn("c_points", F.when(F.col("c_raw") >= 4, 5).otherwise(F.col("c_raw")))
-        .select("encounter_id", "patient_id", "l_points", "a_points", "c_points", "e_points",
-                (F.col("l_points") + F.col("a_points") + F.col("c_points") + F.col("e_points"))
-                .alias("lace")))
+        stays.join(per_day, ["patient_id", "admission_day"], "left")
+        .select("encounter_id", "patient_id",
+                F.when(length < 1, 0).when(length <= 3, length).when(length <= 6, 4)
+                 .when(length <= 13, 5).otherwise(7).alias("l_points"),
+                F.when(F.col("encounter_type") == "Emergency", 3).otherwise(0).alias("a_points"),
+                F.coalesce("c_points", F.lit(0)).alias("c_points"),
+                F.coalesce("e_points", F.lit(0)).alias("e_points"))
+        .withColumn("lace", sum((F.col(p) for p in points), F.lit(0))))

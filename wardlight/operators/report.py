@@ -9,6 +9,7 @@ from wardlight.operators.lookups import only_patients, risk_score_lookup
 from wardlight.operators.ordering import distributed_row_number
 from wardlight.operators.priority import latest_sdoh
 from wardlight.schema import HIGH_RISK, TIER_1
+from wardlight.session import settled
 from wardlight.sources.clinical import ClinicalTables
 
 # Marks and phrases of the report.
@@ -115,9 +116,10 @@ def report_document(tables: ClinicalTables, patients: DataFrame | None = None,
     """The report as numbered parts: head with summary, pages of patients, next steps.
 
     Read in order of ``part`` the texts form one document. Pages keep the
-    group that is concatenated small however many patients are reported.
+    group that is concatenated small however many patients are reported. The
+    rows are settled first, since summary and pages both read them.
     """
-    rows = outreach_report_rows(tables, patients)
+    rows = settled(outreach_report_rows(tables, patients), "report")
     page = (F.floor((F.col("place") - 1) / page_size) + 1).cast("int")
     sections = F.array_sort(F.collect_list(F.struct("place", section_text(F.col("place")).alias("text"))))
     pages = (

@@ -100,16 +100,6 @@ def cohort_set_ops(t: ClinicalTables) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def patients_per_condition(t: ClinicalTables) -> DataFrame:
-    """Distinct patients and diagnosis rows of each condition."""
-    per_stay = (lookups.condition_labels(t).groupBy("encounter_id", "condition")
-                .agg(F.count(F.lit(1)).alias("n")))
-    per_patient = (per_stay.join(t.encounters.select("encounter_id", "patient_id"), "encounter_id")
-                   .groupBy("condition", "patient_id").agg(F.sum("n").alias("n")))
-    return per_patient.groupBy("condition").agg(
-        F.count(F.lit(1)).alias("patients"), F.sum("n").alias("diagnosis_rows"))
-
-
 # ---- sampling ----------------------------------------------------------
 
 def sample_n_without_replacement(t: ClinicalTables) -> DataFrame:
@@ -211,7 +201,7 @@ BATCH: dict[str, Plan] = {
         F.count(F.lit(1)).alias("recent_discharges")),
     "diagnoses_by_condition": lambda t: lookups.diagnoses_by_condition(t, "chf"),
     "condition_label_all": lookups.condition_labels,
-    "patients_per_condition": patients_per_condition,
+    "patients_per_condition": lookups.condition_counts,
     "readmission_history": lambda t: readmit.readmission_history(
         t, priority.high_risk_patients(t)),
     "risk_score_lookup": lookups.risk_score_lookup,

@@ -10,6 +10,7 @@ from wardlight.operators.cohorts import recently_discharged
 from wardlight.operators.lookups import only_patients
 from wardlight.operators.priority import latest_sdoh, patient_factors, with_priority
 from wardlight.schema import BARRIERS, HIGH_RISK
+from wardlight.session import settled
 from wardlight.sources.clinical import ClinicalTables
 
 
@@ -46,11 +47,12 @@ def flagship_outreach(tables: ClinicalTables, days_back: int = 7) -> DataFrame:
 
 def outreach_assignments(tables: ClinicalTables, days_back: int = 7) -> DataFrame:
     """The flagship list with a coordinator for each patient while places last."""
-    return assign_coordinators(tables, flagship_outreach(tables, days_back), ["CHF", "COPD"])
+    patients = flagship_outreach(tables, days_back).select("patient_id", "priority_score")
+    return assign_coordinators(tables, settled(patients, "outreach"), ["CHF", "COPD"])
 
 
 def monday_worklist(tables: ClinicalTables, days_back: int = 7) -> DataFrame:
     """Ranked work list: flags, tier and coordinator in one table."""
-    patients = flagship_outreach(tables, days_back)
+    patients = settled(flagship_outreach(tables, days_back), "outreach")
     assigned = assign_coordinators(tables, patients, ["CHF", "COPD"]).drop("priority_score")
     return patients.join(assigned, "patient_id").orderBy(F.desc("priority_score"), "patient_id")

@@ -8,6 +8,7 @@ from wardlight.functions.columns import contact_hours
 from wardlight.operators import assign, cohorts, lookups, priority, readmit, report
 from wardlight.plans import flagship
 from wardlight.schema import BARRIERS
+from wardlight.session import settled
 from wardlight.sources.clinical import ClinicalTables
 
 
@@ -100,12 +101,14 @@ def q_15(t: ClinicalTables) -> DataFrame:
 
 def q_16(t: ClinicalTables) -> DataFrame:
     """Whom to prioritise this week by risk and coordinator capacity."""
-    return assign.assign_coordinators(t, priority.priority_top(t, 18))
+    top = priority.priority_top(t, 18).select("patient_id", "priority_score")
+    return assign.assign_coordinators(t, settled(top, "top"))
 
 
 def q_17(t: ClinicalTables) -> DataFrame:
     """Monday morning readmission prevention report, as document parts."""
-    return report.report_document(t, flagship.flagship_outreach(t))
+    patients = flagship.flagship_outreach(t).select("patient_id")
+    return report.report_document(t, settled(patients, "outreach"))
 
 
 def q_18(t: ClinicalTables) -> DataFrame:
@@ -140,8 +143,9 @@ def q_19(t: ClinicalTables) -> DataFrame:
 
 def q_20(t: ClinicalTables) -> DataFrame:
     """Outreach plan for all high-risk patients by capacity, specialty and acuity."""
-    scores = priority.priority_scores(t, priority.high_risk_patients(t))
-    assigned = assign.assign_coordinators(t, scores, ["CHF", "COPD"])
+    scores = priority.priority_scores(t, priority.high_risk_patients(t)).select(
+        "patient_id", "priority_score")
+    assigned = assign.assign_coordinators(t, settled(scores, "scores"), ["CHF", "COPD"])
     return assigned.select(
         "patient_id", "priority_score", "priority_rank",
         contact_hours(F.col("priority_score")).alias("contact_within_hours"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -46,3 +46,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="wardlight-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def settled(frame: DataFrame, label: str) -> DataFrame:
+    """``frame`` written once to shared storage and read back.
+
+    For an intermediate result that several branches of a plan read: it is
+    computed once, survives the loss of executors, and its real size is known
+    to the planner.
+    """
+    path = scratch_path(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

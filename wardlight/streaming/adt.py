@@ -83,9 +83,12 @@ def score_touched(tables: ClinicalTables, path: str) -> Callable[[DataFrame, int
     a batch run twice after a failure leaves one result.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
-        touched = batch.select("patient_id").distinct()
-        (priority_scores(tables, touched)
-         .write.mode("overwrite").parquet(f"{path}/version={batch_id}"))
+        touched = batch.select("patient_id").distinct().persist()
+        try:
+            (priority_scores(tables, touched)
+             .write.mode("overwrite").parquet(f"{path}/version={batch_id}"))
+        finally:
+            touched.unpersist()
 
     return step
 
