@@ -27,8 +27,8 @@ ADVICE_TIER_3 = "MODERATE: Contact within 72 hours. Standard follow-up."
 
 
 def latest_sdoh(tables: ClinicalTables, patients: DataFrame | None = None) -> DataFrame:
-    """Latest social assessment per patient."""
-    latest = F.max_by(F.struct(*BARRIERS), "last_assessed")
+    """Latest social assessment per patient; an undated one counts as the oldest."""
+    latest = F.max_by(F.struct(*BARRIERS), F.struct("last_assessed", *BARRIERS))
     return (only_patients(tables.sdoh, patients)
             .groupBy("patient_id").agg(latest.alias("latest"))
             .select("patient_id", *(f"latest.{b}" for b in BARRIERS)))

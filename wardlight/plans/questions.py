@@ -118,9 +118,10 @@ def q_18(t: ClinicalTables) -> DataFrame:
         any_barrier = any_barrier | F.col(flag)
     risky = priority.high_risk_patients(t).select("patient_id")
     social = priority.latest_sdoh(t, risky).where(any_barrier)
-    chf = cohorts.with_condition(t, "CHF", patients=social)
-    group = readmit.readmitted_patients(t, chf)
-    return assign.suggest_coordinators(t, group.withColumn("specialty", F.lit("CHF")), ["CHF"])
+    chf = lookups.patient_conditions(t, ["CHF"], social).select(
+        "patient_id", F.when(F.col("chf"), "CHF").alias("specialty"))
+    group = lookups.only_patients(chf, readmit.readmitted_patients(t, chf))
+    return assign.suggest_coordinators(t, group, ["CHF"])
 
 
 def q_19(t: ClinicalTables) -> DataFrame:
