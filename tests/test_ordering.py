@@ -18,9 +18,10 @@ def skewed(spark):
     return spark.createDataFrame(rows, "k string, v int, id string")
 
 
-@pytest.mark.parametrize("levels", [1, 2])
+@pytest.mark.parametrize("levels", [1, 2, 3])
 def test_row_number_equals_window(skewed, levels):
-    buckets = {"b1": F.col("v")} | ({"b2": F.substring("id", 1, 4)} if levels == 2 else {})
+    cuts = {"b1": F.floor(F.col("v") / 3), "b2": F.col("v"), "b3": F.substring("id", 1, 4)}
+    buckets = dict(list(cuts.items())[:levels])
     got = distributed_row_number(skewed, "n", ["k"], [F.col("v"), F.col("id")], buckets)
     plain = skewed.withColumn(
         "n", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")).cast("bigint"))

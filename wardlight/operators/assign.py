@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardlight.operators.lookups import available_coordinators, patient_conditions
-from wardlight.operators.ordering import distributed_row_number
+from wardlight.operators.ordering import distributed_row_number, score_buckets
 from wardlight.sources.clinical import ClinicalTables
 
 # Match labels, and the specialty that earns the second one.
@@ -104,8 +104,7 @@ def assign_coordinators(tables: ClinicalTables, patients: DataFrame,
     ranked = distributed_row_number(
         patients.select("patient_id", "priority_score"), "turn", [],
         [F.desc("priority_score"), F.col("patient_id")],
-        {"__score": -F.col("priority_score"),
-         "__id": F.substring("patient_id", 1, id_prefix)})
+        score_buckets(-F.col("priority_score"), "patient_id", id_prefix))
     places = coordinator_slots(tables, specialties).select(
         "turn", "coordinator_id", F.col("name").alias("coordinator_name"))
     return (ranked.join(places, "turn", "left")

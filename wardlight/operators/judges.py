@@ -74,6 +74,9 @@ def _graded(value: Column, steps: list[tuple[float, int]], best: int) -> Column:
 
 
 def _lowered(answers: DataFrame) -> DataFrame:
+    """Answers with the lower-cased ``text`` the judges read; a missing answer is empty."""
+    if "text" in answers.columns:
+        return answers
     return answers.withColumn("text", F.lower(F.coalesce("response", F.lit(""))))
 
 
@@ -98,7 +101,7 @@ def add_clinical_accuracy(answers: DataFrame, whole_words: bool = False) -> Data
     return (rows.withColumns({
                 "clinical_accuracy": F.when(terms < 2, F.least(grade, F.lit(2))).otherwise(grade),
                 "fact_coverage": F.bround("coverage", 2)})
-            .drop("text", "coverage"))
+            .drop("coverage"))
 
 
 def add_completeness(answers: DataFrame) -> DataFrame:
@@ -107,7 +110,7 @@ def add_completeness(answers: DataFrame) -> DataFrame:
         "sources_mentioned", count_contained(F.col("text"), DATA_SOURCES))
     return rows.withColumn(
         "completeness",
-        _graded(F.col("sources_mentioned"), [(2, 2), (4, 3), (6, 4)], 5)).drop("text")
+        _graded(F.col("sources_mentioned"), [(2, 2), (4, 3), (6, 4)], 5))
 
 
 def add_actionability(answers: DataFrame) -> DataFrame:
@@ -118,7 +121,7 @@ def add_actionability(answers: DataFrame) -> DataFrame:
     rows = _lowered(answers).withColumn("actionable_elements", present)
     return rows.withColumn(
         "actionability",
-        _graded(F.col("actionable_elements"), [(2, 2), (3, 3), (4, 4)], 5)).drop("text")
+        _graded(F.col("actionable_elements"), [(2, 2), (3, 3), (4, 4)], 5))
 
 
 def add_privacy(answers: DataFrame) -> DataFrame:
@@ -130,11 +133,11 @@ def add_privacy(answers: DataFrame) -> DataFrame:
         "privacy": F.when(failed, "FAIL").otherwise("PASS"),
         "compliance_indicators": F.when(
             ~failed, count_contained(F.col("text"), PRIVACY_GREEN_FLAGS)),
-    }).drop("text")
+    })
 
 
 def score_answers(answers: DataFrame) -> DataFrame:
-    """All four judges in one pass over the texts, without any shuffle."""
+    """All four judges in one pass over the texts, lowered once, without any shuffle."""
     scored = add_privacy(add_actionability(add_completeness(add_clinical_accuracy(answers))))
     return scored.select("answer_id", "request_id", "complexity", "variant", "request",
                          *JUDGES, "privacy")

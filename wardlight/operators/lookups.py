@@ -125,7 +125,7 @@ def available_coordinators(tables: ClinicalTables,
 
 
 def condition_labels(tables: ClinicalTables) -> DataFrame:
-    """Every diagnosis with the name of its condition, if it has one.
+    """Every diagnosis of a known condition with the condition's name.
 
     The condition list is a fixed handful, so it is matched as an array inside
     the row; no join is needed, and overlapping prefixes would give one row each.
@@ -134,6 +134,7 @@ def condition_labels(tables: ClinicalTables) -> DataFrame:
                       for c, p in CONDITION_PREFIXES.items()))
     hits = F.filter(known, lambda entry: F.col("icd10_code").startswith(entry["prefix"]))
     return (tables.diagnoses
+            .where(has_prefix(F.col("icd10_code"), CONDITION_PREFIXES.values()))
             .select("diagnosis_id", "encounter_id", "icd10_code",
                     F.explode(F.transform(hits, lambda entry: entry["condition"])).alias("condition")))
 

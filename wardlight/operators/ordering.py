@@ -39,7 +39,7 @@ def bucket_marks(rows: DataFrame, partition_by: list[str], buckets: list[str]) -
         totals = (counts.groupBy(*level).agg(F.sum("__n").alias("__m"))
                   .withColumn("__before", _rows_before(level[:-1], level[-1], "__m")))
         marks = (_attach(marks, totals, level, "__before")
-                 .withColumn("__offset", F.col("__offset") + F.col("__before")))
+                 .withColumn("__offset", F.col("__offset") + F.col("__before")).drop("__before"))
     return marks.select(*keys, "__offset")
 
 
@@ -83,26 +83,32 @@ def distributed_row_number(rows: DataFrame, name: str, partition_by: list[str],
     return numbered if at_most is None else numbered.where(F.col(name) <= at_most)
 
 
+def score_buckets(order: Column, key: str, key_prefix: int) -> dict[str, Column]:
+    """Buckets for rows ordered by a score between -1 and 1, then by ``key``.
+
+    The first level has some two thousand buckets at most, whatever the
+    scores; rows of one score, however many, are cut by the leading
+    characters of their key.
+    """
+    return {"__thousandth": F.floor(order * 1000), "__score": order,
+            "__prefix": F.substring(key, 1, key_prefix)}
+
+
 def next_in_group(rows: DataFrame, name: str, key: str, order_by: str, value: Column,
                   bucket: Column | None = None) -> DataFrame:
     """``lead(value)`` per ``key`` in ``order_by`` order, optionally in buckets.
 
     Without ``bucket`` the caller vouches that a key holds few rows (for
-    example one per calendar day). With it, a key is worked bucket by bucket
-    and a bucket's last row takes the first value of the key's next bucket.
+    example one per calendar day). With it, a key is worked bucket by bucket;
+    the first value of the key's next bucket is sorted in as the last row.
     """
     if bucket is None:
         return rows.withColumn(name, F.lead(value).over(Window.partitionBy(key).orderBy(order_by)))
     tagged = rows.withColumns({"__bucket": bucket, "__value": value})
-    inside = Window.partitionBy(key, "__bucket").orderBy(order_by)
-    tagged = tagged.withColumns({
-        name: F.lead("__value").over(inside),
-        "__last": F.lead(F.lit(1)).over(inside).isNull(),
-    })
-    heads = (tagged.groupBy(key, "__bucket").agg(F.min_by("__value", order_by).alias("__head"))
-             .withColumn("__following", F.lead("__head").over(
-                 Window.partitionBy(key).orderBy("__bucket"))))
-    joined = _attach(tagged, heads, [key, "__bucket"], "__following")
-    return (joined
-            .withColumn(name, F.when(F.col("__last"), F.col("__following")).otherwise(F.col(name)))
-            .drop("__bucket", "__value", "__last", "__following"))
+    following = F.lead("__head").over(Window.partitionBy(key).orderBy("__bucket"))
+    marks = (tagged.groupBy(key, "__bucket").agg(F.min_by("__value", order_by).alias("__head"))
+             .select(key, "__bucket", following.alias("__value"), F.lit(1).alias("__rank")))
+    both = tagged.withColumn("__rank", F.lit(0)).unionByName(marks, allowMissingColumns=True)
+    inside = Window.partitionBy(key, "__bucket").orderBy("__rank", order_by)
+    return (both.withColumn(name, F.lead("__value").over(inside))
+            .where(F.col("__rank") == 0).drop("__rank", "__bucket", "__value"))

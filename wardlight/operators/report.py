@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wardlight.functions.columns import patient_name, tier_label, two_decimals
 from wardlight.operators.lookups import only_patients, risk_score_lookup
-from wardlight.operators.ordering import distributed_row_number
+from wardlight.operators.ordering import distributed_row_number, score_buckets
 from wardlight.operators.priority import latest_sdoh
 from wardlight.schema import HIGH_RISK, TIER_1
 from wardlight.session import settled
@@ -46,10 +46,17 @@ def _patient_picture(tables: ClinicalTables, patients: DataFrame | None) -> Data
 
 
 def outreach_rows_fanout(tables: ClinicalTables, patients: DataFrame | None = None) -> DataFrame:
-    """One row per patient and encounter, patients without encounters included."""
+    """One row per patient and encounter, patients without encounters included.
+
+    A left join cannot be split where one patient has very many encounters,
+    an inner join can; patients without any are added from an anti-join.
+    """
     stays = only_patients(tables.encounters, patients).select(
         "patient_id", "discharge_date", "facility")
-    return _patient_picture(tables, patients).join(stays, "patient_id", "left").select(
+    picture = _patient_picture(tables, patients)
+    alone = picture.join(stays.select("patient_id").distinct(), "patient_id", "left_anti")
+    rows = picture.join(stays, "patient_id").unionByName(alone, allowMissingColumns=True)
+    return rows.select(
         "patient_id", "mrn", "patient_name", "age", "risk_score", "risk_category", "risk_factors",
         "housing_instability", "transportation_barrier", "discharge_date", "facility")
 
@@ -106,7 +113,7 @@ def numbered_rows(report_rows: DataFrame, id_prefix: int = 11) -> DataFrame:
     return distributed_row_number(
         report_rows.withColumn("__order", order), "place", [],
         [F.col("__order"), F.col("patient_id")],
-        {"__score": F.col("__order"), "__id": F.substring("patient_id", 1, id_prefix)},
+        score_buckets(F.col("__order"), "patient_id", id_prefix),
     ).drop("__order")
 
 

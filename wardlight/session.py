@@ -21,6 +21,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Finding the calling line of every column expression doubles the time
+        # it takes to build a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # Split a skewed join even where that costs a further exchange: one
         # patient may hold a large share of the encounters.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
