@@ -61,10 +61,11 @@ def test_overlapping_stay_ends_the_search(clinic, stay):
     assert [(p.original_encounter_id, p.readmit_encounter_id) for p in pairs] == [("e2", "e3")]
 
 
-def test_stays_that_begin_together(clinic, stay):
+@pytest.mark.parametrize("above", [1, 1000])
+def test_stays_that_begin_together(clinic, stay, above):
     tables = clinic(encounters=[stay(1, "p", -100, 2), stay(2, "p", -100, 3),
                                 stay(3, "p", -80, 1), stay(4, "p", -80, 1)])
-    pairs = readmit.readmission_pairs(tables).collect()
+    pairs = readmit.readmission_pairs(tables, crowded_above=above).collect()
     assert [(p.original_encounter_id, p.readmit_encounter_id) for p in pairs] == [("e2", "e3")]
 
 
@@ -72,7 +73,7 @@ def test_pairs_cross_month_buckets(clinic, stay):
     """Timestamps are worked month by month; a plain walk over the sorted stays agrees."""
     stays = [stay(n, f"p{n % 3}", -1000 + 11 * n, 1 + n % 9) for n in range(60)]
     got = {(r.original_encounter_id, r.readmit_encounter_id)
-           for r in readmit.readmission_pairs(clinic(encounters=stays)).collect()}
+           for r in readmit.readmission_pairs(clinic(encounters=stays), crowded_above=5).collect()}
     expected = set()
     for p in {s["patient_id"] for s in stays}:
         mine = sorted((s for s in stays if s["patient_id"] == p), key=lambda s: s["admission_date"])
@@ -242,3 +243,10 @@ def test_checks_find_faults(clinic, stay, person, coordinator):
             found["duplicate_patient"]) == (2, 1, 1)
     derived = {r.check_name: r.violations for r in checks.derived_column_checks(tables).collect()}
     assert derived == {"capacity": 1, "discharge_date": 1, "discharge_before_admission": 0}
+
+
+def test_stays_without_a_patient(clinic, stay):
+    stays = [stay(1, None, -50, 1), stay(2, None, -40, 1), stay(3, "p", -50, 1)]
+    assert readmit.readmission_pairs(clinic(encounters=stays)).count() == 0
+    got = _by(readmit.encounter_sequence(clinic(encounters=stays)), "encounter_id")
+    assert [(got[e].enc_num, got[e].total_encs) for e in ("e1", "e2", "e3")] == [(1, 2), (2, 2), (1, 1)]

@@ -40,7 +40,7 @@ def test_first_n_are_exact(skewed, limit):
 def test_encounter_sequence_of_a_crowded_patient(clinic, stay):
     stays = [stay(f"{n:04d}", "hot", -(n % 40), 1) for n in range(400)]
     stays += [stay(f"x{n}", f"p{n}", -n, 1) for n in range(20)]
-    got = readmit.encounter_sequence(clinic(encounters=stays)).collect()
+    got = readmit.encounter_sequence(clinic(encounters=stays), 100).collect()
     mine = sorted((r.admission_date, r.encounter_id) for r in got if r.patient_id == "hot")
     assert {r.encounter_id: r.enc_num for r in got if r.patient_id == "hot"} == {
         e: n for n, (_, e) in enumerate(mine, start=1)}

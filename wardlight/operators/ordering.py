@@ -12,6 +12,28 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+# A key with more rows than this is worked in buckets. It bounds the list of
+# such keys too: a table of 10^12 rows has fewer than a million of them.
+CROWDED = 1_000_000
+
+
+def split_crowded(rows: DataFrame, key: str, above: int = CROWDED) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary keys, and rows of crowded keys and of no key.
+
+    Ordinary keys can then go through one plain window. The count needs one
+    column and combines map-side. The list of crowded keys has at most
+    rows / ``above`` entries, hence the broadcast; when it is empty, AQE drops
+    the crowded branch before it starts.
+    """
+    crowded = F.broadcast(
+        rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+        .where(F.col("__n") > above).select(key))
+    calm = rows.where(F.col(key).isNotNull()).join(crowded, key, "left_anti")
+    busy = (rows.join(crowded, key, "left_semi")
+            .unionByName(rows.where(F.col(key).isNull())))
+    return calm.select(*rows.columns), busy.select(*rows.columns)
+
+
 def _attach(rows: DataFrame, lookup: DataFrame, keys: list[str], column: str) -> DataFrame:
     """Left join of one column of ``lookup`` (unique on ``keys``), null keys included."""
     renamed = lookup.select(*(F.col(k).alias(f"__k_{k}") for k in keys), column)

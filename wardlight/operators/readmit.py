@@ -8,76 +8,94 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from wardlight.functions.columns import has_prefix
 from wardlight.operators.lookups import only_patients
-from wardlight.operators.ordering import next_in_group, number_after_marks
+from wardlight.operators.ordering import (
+    CROWDED, next_in_group, number_after_marks, split_crowded)
 from wardlight.schema import READMISSION_LOOKAHEAD_DAYS, READMISSION_WINDOW_DAYS
 from wardlight.sources.clinical import ClinicalTables
 
 
-def encounter_sequence(tables: ClinicalTables) -> DataFrame:
+def encounter_sequence(tables: ClinicalTables, crowded_above: int = CROWDED) -> DataFrame:
     """Position of each encounter in its patient's history, and the history's length.
 
-    Numbered by admission date, then encounter id. Stays are counted per
-    patient and day, the running counts are taken over days, and only the
-    stays of one day are ever sorted together.
+    Numbered by admission date, then encounter id: by one window for ordinary
+    patients. A crowded patient's stays are counted per day, the running
+    counts are taken over days, and only the stays of one day are sorted
+    together.
     """
-    stays = (tables.encounters.select("patient_id", "encounter_id", "admission_date")
-             .withColumn("__day", F.to_date("admission_date")))
+    stays = tables.encounters.select("patient_id", "encounter_id", "admission_date")
+    order = [F.col("admission_date"), F.col("encounter_id")]
+    calm, busy = split_crowded(stays, "patient_id", crowded_above)
     history = Window.partitionBy("patient_id")
+    plain = calm.withColumns({
+        "enc_num": F.row_number().over(history.orderBy(*order)).cast("bigint"),
+        "total_encs": F.count(F.lit(1)).over(history)})
+
+    busy = busy.withColumn("__day", F.to_date("admission_date"))
     marks = (
-        stays.groupBy("patient_id", "__day").agg(F.count(F.lit(1)).alias("__n"))
+        busy.groupBy("patient_id", "__day").agg(F.count(F.lit(1)).alias("__n"))
         .select("patient_id", "__day",
                 F.coalesce(F.sum("__n").over(history.orderBy("__day").rowsBetween(
                     Window.unboundedPreceding, -1)), F.lit(0)).alias("__offset"),
                 F.sum("__n").over(history).alias("__total")))
-    return number_after_marks(
-        stays, marks, "enc_num", ["patient_id", "__day"],
-        [F.col("admission_date"), F.col("encounter_id")], {"__total": "total_encs"}).drop("__day")
+    bucketed = number_after_marks(
+        busy, marks, "enc_num", ["patient_id", "__day"], order, {"__total": "total_encs"})
+    return plain.unionByName(bucketed.drop("__day"))
+
+
+def _next_of_crowded(stays: DataFrame) -> DataFrame:
+    """``next_id`` and ``next_admission`` for patients with very many stays.
+
+    Of stays that begin together only the last (by id) can be followed and
+    only the first can follow, so they combine before the shuffle and the
+    window sees one row per patient and admission time; times finer than days
+    are cut by month as well.
+    """
+    held = [c for c in stays.columns if c not in ("patient_id", "admission_date")]
+    starts = (stays.groupBy("patient_id", "admission_date")
+              .agg(F.max_by(F.struct(*held), "encounter_id").alias("stay"),
+                   F.min("encounter_id").alias("first_id")))
+    timed = not isinstance(stays.schema["admission_date"].dataType, T.DateType)
+    linked = next_in_group(
+        starts, "next", "patient_id", "admission_date", F.struct("first_id", "admission_date"),
+        F.trunc("admission_date", "month") if timed else None)
+    return linked.select("patient_id", "admission_date", "stay.*",
+                         F.col("next.first_id").alias("next_id"),
+                         F.col("next.admission_date").alias("next_admission"))
 
 
 def readmission_pairs(tables: ClinicalTables, patients: DataFrame | None = None,
-                      carry: Sequence[str] = ()) -> DataFrame:
+                      carry: Sequence[str] = (), crowded_above: int = CROWDED) -> DataFrame:
     """Each stay followed, as the patient's very next stay, by one within a year.
 
     The next admission must come after the discharge and at most 365 days
     later; an overlapping next stay ends the search rather than being skipped.
-    Of stays that begin together only the last (by id) can be followed and
-    only the first can follow, so they combine before the shuffle and the
-    window sees one row per patient and admission time. ``carry`` names
-    further columns of the first stay to keep.
+    One window finds the next stay, not a self-join; crowded patients take
+    their own path. ``carry`` names further columns of the first stay to keep.
 
     The id is made of the two encounter ids: no global numbering is needed.
     """
-    held = ["encounter_id", "discharge_date", *carry]
-    stays = (
-        only_patients(tables.encounters, patients)
-        .groupBy("patient_id", "admission_date")
-        .agg(F.max_by(F.struct(*held), "encounter_id").alias("stay"),
-             F.min("encounter_id").alias("first_id"))
-    )
-    following = F.struct(F.col("first_id").alias("encounter_id"), F.col("admission_date"))
-    # One row per day is few enough for one task; finer times are cut by month.
-    timed = not isinstance(stays.schema["admission_date"].dataType, T.DateType)
-    linked = next_in_group(stays, "next", "patient_id", "admission_date", following,
-                           F.trunc("admission_date", "month") if timed else None)
-    days = F.datediff("readmit_admission_date", "original_discharge_date")
+    stays = (only_patients(tables.encounters, patients)
+             .where(F.col("patient_id").isNotNull())
+             .select("patient_id", "admission_date", "encounter_id", "discharge_date", *carry))
+    calm, busy = split_crowded(stays, "patient_id", crowded_above)
+    history = Window.partitionBy("patient_id").orderBy("admission_date", "encounter_id")
+    linked = calm.withColumns({
+        "next_id": F.lead("encounter_id").over(history),
+        "next_admission": F.lead("admission_date").over(history),
+    }).unionByName(_next_of_crowded(busy))
+    days = F.datediff("next_admission", "discharge_date")
     return (
         linked
-        .select("patient_id",
-                F.col("stay.encounter_id").alias("original_encounter_id"),
-                F.col("next.encounter_id").alias("readmit_encounter_id"),
-                F.col("stay.discharge_date").alias("original_discharge_date"),
-                F.col("next.admission_date").alias("readmit_admission_date"),
-                *(F.col(f"stay.{name}").alias(name) for name in carry))
-        .where((F.col("readmit_admission_date") > F.col("original_discharge_date"))
+        .where((F.col("next_admission") > F.col("discharge_date"))
                & (days <= READMISSION_LOOKAHEAD_DAYS))
-        .withColumns({
-            "days_between": days,
-            "is_30_day": days <= READMISSION_WINDOW_DAYS,
-            "readmission_id": F.concat_ws("-", F.lit("readmit"), "original_encounter_id",
-                                          "readmit_encounter_id"),
-        })
-        .select("readmission_id", "patient_id", "original_encounter_id", "readmit_encounter_id",
-                "original_discharge_date", "readmit_admission_date", "days_between", "is_30_day",
+        .select(F.concat_ws("-", F.lit("readmit"), "encounter_id", "next_id").alias("readmission_id"),
+                "patient_id",
+                F.col("encounter_id").alias("original_encounter_id"),
+                F.col("next_id").alias("readmit_encounter_id"),
+                F.col("discharge_date").alias("original_discharge_date"),
+                F.col("next_admission").alias("readmit_admission_date"),
+                days.alias("days_between"),
+                (days <= READMISSION_WINDOW_DAYS).alias("is_30_day"),
                 *carry)
     )
 
