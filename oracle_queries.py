@@ -470,12 +470,36 @@ _SQL: dict[str, str] = {
                         ON discharge_date >= day - 7 AND discharge_date <= day) d ON d.day = w.day
              JOIN report_rows r ON r.patient_id = d.patient_id
         GROUP BY w.day""",
-    "judge_clinical_accuracy": "SELECT answer_id, clinical_accuracy, fact_coverage FROM judged",
-    "judge_completeness": "SELECT answer_id, completeness, sources_mentioned FROM judged",
-    "judge_actionability": "SELECT answer_id, actionability, actionable_elements FROM judged",
+    "judge_clinical_accuracy": """
+        SELECT answer_id, clinical_accuracy, fact_coverage,
+               CASE WHEN coverage < 0.3 THEN 'Missing most expected clinical facts'
+                    WHEN coverage < 0.6 THEN 'Missing some key clinical facts'
+                    WHEN coverage < 0.8 THEN 'Most clinical facts present'
+                    ELSE 'All key clinical facts present' END
+               || CASE WHEN terms < 2 THEN '; Limited use of clinical terminology' ELSE '' END
+                 AS clinical_rationale
+        FROM judged""",
+    "judge_completeness": """
+        SELECT answer_id, completeness, sources_mentioned,
+               CASE WHEN sources_mentioned < 2 THEN 'Very limited data source coverage'
+                    WHEN sources_mentioned < 4 THEN 'Some data sources checked'
+                    WHEN sources_mentioned < 6 THEN 'Good data source coverage'
+                    ELSE 'Comprehensive data source coverage' END AS completeness_rationale
+        FROM judged""",
+    "judge_actionability": """
+        SELECT answer_id, actionability, actionable_elements,
+               CASE WHEN actionable_elements < 2 THEN 'Limited actionable guidance'
+                    WHEN actionable_elements < 3 THEN 'Some actionable elements'
+                    WHEN actionable_elements < 4 THEN 'Good actionable recommendations'
+                    ELSE 'Highly actionable with clear next steps' END AS actionability_rationale
+        FROM judged""",
     "judge_privacy": f"""
         SELECT answer_id, CASE WHEN violations = '' THEN 'PASS' ELSE 'FAIL' END AS privacy,
-               CASE WHEN violations = '' THEN {_found(_GREEN)} END AS compliance_indicators, violations
+               CASE WHEN violations = '' THEN {_found(_GREEN)} END AS compliance_indicators, violations,
+               CASE WHEN violations = ''
+                    THEN 'No HIPAA violations detected; data stays within Databricks'
+                    ELSE 'Potential HIPAA violation: ' || replace(violations, '; ', ', ') END
+                 AS privacy_rationale
         FROM (SELECT *, concat_ws('; ', {', '.join(
             f"CASE WHEN contains(txt, {_quoted(w)}) THEN {_quoted(w)} END" for w in _RED)})
               AS violations FROM texts)""",

@@ -37,6 +37,9 @@ def test_clinical_accuracy(spark):
             grade = min(grade, 2)
         row = got[f"a{i}"]
         assert (row.clinical_accuracy, row.fact_coverage) == (grade, round(share, 2)), text
+    assert got["a4"].clinical_rationale == (
+        "All key clinical facts present; Limited use of clinical terminology")
+    assert got["a3"].clinical_rationale == "Missing some key clinical facts"
 
 
 def test_whole_word_facts(spark):
@@ -62,6 +65,7 @@ def test_privacy(spark):
     got = collected(judges.add_privacy(rows(spark)))
     assert (got["a5"].privacy, got["a5"].violations, got["a5"].compliance_indicators) == (
         "FAIL", ["third party", "export", "email"], None)
+    assert got["a5"].privacy_rationale == "Potential HIPAA violation: third party, export, email"
     assert (got["a9"].privacy, got["a9"].compliance_indicators) == ("PASS", 3)
 
 

@@ -25,6 +25,18 @@ ACTION_GROUPS = {
 PRIVACY_RED_FLAGS = ("external api", "third party", "export", "email", "download", "share outside")
 PRIVACY_GREEN_FLAGS = ("databricks", "unity catalog", "within", "synthetic", "hipaa")
 
+# The judges' remarks, by score.
+CLINICAL_REMARKS = {1: "Missing most expected clinical facts", 3: "Missing some key clinical facts",
+                    4: "Most clinical facts present", 5: "All key clinical facts present"}
+FEW_TERMS_REMARK = "Limited use of clinical terminology"
+COMPLETENESS_REMARKS = {2: "Very limited data source coverage", 3: "Some data sources checked",
+                        4: "Good data source coverage", 5: "Comprehensive data source coverage"}
+ACTION_REMARKS = {2: "Limited actionable guidance", 3: "Some actionable elements",
+                  4: "Good actionable recommendations",
+                  5: "Highly actionable with clear next steps"}
+PRIVACY_FAIL_REMARK = "Potential HIPAA violation: "
+PRIVACY_PASS_REMARK = "No HIPAA violations detected; data stays within Databricks"
+
 JUDGES = ("clinical_accuracy", "completeness", "actionability")
 VARIANTS = ("basic", "improved")
 LOW_SCORE = 3
@@ -73,6 +85,10 @@ def _graded(value: Column, steps: list[tuple[float, int]], best: int) -> Column:
     return grade.otherwise(best)
 
 
+def _remark(score: Column, remarks: dict[int, str]) -> Column:
+    return F.coalesce(*(F.when(score == n, text) for n, text in remarks.items()))
+
+
 def _lowered(answers: DataFrame) -> DataFrame:
     """Answers with the lower-cased ``text`` the judges read; a missing answer is empty."""
     if "text" in answers.columns:
@@ -100,6 +116,8 @@ def add_clinical_accuracy(answers: DataFrame, whole_words: bool = False) -> Data
     terms = count_contained(F.col("text"), CLINICAL_TERMS)
     return (rows.withColumns({
                 "clinical_accuracy": F.when(terms < 2, F.least(grade, F.lit(2))).otherwise(grade),
+                "clinical_rationale": F.concat_ws(
+                    "; ", _remark(grade, CLINICAL_REMARKS), F.when(terms < 2, FEW_TERMS_REMARK)),
                 "fact_coverage": F.bround("coverage", 2)})
             .drop("coverage"))
 
@@ -110,7 +128,8 @@ def add_completeness(answers: DataFrame) -> DataFrame:
         "sources_mentioned", count_contained(F.col("text"), DATA_SOURCES))
     return rows.withColumn(
         "completeness",
-        _graded(F.col("sources_mentioned"), [(2, 2), (4, 3), (6, 4)], 5))
+        _graded(F.col("sources_mentioned"), [(2, 2), (4, 3), (6, 4)], 5)).withColumn(
+        "completeness_rationale", _remark(F.col("completeness"), COMPLETENESS_REMARKS))
 
 
 def add_actionability(answers: DataFrame) -> DataFrame:
@@ -121,7 +140,8 @@ def add_actionability(answers: DataFrame) -> DataFrame:
     rows = _lowered(answers).withColumn("actionable_elements", present)
     return rows.withColumn(
         "actionability",
-        _graded(F.col("actionable_elements"), [(2, 2), (3, 3), (4, 4)], 5))
+        _graded(F.col("actionable_elements"), [(2, 2), (3, 3), (4, 4)], 5)).withColumn(
+        "actionability_rationale", _remark(F.col("actionability"), ACTION_REMARKS))
 
 
 def add_privacy(answers: DataFrame) -> DataFrame:
@@ -133,6 +153,9 @@ def add_privacy(answers: DataFrame) -> DataFrame:
         "privacy": F.when(failed, "FAIL").otherwise("PASS"),
         "compliance_indicators": F.when(
             ~failed, count_contained(F.col("text"), PRIVACY_GREEN_FLAGS)),
+        "privacy_rationale": F.when(
+            failed, F.concat(F.lit(PRIVACY_FAIL_REMARK), F.array_join("violations", ", ")))
+            .otherwise(PRIVACY_PASS_REMARK),
     })
 
 

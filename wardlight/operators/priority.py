@@ -35,7 +35,7 @@ def latest_sdoh(tables: ClinicalTables, patients: DataFrame | None = None) -> Da
 
 
 def patient_factors(tables: ClinicalTables, patients: DataFrame | None = None) -> DataFrame:
-    """One row per patient: risk score (or null) and the four factor flags.
+    """One row per patient: risk score (or null), the four factor flags, all barriers.
 
     Every joined side is already one row per patient and hash-partitioned on
     it, so the joins add no exchange of their own.
@@ -45,14 +45,15 @@ def patient_factors(tables: ClinicalTables, patients: DataFrame | None = None) -
     readmitted = readmitted_patients(tables, patients).withColumn("has_readmission", F.lit(True))
     conditions = (patient_conditions(tables, ["CHF", "COPD"], patients)
                   .select("patient_id", (F.col("chf") | F.col("copd")).alias("has_chf_copd")))
-    social = latest_sdoh(tables, patients).select(
-        "patient_id", F.col("transportation_barrier").alias("has_transport"),
-        F.col("housing_instability").alias("has_housing"))
     joined = base
-    for side in (risk, readmitted, social, conditions):
+    for side in (risk, readmitted, latest_sdoh(tables, patients), conditions):
         joined = joined.join(side, "patient_id", "left")
-    return joined.select("patient_id", "risk_score",
-                         *(F.coalesce(flag, F.lit(False)).alias(flag) for flag in FACTORS))
+    flags = {"has_readmission": "has_readmission", "has_transport": "transportation_barrier",
+             "has_housing": "housing_instability", "has_chf_copd": "has_chf_copd"}
+    return joined.select(
+        "patient_id", "risk_score",
+        *(F.coalesce(column, F.lit(False)).alias(flag) for flag, column in flags.items()),
+        *(F.coalesce(barrier, F.lit(False)).alias(barrier) for barrier in BARRIERS))
 
 
 def with_priority(factors: DataFrame) -> DataFrame:

@@ -133,22 +133,23 @@ def _scores(t: ClinicalTables) -> DataFrame:
 
 def judge_clinical_accuracy(t: ClinicalTables) -> DataFrame:
     return judges.add_clinical_accuracy(judges.all_answers(t)).select(
-        "answer_id", "clinical_accuracy", "fact_coverage")
+        "answer_id", "clinical_accuracy", "fact_coverage", "clinical_rationale")
 
 
 def judge_completeness(t: ClinicalTables) -> DataFrame:
     return judges.add_completeness(judges.all_answers(t)).select(
-        "answer_id", "completeness", "sources_mentioned")
+        "answer_id", "completeness", "sources_mentioned", "completeness_rationale")
 
 
 def judge_actionability(t: ClinicalTables) -> DataFrame:
     return judges.add_actionability(judges.all_answers(t)).select(
-        "answer_id", "actionability", "actionable_elements")
+        "answer_id", "actionability", "actionable_elements", "actionability_rationale")
 
 
 def judge_privacy(t: ClinicalTables) -> DataFrame:
     return _joined(judges.add_privacy(judges.all_answers(t)).select(
-        "answer_id", "privacy", "compliance_indicators", "violations"), "violations")
+        "answer_id", "privacy", "compliance_indicators", "violations", "privacy_rationale"),
+        "violations")
 
 
 # ---- streaming ---------------------------------------------------------

@@ -8,7 +8,7 @@ from wardlight.functions.columns import tier_label
 from wardlight.operators.assign import assign_coordinators
 from wardlight.operators.cohorts import recently_discharged
 from wardlight.operators.lookups import only_patients
-from wardlight.operators.priority import latest_sdoh, patient_factors, with_priority
+from wardlight.operators.priority import patient_factors, with_priority
 from wardlight.schema import BARRIERS, HIGH_RISK
 from wardlight.session import settled
 from wardlight.sources.clinical import ClinicalTables
@@ -33,16 +33,9 @@ def flagship_outreach(tables: ClinicalTables, days_back: int = 7) -> DataFrame:
     cohort = high_risk_recent(tables, days_back)
     factors = patient_factors(tables, cohort).where(
         (F.col("risk_score") > HIGH_RISK) & F.col("has_chf_copd") & F.col("has_readmission"))
-    scored = with_priority(factors)
-    social = latest_sdoh(tables, cohort)
-    return (
-        scored
-        .join(cohort, "patient_id")
-        .join(social, "patient_id", "left")
-        .select("patient_id", "last_discharge", "risk_score", "priority_score",
-                tier_label(F.col("priority_score")).alias("tier"),
-                *(F.coalesce(b, F.lit(False)).alias(b) for b in BARRIERS))
-    )
+    return with_priority(factors).join(cohort, "patient_id").select(
+        "patient_id", "last_discharge", "risk_score", "priority_score",
+        tier_label(F.col("priority_score")).alias("tier"), *BARRIERS)
 
 
 def outreach_assignments(tables: ClinicalTables, days_back: int = 7) -> DataFrame:
