@@ -112,8 +112,9 @@ def score_buckets(order: Column, key: str, key_prefix: int) -> dict[str, Column]
     scores; rows of one score, however many, are cut by the leading
     characters of their key.
     """
-    return {"__thousandth": F.floor(order * 1000), "__score": order,
-            "__prefix": F.substring(key, 1, key_prefix)}
+    return {"__thousandth": F.floor(order * 1000),
+            "__standing": F.struct(order.alias("score"),
+                                   F.substring(key, 1, key_prefix).alias("prefix"))}
 
 
 def next_in_group(rows: DataFrame, name: str, key: str, order_by: str, value: Column,
