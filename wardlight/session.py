@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Scratch folder of a local session that names none, as in tests.
+LOCAL_SCRATCH = "/tmp/checkpoints"
+_written: list[str] = []
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "wardlight", **extra: str) -> SparkSession:
@@ -41,14 +44,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the folder that every executor can reach.
 
     The cluster names the folder in ``spark.checkpoint.dir``. Only a local
-    session, as in tests, may fall back to a temporary folder of the machine.
+    session that names none, as in tests, gets one of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="wardlight-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        base = LOCAL_SCRATCH
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def settled(frame: DataFrame, label: str) -> DataFrame:
@@ -56,8 +61,24 @@ def settled(frame: DataFrame, label: str) -> DataFrame:
 
     For an intermediate result that several branches of a plan read: it is
     computed once, survives the loss of executors, and its real size is known
-    to the planner.
+    to the planner. The write runs when this is called, so a plan that settles
+    something does part of its work while it is being built.
     """
     path = scratch_path(frame.sparkSession, label)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Remove every folder that this process has settled; returns how many.
+
+    Call it when the results that were built on them have been written:
+    frames that still read a settled folder fail afterwards.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _written:
+        path = hadoop(_written.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed
