@@ -6,14 +6,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wardlight.llm.language import language_table
+from wardlight.llm.language_model import score_documents
+from wardlight.llm.licenses import license_table
+from wardlight.llm.linededup import line_table
 from wardlight.llm.mixing import mix_table
 from wardlight.llm.packing import pack
+from wardlight.llm.parity_join import similarity_classes
+from wardlight.llm.privacy import privacy_table
+from wardlight.llm.quality import quality_table
+from wardlight.llm.search import nearest_table
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_classes(_table(spark, sf_dir, "documents"))
+
+
+def op2_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_table(_table(spark, sf_dir, "documents"))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_table(_table(spark, sf_dir, "documents"))
+
+
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy_table(_table(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_table(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -21,10 +49,25 @@ def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
                 public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096)
 
 
+def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_table(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_table(_table(spark, sf_dir, "documents"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_table(_table(spark, sf_dir, "documents"))
+
+
+def op10_log_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op6_pack_sequences, op8_mix_sources)}
+    query.__name__: query for query in (
+        op1_similar_documents, op2_repeated_lines, op3_language, op4_personal_data, op5_quality,
+        op6_pack_sequences, op7_nearest_vectors, op8_mix_sources, op9_licenses,
+        op10_log_probability)}
 ORACLES: dict[str, str] = {}
