@@ -11,6 +11,7 @@ from wardlight.llm.language_model import score_documents
 from wardlight.llm.licenses import license_table
 from wardlight.llm.linededup import line_table
 from wardlight.llm.mixing import mix_table
+from wardlight.llm.oracles import ORACLES  # noqa: F401
 from wardlight.llm.packing import pack
 from wardlight.llm.parity_join import similarity_classes
 from wardlight.llm.privacy import privacy_table
@@ -70,4 +71,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_similar_documents, op2_repeated_lines, op3_language, op4_personal_data, op5_quality,
         op6_pack_sequences, op7_nearest_vectors, op8_mix_sources, op9_licenses,
         op10_log_probability)}
-ORACLES: dict[str, str] = {}
