@@ -8,25 +8,31 @@ left, so finding the first sequence with room takes logarithmic time.
 Defined cases: null text is empty and gives one piece with the end id alone;
 repeated rows are packed once each; a null ``doc_id`` is kept; an empty table
 gives no piece; further columns are ignored. Long texts are tokenized section by
-section, so memory does not grow with a text.
+section.
 """
 
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wardlight.llm.words import SECTION_BYTES, as_bytes, sections
+from wardlight.llm.words import as_bytes, sections, word_hashes
 from wardlight.session import settled
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")
 PACKED = PIECES + ", sequence_id bigint, offset bigint"
 # Words whose ids one worker remembers; beyond it the memory is begun anew.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 600_000
+# Bytes whose words are looked up together.
+GROUP_BYTES = 8 << 20
+# Punctuation that may end a word: the vocabulary splits between a letter or digit and these.
+_TAIL = b".,;:!?|#$%&*"
 # Pieces that one group packs, on average.
 GROUP_PIECES = 20_000
 
@@ -34,51 +40,94 @@ GROUP_PIECES = 20_000
 class WordIds:
     """Token ids of words.
 
-    The vocabulary splits at white space before anything else, so a text's
-    ids are its words' ids in order.
+    The vocabulary splits at white space and between letters and punctuation
+    before anything else, and has no case, so a text's ids are its words' ids in
+    order, and many words share a stem. Each stem is encoded once and remembered.
     """
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.closes[number] = token.endswith("</w>")
         self.forget()
 
     def forget(self) -> None:
-        self.slots: dict[bytes, int] = {b"\n": 0}
-        self.ids = [np.array([self.end_id], dtype=np.uint32)]
-        self.lengths = [1]
-        self.flat = None
-
-    def _learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words],
-                                                 add_special_tokens=False)
-        for word, encoded in zip(words, found):
-            ids = encoded.ids
-            self.slots[word] = len(self.lengths)
-            self.ids.append(np.array(ids, dtype=np.uint32))
-            self.lengths.append(len(ids))
-        self.flat = None
-
-    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of ``words`` in order, and the ids before each word (one entry more)."""
+        self.slots: dict[int, int] = {}
+        self.stems: dict[bytes, list[int]] = {}
+        self.ids = array("I", [self.end_id])
+        self.lengths = array("q", [1])
+
+    def _whole(self, words: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(
+            [w.decode() for w in words], add_special_tokens=False)]
+
+    def _alphabetic(self, words: list[bytes], at_once: int = 500) -> list[list[int]]:
+        """Ids of words of letters only: one run each, so the ids that close a run part them."""
+        found = []
+        for begin in range(0, len(words), at_once):
+            some = words[begin:begin + at_once]
+            ids = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids
+            ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
+            if len(ends) == len(some):
+                found += [ids[a:b] for a, b in zip([0, *ends], ends)]
+            else:
+                found += self._whole(some)
+        return found
+
+    def _learn_stems(self, stems: list[bytes]) -> None:
+        letters, others = [], []
+        for stem in stems:
+            (letters if stem.decode().lower().isalpha() else others).append(stem)
+        self.stems.update(zip(letters, self._alphabetic(letters)))
+        self.stems.update(zip(others, self._whole(others)))
+
+    def _learn(self, hashes: list[int], words: list[bytes]) -> None:
+        parted = []
+        for word in words:
+            stem = word.rstrip(_TAIL)
+            plain = stem and len(stem) < len(word) and (
+                stem[-1:].isalnum() if stem[-1] < 128 else stem.decode()[-1].isalpha())
+            parted.append((stem, word[len(stem):]) if plain else (word,))
+        self._learn_stems([s for s in dict.fromkeys(s for parts in parted for s in parts)
+                           if s not in self.stems])
+        for value, parts in zip(hashes, parted):
+            before = len(self.ids)
+            for stem in parts:
+                self.ids.extend(self.stems[stem])
+            self.slots[value] = len(self.lengths)
+            self.lengths.append(len(self.ids) - before)
+
+    def encode(self, data: bytes, end_places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words of ``data`` with the end id put in before the given byte places;
+        also how many ids stand before the end of each of these texts."""
         if len(self.lengths) > REMEMBERED_WORDS:
             self.forget()
-        get = self.slots.get
-        slots = [get(w) for w in words]
-        new = dict.fromkeys(w for w, s in zip(words, slots) if s is None)
+        if b"<|" not in data:
+            # Only a special token's own spelling tells upper from lower case.
+            data = data.lower()
+        hashes, starts, ends = word_hashes(data)
+        codes, distinct = pd.factorize(hashes)
+        first = np.empty(len(distinct), dtype=np.int64)
+        first[codes[::-1]] = np.arange(len(codes))[::-1]
+        values = distinct.tolist()
+        new = [i for i, v in enumerate(values) if v not in self.slots]
         if new:
-            self._learn(list(new))
-            slots = [self.slots[w] if s is None else s for w, s in zip(words, slots)]
-        if self.flat is None:
-            lengths = np.array(self.lengths, dtype=np.int64)
-            self.flat = (np.concatenate(self.ids), lengths, np.cumsum(lengths) - lengths)
-        flat, lengths, begins = self.flat
-        slots = np.array(slots, dtype=np.int64)
+            at = first[new]
+            self._learn([values[i] for i in new], [
+                data[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+        known = np.array([self.slots[v] for v in values], dtype=np.int64)
+        slots = known[codes] if len(codes) else np.zeros(0, dtype=np.int64)
+        text_ends = np.searchsorted(starts, end_places)
+        slots = np.insert(slots, text_ends, 0)
+        flat, lengths = np.array(self.ids, dtype=np.uint32), np.array(self.lengths)
+        begins = (np.cumsum(lengths) - lengths)[slots]
         counts = lengths[slots]
         before = np.concatenate([[0], np.cumsum(counts)])
-        places = np.arange(before[-1]) + np.repeat(begins[slots] - before[:-1], counts)
-        return flat[places], before
+        places = np.arange(before[-1]) + np.repeat(begins - before[:-1], counts)
+        return flat[places], before[text_ends + np.arange(1, len(text_ends) + 1)]
 
 
 _encoders: dict[tuple[str, int], WordIds] = {}
@@ -116,23 +165,24 @@ def _piece_rows(path: str, end_id: int, capacity: int):
             rows = []
             first = 0
             while first < len(texts):
-                end, words, ends = first, [], []
-                while end < len(texts) and len(texts[end] or b"") <= SECTION_BYTES and (
-                        len(words) < 200_000):
-                    words.extend((texts[end] or b"").split())
-                    words.append(b"\n")
-                    ends.append(len(words))
+                end, size = first, 0
+                while end < len(texts) and (size + len(texts[end] or b"")) <= GROUP_BYTES:
+                    size += len(texts[end] or b"") + 1
                     end += 1
-                if words:
-                    ids, before = encoder.encode(words)
+                if end > first:
+                    some = [t or b"" for t in texts[first:end]]
+                    ids, stops = encoder.encode(
+                        b"\n".join(some), np.cumsum([len(t) + 1 for t in some]))
                     begin = 0
-                    for key, stop in zip(keys[first:end], ends):
-                        pieces, total = _cut(iter([ids[before[begin]:before[stop]]]), capacity)
+                    for key, stop in zip(keys[first:end], stops.tolist()):
+                        pieces, total = _cut(iter([ids[begin:stop]]), capacity)
                         rows += [(key, *piece, total) for piece in pieces]
                         begin = stop
                 else:
                     end = first + 1
-                    parts = (encoder.encode(s.split())[0] for s in sections(texts[first]))
+                    nothing = np.zeros(0, dtype=np.int64)
+                    parts = (encoder.encode(s, nothing)[0]
+                             for s in sections(texts[first], GROUP_BYTES))
                     pieces, total = _cut((p for part in (parts, [np.array([end_id])])
                                           for p in part), capacity)
                     rows += [(keys[first], *piece, total) for piece in pieces]
