@@ -18,9 +18,10 @@ an exclusive-or checksum of the part's shingles, are the join key.
 4. Candidate pairs are cut by size and by sketch distance, then verified on the
    whole shingle sets.
 
-Parts that hold one shingle at most say little. A few more parts than the
-pigeonhole needs are made, and a set that has no more such parts than that skips
-them: equal parts agree on being poor, so a similar pair still meets.
+Empty parts, and at high similarity parts of one shingle, say little. A few more
+parts than the pigeonhole needs are made, and a set that has no more such parts
+than that skips them: equal parts agree on being poor, so a similar pair still
+meets.
 
 Defined cases: null text or text without words has the empty set and links with
 nothing; fewer words than a shingle make one shingle of all; rows with one
@@ -62,16 +63,26 @@ def band_edges(percent: int) -> list[int]:
     return edges[:1 << _BAND_BITS]
 
 
+def poor_size(percent: int) -> int:
+    """A part with at most this many shingles is poor.
+
+    Parts hold about percent / (100 - percent) shingles: where that is few, single
+    shingles are common and have to count, and only empty parts are poor.
+    """
+    return 1 if percent >= 8 * (100 - percent) else 0
+
+
 @functools.cache
 def band_shape(band: int, percent: int) -> tuple[int, int]:
     """Parts of a band, and how many poor ones a set may skip.
 
     The smaller set of a pair has at most ``edge - 1`` shingles; a similar one
-    differs from it in at most that times (100 - percent) / percent.
+    differs from it in at most that times (100 - percent) / percent. The spare
+    parts exceed the poor ones that sets of the band have by chance.
     """
     largest = band_edges(percent)[band + 1] - 1
     apart = largest * (100 - percent) // percent
-    spare = apart // 16
+    spare = apart // (16 if poor_size(percent) else 5)
     return apart + 1 + spare, spare
 
 
@@ -121,7 +132,7 @@ def part_keys(shingles: np.ndarray, percent: int = SIMILARITY) -> np.ndarray:
     found = []
     for band in bands_of(len(shingles), percent):
         parity, checks, sizes = part_sketches(shingles, band, percent)
-        rich = sizes > 1
+        rich = sizes > poor_size(percent)
         if (~rich).sum() > band_shape(band, percent)[1]:
             rich[:] = True
         place = np.flatnonzero(rich).astype(np.uint64)
