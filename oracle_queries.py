@@ -54,6 +54,40 @@ def _found(words) -> str:
     return " + ".join(f"contains(txt, {_quoted(w)})::int" for w in words)
 
 
+def _assigned(source: str, specialties: tuple[str, ...] = ("CHF", "COPD", "Diabetes")) -> str:
+    """Specialties take their places one after another, then whoever is left takes what is left."""
+    wanted = " WHEN ".join(f"specialty = '{s}' THEN '{s}'" for s in specialties)
+    steps, before = [], []
+    for i, specialty in enumerate((*specialties, None)):
+        used = " UNION ALL ".join(f"SELECT patient_id, turn FROM step{j}" for j in before)
+        fits = f"contains(specialties, '{specialty}')" if specialty else "true"
+        free = f"turn NOT IN (SELECT turn FROM ({used}))" if before else "true"
+        who = f"specialty = '{specialty}'" if specialty else (
+            f"patient_id NOT IN (SELECT patient_id FROM ({used}))")
+        steps.append(f"""
+        step{i} AS (
+          SELECT w.patient_id, f.turn
+          FROM (SELECT patient_id, row_number() OVER (ORDER BY priority_rank) AS k
+                FROM ordered WHERE {who}) w
+               JOIN (SELECT turn, row_number() OVER (ORDER BY turn) AS k
+                     FROM turns WHERE {fits} AND {free}) f ON w.k = f.k)""")
+        before.append(i)
+    every = " UNION ALL ".join(f"SELECT * FROM step{i}" for i in before)
+    return f"""
+        WITH ordered AS (
+          SELECT o.patient_id, o.priority_score, CASE WHEN {wanted} END AS specialty,
+                 row_number() OVER (ORDER BY o.priority_score DESC, o.patient_id) AS priority_rank
+          FROM {source} o JOIN needed n ON o.patient_id = n.patient_id),
+        {", ".join(steps)}
+        SELECT o.patient_id, o.priority_score, o.priority_rank, o.specialty, t.coordinator_id,
+               t.coordinator_name,
+               CASE WHEN contains(t.specialties, o.specialty) THEN 'Perfect Match'
+                    WHEN contains(t.specialties, 'Geriatrics') THEN 'General Match'
+                    WHEN t.coordinator_id IS NOT NULL THEN 'Available' END AS match_quality
+        FROM ordered o LEFT JOIN ({every}) g ON o.patient_id = g.patient_id
+             LEFT JOIN turns t ON t.turn = g.turn"""
+
+
 RELATIONS: dict[str, str] = {name: _mapped(name) for name in MAPPING} | {
     "readmissions": """
         SELECT 'readmit-' || encounter_id || '-' || next_id AS readmission_id, patient_id,
@@ -123,21 +157,28 @@ RELATIONS: dict[str, str] = {name: _mapped(name) for name in MAPPING} | {
         SELECT coordinator_id, name, title, current_caseload, max_caseload, available_capacity,
                specialties, years_experience
         FROM care_coordinators WHERE active AND available_capacity > 0""",
-    "turns_any": """
-        SELECT coordinator_id, name AS coordinator_name, row_number() OVER (ORDER BY slot,
-                 available_capacity DESC, years_experience DESC, coordinator_id) AS turn
+    "needed": """
+        SELECT patient_id, CASE WHEN patient_id IN (SELECT patient_id FROM chf) THEN 'CHF'
+                                WHEN patient_id IN (SELECT patient_id FROM copd) THEN 'COPD'
+                                WHEN patient_id IN (SELECT patient_id FROM dx
+                                                    WHERE icd10_code LIKE 'E11%') THEN 'Diabetes' END
+                 AS specialty
+        FROM patients""",
+    "turns": """
+        SELECT coordinator_id, name AS coordinator_name, specialties, row_number() OVER (
+                 ORDER BY slot, available_capacity DESC, years_experience DESC, coordinator_id) AS turn
         FROM (SELECT *, unnest(range(1, available_capacity + 1)) AS slot FROM free_coordinators)""",
-    "turns_chf_copd": """
-        SELECT coordinator_id, name AS coordinator_name, row_number() OVER (ORDER BY slot,
-                 available_capacity DESC, years_experience DESC, coordinator_id) AS turn
-        FROM (SELECT *, unnest(range(1, available_capacity + 1)) AS slot FROM free_coordinators
-              WHERE contains(specialties, 'CHF') OR contains(specialties, 'COPD'))""",
-    "assigned_90": """
-        SELECT o.patient_id, o.priority_score, o.k AS priority_rank, t.coordinator_id,
-               t.coordinator_name
-        FROM (SELECT *, row_number() OVER (ORDER BY priority_score DESC, patient_id) AS k
-              FROM outreach_90) o
-             LEFT JOIN turns_chf_copd t ON o.k = t.turn""",
+    "chf_social": f"""
+        SELECT p.patient_id, p.priority_score
+        FROM priority p JOIN sdoh s ON p.patient_id = s.patient_id
+        WHERE p.risk_score > 0.7e0 AND p.readmitted AND ({' OR '.join(_FLAGS)})
+          AND p.patient_id IN (SELECT patient_id FROM chf)""",
+    "high_priority": "SELECT patient_id, priority_score FROM priority WHERE risk_score > 0.7e0",
+    "assigned_90": _assigned("outreach_90"),
+    "assigned_7": _assigned("outreach"),
+    "assigned_all": _assigned("priority"),
+    "assigned_high": _assigned("high_priority"),
+    "assigned_chf": _assigned("chf_social", ("CHF",)),
     "report_rows": f"""
         SELECT p.patient_id, p.mrn, p.first_name || ' ' || p.last_name AS patient_name, p.age,
                r.risk_score, r.risk_category, e.discharge_date AS last_discharge, e.facility,
@@ -153,7 +194,7 @@ RELATIONS: dict[str, str] = {name: _mapped(name) for name in MAPPING} | {
                     ELSE 'Contact within 48h' END AS action
         FROM patients p LEFT JOIN risk_scores r ON p.patient_id = r.patient_id
              LEFT JOIN sdoh s ON p.patient_id = s.patient_id
-             LEFT JOIN (SELECT * FROM encounters QUALIFY row_number() OVER (
+             LEFT JOIN (SELECT * FROM encounters WHERE discharge_date <= {DAY} QUALIFY row_number() OVER (
                           PARTITION BY patient_id ORDER BY discharge_date DESC, encounter_id DESC) = 1) e
                ON p.patient_id = e.patient_id""",
     "report_sections": """
@@ -202,11 +243,13 @@ RELATIONS: dict[str, str] = {name: _mapped(name) for name in MAPPING} | {
                 + (contains(txt, 'recommend') OR contains(txt, 'should') OR contains(txt, 'contact')
                    OR contains(txt, 'outreach'))::int AS actionable_elements
               FROM texts)""",
-    "stays_by_facility": f"""
-        SELECT facility, count(*) AS discharges FROM encounters
-        WHERE discharge_date <= {DAY} GROUP BY facility""",
-    "pairs_by_facility": """
-        SELECT facility, count(*) AS n FROM readmissions WHERE is_30_day GROUP BY facility""",
+    "finished": f"""
+        SELECT e.*, CASE WHEN x.original_encounter_id IS NOT NULL THEN 1 ELSE 0 END AS back
+        FROM encounters e
+             LEFT JOIN (SELECT * FROM readmissions
+                        WHERE is_30_day AND readmit_admission_date <= {DAY}) x
+               ON e.encounter_id = x.original_encounter_id
+        WHERE e.discharge_date <= {DAY}""",
 }
 
 
@@ -268,14 +311,23 @@ def _document(rows: str, page_size: int = 100) -> str:
                || '## 👥 Patient List (Priority Order)' AS document
         FROM {rows}
         UNION ALL
-        SELECT cast((k - 1) // {page_size} + 1 AS int), count(*),
-               string_agg('### ' || k || '. ' || section, chr(10) || chr(10) ORDER BY k)
-        FROM (SELECT *, row_number() OVER (ORDER BY risk_score DESC NULLS LAST, patient_id) AS k
-              FROM {rows}) GROUP BY 1
+        SELECT cast(p.part AS int), p.patients,
+               CASE WHEN p.page = 0 THEN '## ' || CASE p.tier WHEN 'TIER 1' THEN '🔴'
+                    WHEN 'TIER 2' THEN '🟡' ELSE '🟢' END || ' ' || p.tier || ' (' || p.n || ')'
+                    || chr(10) || chr(10) ELSE '' END || p.texts
+        FROM (SELECT tier, page, count(*) AS patients, max(n) AS n,
+                     row_number() OVER (ORDER BY tier, page) AS part,
+                     string_agg('### ' || k || '. ' || section, chr(10) || chr(10) ORDER BY k) AS texts
+              FROM (SELECT *, (k_tier - 1) // {page_size} AS page FROM (
+                      SELECT *, row_number() OVER (ORDER BY risk_score DESC NULLS LAST, patient_id) AS k,
+                             row_number() OVER (PARTITION BY tier
+                               ORDER BY risk_score DESC NULLS LAST, patient_id) AS k_tier,
+                             count(*) OVER (PARTITION BY tier) AS n
+                      FROM {rows})) GROUP BY tier, page) p
         UNION ALL
-        SELECT cast(ceil(count(*) / {page_size}.0) + 1 AS int), 0,
+        SELECT cast(coalesce(sum(ceil(n / {page_size}.0)), 0) + 1 AS int), 0,
                '---' || chr(10) || chr(10) || '## 📝 Next Steps' || chr(10) || chr(10) || {_quoted(steps)}
-        FROM {rows}"""
+        FROM (SELECT tier, count(*) AS n FROM {rows} GROUP BY tier)"""
 
 
 def _averages(by: str) -> str:
@@ -323,8 +375,7 @@ _SQL: dict[str, str] = {
     "readmission_history": """
         SELECT readmission_id, patient_id, original_discharge_date, readmit_admission_date,
                days_between, is_30_day
-        FROM readmissions
-        WHERE patient_id IN (SELECT patient_id FROM risk_scores WHERE risk_score > 0.7e0)""",
+        FROM readmissions""",
     "risk_score_lookup": f"SELECT patient_id, {_RISK_COLUMNS} FROM risk_scores",
     "sdoh_barriers": f"SELECT patient_id, {_SDOH_COLUMNS} FROM sdoh",
     "available_coordinators": "SELECT * FROM free_coordinators WHERE specialties LIKE '%CHF%'",
@@ -365,15 +416,12 @@ _SQL: dict[str, str] = {
         FROM encounters""",
     "readmission_pairs": "SELECT * EXCLUDE (facility) FROM readmissions",
     "facility_readmission_rate": """
-        SELECT s.facility, s.discharges, coalesce(p.n, 0) AS readmissions_30d,
-               round(coalesce(p.n, 0) / s.discharges, 4) AS readmission_rate
-        FROM stays_by_facility s LEFT JOIN pairs_by_facility p ON s.facility = p.facility""",
-    "readmission_rate_overall": f"""
-        SELECT (SELECT count(*) FROM encounters WHERE discharge_date <= {DAY}) AS discharges,
-               (SELECT count(*) FROM readmissions WHERE is_30_day) AS readmissions_30d,
-               round((SELECT count(*) FROM readmissions WHERE is_30_day)
-                     / (SELECT count(*) FROM encounters WHERE discharge_date <= {DAY}), 4)
-                 AS readmission_rate""",
+        SELECT facility, count(*) AS discharges, cast(sum(back) AS bigint) AS readmissions_30d,
+               round(sum(back) / count(*), 4) AS readmission_rate
+        FROM finished GROUP BY facility""",
+    "readmission_rate_overall": """
+        SELECT count(*) AS discharges, cast(sum(back) AS bigint) AS readmissions_30d,
+               round(sum(back) / count(*), 4) AS readmission_rate FROM finished""",
     "readmits_last_month": """
         SELECT count(*) AS readmissions_30d, count(DISTINCT patient_id) AS patients
         FROM readmissions WHERE is_30_day AND readmit_admission_date >= DATE '2001-07-01'
@@ -382,18 +430,13 @@ _SQL: dict[str, str] = {
         SELECT d.icd10_code, count(*) AS diagnosis_rows, count(DISTINCT r.patient_id) AS patients
         FROM readmissions r JOIN diagnoses d ON d.encounter_id = r.original_encounter_id
         WHERE r.is_30_day GROUP BY d.icd10_code ORDER BY 2 DESC, 1 LIMIT 10""",
-    "quality_rollup": f"""
+    "quality_rollup": """
         SELECT discharge_month, facility,
                cast(grouping(discharge_month, facility) AS int) AS level,
                cast(sum(n) AS bigint) AS discharges, cast(sum(r) AS bigint) AS readmissions_30d,
                round(sum(r) / sum(n), 4) AS readmission_rate, round(sum(days) / sum(n), 4) AS mean_stay
-        FROM (SELECT strftime(e.discharge_date, '%Y-%m') AS discharge_month, e.facility, 1 AS n,
-                     e.length_of_stay AS days,
-                     CASE WHEN x.original_encounter_id IS NOT NULL THEN 1 ELSE 0 END AS r
-              FROM encounters e
-                   LEFT JOIN (SELECT * FROM readmissions WHERE is_30_day) x
-                     ON e.encounter_id = x.original_encounter_id
-              WHERE e.discharge_date <= {DAY})
+        FROM (SELECT strftime(discharge_date, '%Y-%m') AS discharge_month, facility, 1 AS n,
+                     length_of_stay AS days, back AS r FROM finished)
         GROUP BY ROLLUP (discharge_month, facility)""",
     "lace_index": f"""
         , onsets AS (SELECT patient_id, substr(icd10_code, 1, 3) AS grp, min(admission_date) AS onset
@@ -643,24 +686,15 @@ _SQL: dict[str, str] = {
         WHERE patient_id IN (SELECT patient_id FROM discharged_7)""",
     "q_15": f"""
         SELECT o.patient_id, o.last_discharge, o.risk_score, o.priority_score, o.tier,
-               {', '.join('o.' + f for f in _FLAGS)}, o.k AS priority_rank, t.coordinator_id,
-               t.coordinator_name
-        FROM (SELECT *, row_number() OVER (ORDER BY priority_score DESC, patient_id) AS k
-              FROM outreach) o LEFT JOIN turns_chf_copd t ON o.k = t.turn""",
-    "q_16": """
-        SELECT o.patient_id, o.priority_score, o.k AS priority_rank, t.coordinator_id,
-               t.coordinator_name
-        FROM (SELECT *, row_number() OVER (ORDER BY priority_score DESC, patient_id) AS k
-              FROM priority QUALIFY k <= 18) o LEFT JOIN turns_any t ON o.k = t.turn""",
-    "q_17": ", chosen AS (SELECT s.* FROM report_sections s JOIN outreach o"
-            " ON s.patient_id = o.patient_id)" + _document("chosen"),
-    "q_18": f"""
-        SELECT r.patient_id, b.* EXCLUDE (specialty)
-        FROM readmitted_30 r JOIN chf ON r.patient_id = chf.patient_id
-             JOIN sdoh s ON r.patient_id = s.patient_id
-             JOIN risk_scores k ON r.patient_id = k.patient_id
-             JOIN {_best('CHF')} b ON true
-        WHERE k.risk_score > 0.7e0 AND {_ANY_BARRIER}""",
+               {', '.join('o.' + f for f in _FLAGS)}, a.priority_rank, a.specialty, a.coordinator_id,
+               a.coordinator_name, a.match_quality
+        FROM outreach o JOIN assigned_7 a ON o.patient_id = a.patient_id""",
+    "q_16": "SELECT * FROM assigned_all",
+    "q_17": ", chosen AS (SELECT s.* REPLACE (s.section || chr(10) || '- **Care Coordinator:** '"
+            " || coalesce(a.coordinator_name, 'unassigned') AS section)"
+            " FROM report_sections s JOIN assigned_7 a"
+            " ON s.patient_id = a.patient_id)" + _document("chosen"),
+    "q_18": "SELECT * FROM assigned_chf",
     "q_19": """
         SELECT s.patient_id, k.risk_score, s.transportation_barrier, s.housing_instability,
                concat_ws('; ', 'Post-discharge follow-up',
@@ -672,11 +706,10 @@ _SQL: dict[str, str] = {
              LEFT JOIN risk_scores k ON s.patient_id = k.patient_id
         WHERE s.transportation_barrier OR s.housing_instability""",
     "q_20": f"""
-        SELECT o.patient_id, o.priority_score, o.k AS priority_rank,
-               {_HOURS.format('o.priority_score')} AS contact_within_hours,
-               t.coordinator_id, t.coordinator_name
-        FROM (SELECT *, row_number() OVER (ORDER BY priority_score DESC, patient_id) AS k
-              FROM priority WHERE risk_score > 0.7e0) o LEFT JOIN turns_chf_copd t ON o.k = t.turn""",
+        SELECT patient_id, priority_score, priority_rank,
+               {_HOURS.format('priority_score')} AS contact_within_hours, specialty, coordinator_id,
+               coordinator_name, match_quality
+        FROM assigned_high""",
     "diabetes_and_readmitted": """
         SELECT count(DISTINCT patient_id) AS patients FROM readmissions
         WHERE patient_id IN (SELECT patient_id FROM dx WHERE icd10_code LIKE 'E11%')""",

@@ -1,13 +1,15 @@
 """Hand-made frames for the edges of the clinical rules."""
 
 import datetime as dt
+import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from wardlight.functions.columns import contact_hours, risk_category, tier_label, two_decimals
 from wardlight.operators import assign, checks, lookups, priority, readmit, report
 from wardlight.plans.flagship import flagship_outreach
+from wardlight.sources.sinks import append_report
 
 
 def _by(frame, key):
@@ -61,19 +63,18 @@ def test_overlapping_stay_ends_the_search(clinic, stay):
     assert [(p.original_encounter_id, p.readmit_encounter_id) for p in pairs] == [("e2", "e3")]
 
 
-@pytest.mark.parametrize("above", [1, 1000])
-def test_stays_that_begin_together(clinic, stay, above):
+def test_stays_that_begin_together(clinic, stay):
     tables = clinic(encounters=[stay(1, "p", -100, 2), stay(2, "p", -100, 3),
                                 stay(3, "p", -80, 1), stay(4, "p", -80, 1)])
-    pairs = readmit.readmission_pairs(tables, crowded_above=above).collect()
+    pairs = readmit.readmission_pairs(tables).collect()
     assert [(p.original_encounter_id, p.readmit_encounter_id) for p in pairs] == [("e2", "e3")]
 
 
-def test_pairs_cross_month_buckets(clinic, stay):
-    """Timestamps are worked month by month; a plain walk over the sorted stays agrees."""
+def test_pairs_cross_day_buckets(clinic, stay):
+    """Stays are worked day by day; a plain walk over the sorted stays agrees."""
     stays = [stay(n, f"p{n % 3}", -1000 + 11 * n, 1 + n % 9) for n in range(60)]
     got = {(r.original_encounter_id, r.readmit_encounter_id)
-           for r in readmit.readmission_pairs(clinic(encounters=stays), crowded_above=5).collect()}
+           for r in readmit.readmission_pairs(clinic(encounters=stays)).collect()}
     expected = set()
     for p in {s["patient_id"] for s in stays}:
         mine = sorted((s for s in stays if s["patient_id"] == p), key=lambda s: s["admission_date"])
@@ -84,6 +85,73 @@ def test_pairs_cross_month_buckets(clinic, stay):
     assert got == expected and expected
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_next_stay_equals_a_plain_window(clinic, stay, seed):
+    """Ties, nulls, and discharges before their own admission."""
+    draw = random.Random(seed)
+    stays = []
+    for n in range(400):
+        row = stay(n, draw.choice(["hot", "hot", "b", "c", None]), -draw.randrange(60),
+                   draw.randrange(-3, 9))
+        if draw.random() < 0.3:
+            row["admission_date"] += dt.timedelta(hours=draw.randrange(23))
+        for column, share in (("admission_date", 0.05), ("discharge_date", 0.05), ("encounter_id", 0.02)):
+            if draw.random() < share:
+                row[column] = None
+        stays.append(row)
+    tables = clinic(encounters=stays)
+    history = Window.partitionBy("patient_id").orderBy("admission_date", "encounter_id")
+    plain = (tables.encounters.where("patient_id IS NOT NULL")
+             .withColumns({"next_id": F.lead("encounter_id").over(history),
+                           "start": F.lead("admission_date").over(history)})
+             .withColumn("days", F.datediff("start", "discharge_date"))
+             .where("start > discharge_date AND days <= 365")
+             .select("patient_id", "encounter_id", "next_id", "days"))
+    got = readmit.readmission_pairs(tables).select(
+        "patient_id", "original_encounter_id", "readmit_encounter_id", "days_between")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def test_rates_count_unknown_facilities_and_no_future_stay(clinic, stay):
+    tables = clinic(encounters=[
+        stay(1, "p", -40, 2, facility=None), stay(2, "p", -30, 2, facility=None),
+        stay(3, "q", -10, 2), stay(4, "q", 5, 2), stay(5, None, -9, 1)])
+    got = {r.facility: (r.discharges, r.readmissions_30d)
+           for r in readmit.facility_readmission_rate(tables).collect()}
+    assert got == {None: (2, 1), "North": (2, 0)}
+    whole = readmit.readmission_rate_overall(tables).first()
+    assert (whole.discharges, whole.readmissions_30d, whole.readmission_rate) == (4, 1, 0.25)
+    total = readmit.quality_rollup(tables).where("level = 3").first()
+    assert (total.discharges, total.readmissions_30d) == (4, 1)
+
+
+def test_latest_assessment_counts(clinic, person):
+    tables = clinic(patients=[person("p")], sdoh=[
+        {"patient_id": "p", "housing_instability": True, "last_assessed": dt.datetime(2024, 1, 1)},
+        {"patient_id": "p", "housing_instability": False, "last_assessed": dt.datetime(2024, 5, 1)}],
+        risk_scores=[_risk("p", 0.9, 0), _risk("p", 0.2, 9)])
+    assert [r.housing_instability for r in lookups.sdoh_barriers(tables).collect()] == [False]
+    assert lookups.by_mrn(lookups.sdoh_barriers(tables), tables).count() == 1
+    assert priority.barrier_profile(tables).count() == 1
+    counts = checks.planted_counts(tables).first()
+    assert (counts.housing_instability, counts.high_risk) == (0, 0)
+
+
+def test_last_discharge_is_not_in_the_future(clinic, person, stay):
+    tables = clinic(patients=[person("p"), person("q")],
+                    encounters=[stay(1, "p", -30, 5), stay(2, "p", -1, 9), stay(3, "q", 3, 2)])
+    got = _by(report.outreach_report_rows(tables), "patient_id")
+    assert got["p"].last_discharge == dt.datetime(2024, 6, 5) and got["q"].last_discharge is None
+
+
+def test_a_repeated_report_replaces_itself(spark, tmp_path):
+    rows = spark.createDataFrame([("p",), ("q",)], "patient_id string")
+    for day in (dt.date(2024, 1, 1), dt.date(2024, 1, 8), dt.date(2024, 1, 8)):
+        append_report(rows, str(tmp_path / "r"), day)
+    assert spark.read.parquet(str(tmp_path / "r")).groupBy("report_date").count().count() == 2
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 4
+
+
 def test_priority_record(clinic, stay, person):
     tables = clinic(
         patients=[person(p) for p in ("full", "none", "bare", "stale")],
@@ -155,6 +223,34 @@ def test_round_robin_and_overflow(spark, clinic, coordinator):
     assert [r.coordinator_id for r in got] == ["b", "a", "c", "b", "a", "b", None]
 
 
+def test_specialties_are_matched_within_capacity(spark, clinic, coordinator, person, stay):
+    codes = {"c": "I50.1", "o": "J44.0", "d": "E11.9", "x": "Z00"}
+    names = [f"{kind}{n}" for kind in codes for n in range(3)]
+    tables = clinic(
+        patients=[person(p) for p in names],
+        encounters=[stay(i, p, -50, 1) for i, p in enumerate(names)],
+        diagnoses=[{"diagnosis_id": p, "encounter_id": f"e{i}", "icd10_code": codes[p[0]]}
+                   for i, p in enumerate(names)],
+        care_coordinators=[coordinator("both", 2, '["CHF", "COPD"]'), coordinator("copd", 3, '["COPD"]'),
+                           coordinator("old", 2, '["Geriatrics"]'), coordinator("gone", 5, active=False)])
+    patients = spark.createDataFrame([(p, 0.5) for p in names], "patient_id string, priority_score double")
+    got = _by(assign.assign_coordinators(tables, patients), "patient_id")
+    assert {p: r.coordinator_id for p, r in got.items()} == {
+        "c0": "both", "c1": "both", "c2": "old", "o0": "copd", "o1": "copd", "o2": "copd",
+        "d0": "old", "d1": None, "d2": None, "x0": None, "x1": None, "x2": None}
+    assert (got["c0"].match_quality, got["c2"].match_quality, got["d1"].match_quality) == (
+        "Perfect Match", "General Match", None)
+    assert [got[p].specialty for p in ("c2", "o0", "d0", "x0")] == ["CHF", "COPD", "Diabetes", None]
+
+
+def test_unlisted_needs_get_anybody(spark, clinic, coordinator):
+    needs = spark.createDataFrame([("p", "Gout"), ("q", "CHF"), ("r", None)],
+                                  "patient_id string, specialty string")
+    tables = clinic(care_coordinators=[coordinator("a", 1), coordinator("b", 5, '["Pulm"]')])
+    got = _by(assign.suggest_coordinators(tables, needs, ["CHF"]), "patient_id")
+    assert {p: r.coordinator_id for p, r in got.items()} == {"p": "b", "q": "a", "r": "b"}
+
+
 def test_equal_scores_go_by_id(spark, clinic, coordinator):
     tables = clinic(care_coordinators=[coordinator("a", 5)])
     patients = spark.createDataFrame([("p2", 0.5), ("p1", 0.5), ("p3", 0.5)],
@@ -187,10 +283,23 @@ def test_report_rows_and_document(clinic, person, stay):
     assert rows["p2"].barriers == rows["p3"].barriers == "None identified"
     assert report.outreach_rows_fanout(tables).count() == 4
     parts = report.report_document(tables, page_size=2).orderBy("part").collect()
-    assert [(p.part, p.patients) for p in parts] == [(0, 0), (1, 2), (2, 1), (3, 0)]
-    assert "### 1. A p1 (MRN: M-p1) - 🔴 TIER 1" in parts[1].document
+    assert [(p.part, p.patients) for p in parts] == [(0, 0), (1, 1), (2, 1), (3, 1), (4, 0)]
+    assert parts[1].document.startswith("## 🔴 TIER 1 (1)\n\n### 1. A p1 (MRN: M-p1) - 🔴 TIER 1")
     assert "**Risk Score:** 0.85 (x)" in parts[1].document
-    assert "### 3. A p3" in parts[2].document and "not scored" in parts[2].document
+    assert "### 3. A p3" in parts[3].document and "not scored" in parts[3].document
+    assert "Care Coordinator:" not in "".join(p.document for p in parts)
+
+
+def test_report_pages_and_coordinators(spark, clinic, person):
+    names = [f"p{n}" for n in range(7)]
+    tables = clinic(patients=[person(p) for p in names],
+                    risk_scores=[_risk(p, 0.9 if n < 5 else 0.1) for n, p in enumerate(names)])
+    given = spark.createDataFrame([("p0", "Ann"), ("p1", None)], "patient_id string, coordinator_name string")
+    parts = report.report_document(tables, page_size=2, assignments=given).orderBy("part").collect()
+    assert [p.patients for p in parts] == [0, 2, 2, 1, 2, 0]
+    assert [p.document.startswith("## ") for p in parts] == [False, True, False, False, True, False]
+    assert "**Care Coordinator:** Ann" in parts[1].document
+    assert "**Care Coordinator:** unassigned" in parts[1].document
 
 
 def test_open_and_closed_end(clinic, stay, person):

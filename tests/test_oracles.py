@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import SMALL
+from wardlight.plans.catalog import BATCH, STREAMS
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages"
           " benchmark labels conversations").split()
@@ -20,7 +21,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", sorted(contract.queries()))
+@pytest.mark.parametrize("key", sorted(contract.oracle_sql()))
 def test_query_equals_oracle(spark, duck, key):
     frame = contract.queries()[key](spark, SMALL)
     columns = sorted(frame.columns)
@@ -34,5 +35,9 @@ def test_query_equals_oracle(spark, duck, key):
     assert ours == theirs
 
 
+def test_every_clinical_query_has_an_oracle():
+    assert set(BATCH) | set(STREAMS) <= set(contract.oracle_sql()) <= set(contract.queries())
+
+
 def test_entry_has_rows(spark):
     assert contract.entry(spark).count() == 2

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from wardlight.operators import readmit, sampling
-from wardlight.operators.ordering import distributed_row_number
+from wardlight.operators.ordering import distributed_row_number, ranked
 
 
 @pytest.fixture
@@ -37,10 +37,36 @@ def test_first_n_are_exact(skewed, limit):
     assert sorted(r.id for r in got.collect()) == sorted(r.id for r in expected.collect())
 
 
+@pytest.mark.parametrize("within", [None, ["k"]])
+def test_ranks_equal_a_window(skewed, within):
+    plain = skewed.withColumn("n", F.row_number().over(
+        Window.partitionBy(*within or [F.lit(0)]).orderBy("v", "id")).cast("bigint"))
+    got = ranked(skewed, "n", [F.col("v"), F.col("id")], within, parts=7)
+    assert got.columns == plain.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
+
+
+@pytest.mark.parametrize("key", ["lpad(cast(id AS string), 6, '0')", "lpad(cast(id AS string), 10, '0')",
+                                 "md5(cast(id AS string))"])
+def test_ranks_of_equal_scores_hold_for_any_ids(spark, key):
+    total = 200_000
+    rows = spark.range(total).selectExpr(f"'patient-' || {key} AS id", "0.5D AS score")
+    order = [F.desc("score"), F.col("id")]
+    largest = (rows.repartitionByRange(16, *order).groupBy(F.spark_partition_id()).count()
+               .agg(F.max("count")).first()[0])
+    assert largest < total / 5
+    got = ranked(rows, "place", order, parts=16)
+    wrong = got.withColumn("before", F.lag("id").over(
+        Window.partitionBy(F.floor(F.col("place") / 1000)).orderBy("place"))).where("before >= id")
+    assert wrong.count() == 0
+    assert got.agg(F.min("place"), F.max("place"), F.count_distinct("place")).first() == (
+        1, total, total)
+
+
 def test_encounter_sequence_of_a_crowded_patient(clinic, stay):
     stays = [stay(f"{n:04d}", "hot", -(n % 40), 1) for n in range(400)]
     stays += [stay(f"x{n}", f"p{n}", -n, 1) for n in range(20)]
-    got = readmit.encounter_sequence(clinic(encounters=stays), 100).collect()
+    got = readmit.encounter_sequence(clinic(encounters=stays)).collect()
     mine = sorted((r.admission_date, r.encounter_id) for r in got if r.patient_id == "hot")
     assert {r.encounter_id: r.enc_num for r in got if r.patient_id == "hot"} == {
         e: n for n, (_, e) in enumerate(mine, start=1)}

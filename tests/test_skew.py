@@ -57,20 +57,18 @@ def expected_pairs(histories):
 
 
 @pytest.mark.parametrize("unit", ["date", "timestamp"])
-@pytest.mark.parametrize("above", [0, 500, 10**6])
-def test_pairs(crowded, histories, unit, above):
+def test_pairs(crowded, histories, unit):
     stays = crowded.encounters
     typed = crowded.replace(encounters=stays.withColumns(
         {c: stays[c].cast(unit) for c in ("admission_date", "discharge_date")}))
     got = {(r.original_encounter_id, r.readmit_encounter_id, r.days_between)
-           for r in readmit.readmission_pairs(typed, crowded_above=above).collect()}
+           for r in readmit.readmission_pairs(typed).collect()}
     assert got == expected_pairs(histories) and len(got) > 500
 
 
-@pytest.mark.parametrize("above", [0, 500, 10**6])
-def test_sequence(crowded, histories, above):
+def test_sequence(crowded, histories):
     got = {r.encounter_id: (r.enc_num, r.total_encs)
-           for r in readmit.encounter_sequence(crowded, above).collect()}
+           for r in readmit.encounter_sequence(crowded).collect()}
     assert got == {r.encounter_id: (n, len(rows)) for rows in histories.values()
                    for n, r in enumerate(rows, start=1)}
 

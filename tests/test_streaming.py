@@ -1,9 +1,11 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from wardlight.operators.priority import priority_scores
+from wardlight.session import settled
 from wardlight.streaming import adt
 
 START = dt.datetime(2024, 1, 1)
@@ -35,10 +37,67 @@ def test_repeats_drop_across_batches(spark, feed):
     assert sorted(r.event_id for r in got.collect()) == [1, 2, 3]
 
 
-def test_enrichment_keeps_unknown_patients(spark, feed, small):
-    stream = feed([(1, 1, "patient-000001"), (2, 1, "nobody")])
-    got = {r.event_id: r for r in adt.drained(spark, adt.enriched(stream, small), "t").collect()}
-    assert got[1].mrn and got[2].mrn is None and len(got) == 2
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_days_do_not_depend_on_the_session_zone(spark, tmp_path, zone):
+    rows = spark.sql("SELECT id AS event_id, TIMESTAMP_NTZ'2024-03-08 00:30:00.25'"
+                     " + make_dt_interval(0, cast(id AS int) * 5) AS ts, 'admit' AS adt_type FROM range(30)")
+    rows.write.parquet(str(tmp_path / "feed"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        feed = adt.read_feed(spark, str(tmp_path / "feed"), rows.schema)
+        final = adt.drained(spark, adt.daily_counts(feed), "zone")
+        got = {str(r.day): r.messages for r in final.collect()}
+        rest = {str(r.day): r.messages for r in adt.closing_counts(
+            spark.read.parquet(str(tmp_path / "feed")), final).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    days = [str((dt.datetime(2024, 3, 8, 0, 30) + dt.timedelta(hours=5 * n)).date()) for n in range(30)]
+    counts = {d: days.count(d) for d in days}
+    last = max(days)
+    assert got == {d: n for d, n in counts.items() if d != last} and rest == {last: counts[last]}
+
+
+def test_json_feed(spark, tmp_path):
+    rows = spark.createDataFrame([(1, START, "p"), (2, START, "q")],
+                                 "event_id long, ts timestamp, patient_id string")
+    rows.write.json(str(tmp_path / "feed"))
+    feed = adt.read_feed(spark, str(tmp_path / "feed"), rows.schema, fmt="json")
+    assert sorted(r.event_id for r in adt.drained(spark, feed, "json").collect()) == [1, 2]
+
+
+def test_enrichment_keeps_unknown_patients(spark, feed, small, tmp_path):
+    stream = feed([(1, 1, "patient-000001"), (2, 1, "nobody")], [(3, 2, "patient-000002")])
+    adt.run_enriched(stream, small, str(tmp_path / "e"), str(tmp_path / "p"))
+    got = {r.event_id: r for r in spark.read.parquet(str(tmp_path / "e")).collect()}
+    assert got[1].mrn and got[3].mrn and got[2].mrn is None and len(got) == 3
+
+
+def test_a_batch_shuffles_no_history(spark, small):
+    """The history is filtered by broadcast lists where it is read; joins on it shuffle nothing."""
+    touched = settled(spark.createDataFrame([("patient-000001",)], "patient_id string"), "touched")
+    share = adt.share_of(small, touched)
+    def shape(frame):
+        return frame._jdf.queryExecution().executedPlan().toString()
+
+    for frame in (share.diagnoses, share.patients, share.risk_scores, share.sdoh):
+        assert "SortMergeJoin" not in shape(frame) and "Exchange hashpartitioning" not in shape(frame)
+    message = spark.createDataFrame([(1, START, "patient-000001", "admit")],
+                                    "event_id long, ts timestamp, patient_id string, adt_type string")
+    text = shape(adt.enriched(message, small))
+    assert len(re.findall(r"BroadcastHashJoin .*LeftSemi", text)) == 2
+    assert not re.search(r"(SortMerge|ShuffledHash)Join .*LeftSemi", text)
+
+
+def test_compaction_keeps_the_newest_scores(spark, feed, small, tmp_path):
+    batches = [[(n, n, f"patient-00000{1 + n % 3}")] for n in range(7)]
+    path = str(tmp_path / "s")
+    adt.run_incremental(feed(*batches), small, path, str(tmp_path / "c"), compact_every=3)
+    assert adt.versions(spark, path) == [5, 6]
+    wanted = [f"patient-00000{n}" for n in (1, 2, 3)]
+    full = priority_scores(small).where(F.col("patient_id").isin(wanted))
+    assert sorted(map(repr, adt.current_scores(spark, path).collect())) == sorted(
+        map(repr, full.collect()))
 
 
 def test_incremental_scores_equal_full_and_replays_are_harmless(spark, feed, small, tmp_path):

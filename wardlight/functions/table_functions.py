@@ -8,7 +8,12 @@ Parameters never share a name with a column: a column would win silently.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+
+from wardlight.operators.lookups import risk_score_lookup, sdoh_barriers
+from wardlight.operators.priority import priority_scores
 from wardlight.operators.readmit import readmission_history
+from wardlight.operators.report import outreach_report_rows, section_text
 from wardlight.schema import CLINICAL_TABLES, CONDITION_PREFIXES
 from wardlight.sources.clinical import ClinicalTables
 
@@ -47,7 +52,7 @@ FUNCTIONS: dict[str, tuple[str, str, str]] = {
         "patient_id STRING, risk_score DOUBLE, risk_category STRING, risk_factors STRING,"
         " last_calculated TIMESTAMP",
         """SELECT patient_id, risk_score, risk_category, risk_factors, last_calculated
-           FROM risk_scores WHERE patient_id = wanted_patient""",
+           FROM latest_risk WHERE patient_id = wanted_patient""",
     ),
     "get_sdoh_barriers": (
         "wanted_patient STRING",
@@ -56,7 +61,7 @@ FUNCTIONS: dict[str, tuple[str, str, str]] = {
         " last_assessed TIMESTAMP",
         """SELECT patient_id, housing_instability, transportation_barrier, food_insecurity,
                   social_isolation, financial_strain, last_assessed
-           FROM sdoh WHERE patient_id = wanted_patient""",
+           FROM latest_sdoh WHERE patient_id = wanted_patient""",
     ),
     "get_available_care_coordinators": (
         "wanted_specialty STRING",
@@ -84,21 +89,60 @@ FUNCTIONS: dict[str, tuple[str, str, str]] = {
                        FROM care_coordinators WHERE active AND available_capacity > 0))
            WHERE best IS NOT NULL""",
     ),
+    "calculate_priority_score": (
+        "wanted_patient STRING",
+        "patient_id STRING, priority_score DOUBLE, risk_factors ARRAY<STRING>, recommendations STRING",
+        """SELECT patient_id, priority_score, risk_factors, recommendations
+           FROM priority WHERE patient_id = wanted_patient""",
+    ),
+    "generate_outreach_report": (
+        "wanted_patient STRING",
+        "patient_id STRING, tier STRING, risk_score DOUBLE, section STRING",
+        """SELECT patient_id, tier, risk_score, section
+           FROM outreach_report WHERE patient_id = wanted_patient""",
+    ),
 }
+# Only where an assignment is given: it is worked out for all patients together.
+ASSIGNMENT = (
+    "assign_care_coordinator",
+    "wanted_patient STRING",
+    "patient_id STRING, specialty STRING, coordinator_id STRING, coordinator_name STRING,"
+    " match_quality STRING",
+    """SELECT patient_id, specialty, coordinator_id, coordinator_name, match_quality
+       FROM assignments WHERE patient_id = wanted_patient""",
+)
+
 
+def register_table_functions(tables: ClinicalTables, assignments: DataFrame | None = None
+                             ) -> list[str]:
+    """Create the views and functions in the tables' session; returns the names.
 
-def register_table_functions(tables: ClinicalTables) -> list[str]:
-    """Create the views and functions in the tables' session; returns the names."""
+    ``priority`` and ``outreach_report`` are views over everyone: a query that
+    asks for many patients joins them instead of calling a function per patient.
+    ``assignments`` is a result of ``assign_coordinators``; capacity is shared by
+    all patients, so no function can assign one patient alone.
+    """
     spark = tables.spark
     for name in CLINICAL_TABLES:
         tables.table(name).createOrReplaceTempView(name)
     readmission_history(tables).createOrReplaceTempView("readmissions")
+    priority_scores(tables).createOrReplaceTempView("priority")
+    outreach_report_rows(tables).select(
+        "patient_id", "tier", "risk_score", section_text().alias("section")
+    ).createOrReplaceTempView("outreach_report")
+    risk_score_lookup(tables).createOrReplaceTempView("latest_risk")
+    sdoh_barriers(tables).createOrReplaceTempView("latest_sdoh")
+    functions = dict(FUNCTIONS)
+    if assignments is not None:
+        assignments.createOrReplaceTempView("assignments")
+        name, *definition = ASSIGNMENT
+        functions[name] = tuple(definition)
     arms = " ".join(f"WHEN '{c.upper()}' THEN '{p}'" for c, p in CONDITION_PREFIXES.items())
     fillers = {
         "today": f"DATE '{tables.as_of.isoformat()}'",
         "prefix_of_wanted": f"CASE upper(wanted_condition) {arms} END",
     }
-    for name, (parameters, columns, body) in FUNCTIONS.items():
+    for name, (parameters, columns, body) in functions.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters})"
                   f" RETURNS TABLE({columns}) RETURN {body.format(**fillers)}")
-    return list(FUNCTIONS)
+    return list(functions)

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardlight.operators.lookups import available_coordinators, patient_conditions
-from wardlight.operators.ordering import distributed_row_number, score_buckets
+from wardlight.operators.lookups import available_coordinators, only_patients, patient_conditions
+from wardlight.operators.ordering import distributed_row_number, ranked
+from wardlight.session import settled
 from wardlight.sources.clinical import ClinicalTables
 
 # Match labels, and the specialty that earns the second one.
@@ -15,6 +16,8 @@ PERFECT, GENERAL, ANY = "Perfect Match", "General Match", "Available"
 GENERALIST = "Geriatrics"
 
 NO_SPECIALTY = "any"
+# Needs in the order they are served.
+SPECIALTIES = ("CHF", "COPD", "Diabetes")
 
 
 def _match(specialty: str | None) -> Column:
@@ -58,58 +61,90 @@ def suggest_coordinators(tables: ClinicalTables, needs: DataFrame,
                          specialties: Sequence[str | None]) -> DataFrame:
     """The best coordinator for every patient of ``needs`` (patient_id, specialty).
 
-    Places are not used up: patients with the same need get the same person.
-    The looked-up side has one row per listed specialty, so it is broadcast.
+    Places are not used up: patients with the same need get the same person. A
+    need that is not listed is met like no need at all. The looked-up side has
+    one row per listed specialty, so it is broadcast.
     """
-    best = F.broadcast(best_per_specialty(tables, specialties))
-    return (needs.withColumn("specialty", F.coalesce("specialty", F.lit(NO_SPECIALTY)))
+    best = F.broadcast(best_per_specialty(tables, [*specialties, None]).dropDuplicates(["specialty"]))
+    listed = F.col("specialty").isin([s for s in specialties if s])
+    return (needs.withColumn("specialty", F.when(listed, F.col("specialty")).otherwise(NO_SPECIALTY))
             .join(best, "specialty")
             .select("patient_id", "coordinator_id", "coordinator_name", "available_capacity",
                     "match_quality"))
 
 
-def patient_needs(tables: ClinicalTables, conditions: Sequence[str] = ("CHF", "COPD", "Diabetes")) -> DataFrame:
+def patient_needs(tables: ClinicalTables, conditions: Sequence[str] = SPECIALTIES,
+                  patients: DataFrame | None = None) -> DataFrame:
     """Each patient's specialty need: the first listed condition the patient has."""
-    flags = patient_conditions(tables, conditions)
+    flags = patient_conditions(tables, conditions, patients)
     need = F.coalesce(*(F.when(F.col(c.lower()), c) for c in conditions))
-    return (tables.patients.select("patient_id")
+    return (only_patients(tables.patients.select("patient_id"), patients)
             .join(flags.select("patient_id", need.alias("specialty")), "patient_id", "left"))
 
 
-def coordinator_slots(tables: ClinicalTables, specialties: str | Sequence[str] | None,
-                      id_prefix: int = 8) -> DataFrame:
-    """Every free place, numbered so that each round visits every coordinator once."""
+def coordinator_slots(tables: ClinicalTables) -> DataFrame:
+    """Every free place, numbered (``turn``) so that each round visits every coordinator once."""
     places = (
-        available_coordinators(tables, specialties)
-        .select("coordinator_id", "name", "available_capacity", "years_experience",
+        available_coordinators(tables)
+        .select("coordinator_id", "name", "specialties", "available_capacity", "years_experience",
                 F.explode(F.sequence(F.lit(1), F.col("available_capacity"))).alias("slot")))
-    return distributed_row_number(
-        places, "turn", [],
-        [F.col("slot"), F.desc("available_capacity"), F.desc("years_experience"),
-         F.col("coordinator_id")],
-        {"__round": F.struct("slot", -F.col("available_capacity"), -F.col("years_experience")),
-         "__id": F.substring("coordinator_id", 1, id_prefix)})
+    return ranked(places, "turn", [
+        F.col("slot"), F.desc("available_capacity"), F.desc("years_experience"),
+        F.col("coordinator_id")])
+
+
+def _renumbered(rows: DataFrame, number: str) -> DataFrame:
+    """``__k``: the rows' order among themselves, from a number they keep from a larger set."""
+    return distributed_row_number(rows, "__k", [], [F.col(number)],
+                                  {"__bucket": F.floor(F.col(number) / (1 << 14))})
+
+
+def _matched(patients: DataFrame, places: DataFrame) -> DataFrame:
+    """The k-th of the patients by rank gets the k-th of the places by turn."""
+    first = _renumbered(patients.select("patient_id", "priority_rank"), "priority_rank")
+    return first.join(_renumbered(places.select("turn"), "turn"), "__k").select(
+        "patient_id", "turn")
 
 
 def assign_coordinators(tables: ClinicalTables, patients: DataFrame,
-                        specialties: str | Sequence[str] | None = None,
-                        id_prefix: int = 11) -> DataFrame:
-    """Round-robin assignment of ``patients`` (patient_id, priority_score).
-
-    The patient of rank k takes place k; patients beyond the last place stay
-    in the result without a coordinator. Both numberings are bucketed, so
-    neither side is ever sorted in one task, and the join key is unique.
-    ``patients`` is read twice: settle it first if it is costly.
+                        specialties: Sequence[str] = SPECIALTIES) -> DataFrame:
+    """Assignment of ``patients`` (patient_id, priority_score) by specialty within capacity.
+
+    Specialties are served in order: patients who need one, by score and then
+    id, take the free places of coordinators who list it, round by round. A
+    place is used once. Whoever is left then takes any remaining place, and
+    patients beyond the last place stay in the result without a coordinator.
+
+    Each step numbers its patients and its places in buckets and joins on the
+    unique number; nothing is ranked in one task. Patients, places and the
+    takings of every step are written to shared storage when this is called.
     """
-    ranked = distributed_row_number(
-        patients.select("patient_id", "priority_score"), "turn", [],
-        [F.desc("priority_score"), F.col("patient_id")],
-        score_buckets(-F.col("priority_score"), "patient_id", id_prefix))
-    places = coordinator_slots(tables, specialties).select(
-        "turn", "coordinator_id", F.col("name").alias("coordinator_name"))
-    return (ranked.join(places, "turn", "left")
-            .select("patient_id", "priority_score", F.col("turn").alias("priority_rank"),
-                    "coordinator_id", "coordinator_name"))
+    needs = patient_needs(tables, specialties, patients)
+    known = settled(patients.select("patient_id", "priority_score").join(
+        needs, "patient_id", "left"), "needs")
+    waiting = settled(ranked(known, "priority_rank",
+                             [F.desc("priority_score"), F.col("patient_id")]), "waiting")
+    places = settled(coordinator_slots(tables), "places")
+    taken = None
+    for specialty in (*specialties, None):
+        these, free = waiting, places
+        if specialty is not None:
+            these = waiting.where(F.col("specialty") == specialty)
+            free = places.where(F.col("specialties").contains(specialty))
+        if taken is not None:
+            free = free.join(taken, "turn", "left_anti")
+            if specialty is None:
+                these = these.join(taken, "patient_id", "left_anti")
+        step = _matched(these, free)
+        taken = settled(step if taken is None else taken.unionByName(step), "taken")
+    given = taken.join(places, "turn").select(
+        "patient_id", "coordinator_id", F.col("name").alias("coordinator_name"), "specialties")
+    quality = (F.when(F.col("specialties").contains(F.col("specialty")), PERFECT)
+               .when(F.col("specialties").contains(GENERALIST), GENERAL)
+               .when(F.col("coordinator_id").isNotNull(), ANY))
+    return (waiting.join(given, "patient_id", "left")
+            .select("patient_id", "priority_score", "priority_rank", "specialty",
+                    "coordinator_id", "coordinator_name", quality.alias("match_quality")))
 
 
 def coordinator_utilisation(tables: ClinicalTables, assignments: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from wardlight.operators.lookups import available_coordinators, discharged_since, patient_conditions
+from wardlight.operators.lookups import (
+    available_coordinators, discharged_since, latest_sdoh, patient_conditions, risk_score_lookup)
 from wardlight.operators.readmit import readmission_pairs
 from wardlight.schema import CLINICAL_TABLES, HIGH_RISK
 from wardlight.sources.clinical import ClinicalTables
@@ -28,17 +29,17 @@ def table_row_counts(tables: ClinicalTables) -> DataFrame:
 
 
 def planted_counts(tables: ClinicalTables, days_back: int = 7) -> DataFrame:
-    """The eight cohort sizes in one row."""
+    """The eight cohort sizes in one row; of repeated risk and social rows the latest counts."""
     conditions = patient_conditions(tables, ["CHF", "COPD"])
     coordinators = available_coordinators(tables, ["CHF", "COPD"])
     counts = {
         "recent_discharges": (discharged_since(tables, days_back), None),
         "chf_patients": (conditions, F.count_if("chf")),
         "copd_patients": (conditions, F.count_if("copd")),
-        "high_risk": (tables.risk_scores.where(F.col("risk_score") > HIGH_RISK), None),
+        "high_risk": (risk_score_lookup(tables).where(F.col("risk_score") > HIGH_RISK), None),
         "readmissions_30d": (readmission_pairs(tables).where("is_30_day"), None),
-        "transportation_barriers": (tables.sdoh.where("transportation_barrier"), None),
-        "housing_instability": (tables.sdoh.where("housing_instability"), None),
+        "transportation_barriers": (latest_sdoh(tables).where("transportation_barrier"), None),
+        "housing_instability": (latest_sdoh(tables).where("housing_instability"), None),
         "specialist_coordinators": (coordinators, None),
     }
     stacked = _stacked([_rows(frame, name, "name", "n", agg) for name, (frame, agg) in counts.items()])

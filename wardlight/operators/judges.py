@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardlight.functions.columns import contains_any, count_contained
-from wardlight.operators.priority import priority_scores
-from wardlight.operators.report import outreach_report_rows, section_text
+from wardlight.functions.columns import contains_any, count_contained, patient_name
+from wardlight.operators.priority import patient_factors, with_priority
+from wardlight.operators.report import latest_encounter, report_columns, section_text
 from wardlight.sources.clinical import ClinicalTables
 
 # Words the scores look for.
@@ -49,13 +49,18 @@ def chat_answers(tables: ClinicalTables) -> DataFrame:
 
 
 def report_answers(tables: ClinicalTables) -> DataFrame:
-    """Report paragraph and advice of all patients, as the answers of the second variant."""
+    """Report paragraph and advice of all patients, as the answers of the second variant.
+
+    Risk, barriers and score come from one frame, so each table is read once.
+    """
     number = F.substring_index("patient_id", "-", -1).cast("bigint") % 20 + 1
-    advice = priority_scores(tables).select("patient_id", "risk_factors", "recommendations")
+    people = tables.patients.select("patient_id", "mrn", patient_name().alias("patient_name"), "age")
+    picture = (with_priority(patient_factors(tables)).join(people, "patient_id")
+               .join(latest_encounter(tables), "patient_id", "left"))
     text = F.concat(section_text(),
                     F.lit("\n- **Risk Factors:** "), F.concat_ws(", ", "risk_factors"),
                     F.lit("\n- **Recommendation:** "), "recommendations")
-    return outreach_report_rows(tables).join(advice, "patient_id").select(
+    return report_columns(picture, "risk_factors", "recommendations").select(
         F.concat(F.lit("report-"), "patient_id").alias("answer_id"),
         F.concat(F.lit("q_"), F.lpad(number.cast("string"), 2, "0")).alias("request_id"),
         F.lit("improved").alias("variant"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from wardlight.functions.columns import condition_prefix, has_prefix, patient_name
-from wardlight.schema import CONDITION_PREFIXES
+from wardlight.schema import BARRIERS, CONDITION_PREFIXES
 from wardlight.sources.clinical import ClinicalTables
 
 
@@ -100,8 +100,17 @@ def risk_score_lookup(tables: ClinicalTables, patients: DataFrame | None = None)
             .select("patient_id", *(f"latest.{name}" for name in fields)))
 
 
+def latest_sdoh(tables: ClinicalTables, patients: DataFrame | None = None) -> DataFrame:
+    """Latest social assessment per patient; an undated one counts as the oldest."""
+    fields = (*BARRIERS, "last_assessed")
+    latest = F.max_by(F.struct(*fields), F.struct("last_assessed", *BARRIERS))
+    return (only_patients(tables.sdoh, patients)
+            .groupBy("patient_id").agg(latest.alias("latest"))
+            .select("patient_id", *(f"latest.{name}" for name in fields)))
+
+
 def sdoh_barriers(tables: ClinicalTables, patients: DataFrame | None = None) -> DataFrame:
-    return only_patients(tables.sdoh, patients).select(
+    return latest_sdoh(tables, patients).select(
         "patient_id", "housing_instability", "transportation_barrier", "food_insecurity",
         "social_isolation", "financial_strain", "last_assessed")
 

@@ -11,27 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-
-# A key with more rows than this is worked in buckets. It bounds the list of
-# such keys too: a table of 10^12 rows has fewer than a million of them.
-CROWDED = 1_000_000
-
-
-def split_crowded(rows: DataFrame, key: str, above: int = CROWDED) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary keys, and rows of crowded keys and of no key.
-
-    Ordinary keys can then go through one plain window. The count needs one
-    column and combines map-side. The list of crowded keys has at most
-    rows / ``above`` entries, hence the broadcast; when it is empty, AQE drops
-    the crowded branch before it starts.
-    """
-    crowded = F.broadcast(
-        rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > above).select(key))
-    calm = rows.where(F.col(key).isNotNull()).join(crowded, key, "left_anti")
-    busy = (rows.join(crowded, key, "left_semi")
-            .unionByName(rows.where(F.col(key).isNull())))
-    return calm.select(*rows.columns), busy.select(*rows.columns)
+from wardlight.session import settled
 
 
 def _attach(rows: DataFrame, lookup: DataFrame, keys: list[str], column: str) -> DataFrame:
@@ -105,28 +85,45 @@ def distributed_row_number(rows: DataFrame, name: str, partition_by: list[str],
     return numbered if at_most is None else numbered.where(F.col(name) <= at_most)
 
 
-def score_buckets(order: Column, key: str, key_prefix: int) -> dict[str, Column]:
-    """Buckets for rows ordered by a score between -1 and 1, then by ``key``.
+def ranked(rows: DataFrame, name: str, order_by: list[Column], within: list[str] | None = None,
+           parts: int | None = None) -> DataFrame:
+    """Number all rows from 1 by ``order_by``, or anew for each ``within``, whatever the keys look like.
 
-    The first level has some two thousand buckets at most, whatever the
-    scores; rows of one score, however many, are cut by the leading
-    characters of their key.
+    Rows are dealt into ranges of the whole order (sampled, so ranges hold
+    about equally many rows even where most rows share a score) and sorted
+    there; a row's number is its place in its range plus the rows of the ranges
+    before. ``order_by`` must be total. The sorted rows are written to shared
+    storage once, when this is called; beyond them only one row per range, and
+    one per value of ``within``, is moved. ``rows`` is read twice (its order is
+    sampled first): settle it if it is costly.
     """
-    return {"__thousandth": F.floor(order * 1000),
-            "__standing": F.struct(order.alias("score"),
-                                   F.substring(key, 1, key_prefix).alias("prefix"))}
+    order = [F.col(c) for c in within or []] + list(order_by)
+    dealt = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
+    # Built from the sorted partition's number and the row's place in it.
+    placed = settled(dealt.sortWithinPartitions(*order)
+                     .withColumn("__at", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright("__at", 33)
+    sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    # One row per range: as many as the shuffle had partitions.
+    numbered = (placed.withColumn("__part", part).join(F.broadcast(offsets), "__part")
+                .withColumn(name, F.col("__offset") + F.col("__at").bitwiseAND((1 << 33) - 1) + 1))
+    if within:
+        first = numbered.groupBy(*within).agg(F.min(name).alias("__first"))
+        numbered = _attach(numbered, first, within, "__first").withColumn(
+            name, F.col(name) - F.col("__first") + 1)
+    return numbered.select(*rows.columns, name)
 
 
 def next_in_group(rows: DataFrame, name: str, key: str, order_by: str, value: Column,
-                  bucket: Column | None = None) -> DataFrame:
-    """``lead(value)`` per ``key`` in ``order_by`` order, optionally in buckets.
+                  bucket: Column) -> DataFrame:
+    """``lead(value)`` per ``key`` in ``order_by`` order, worked bucket by bucket.
 
-    Without ``bucket`` the caller vouches that a key holds few rows (for
-    example one per calendar day). With it, a key is worked bucket by bucket;
-    the first value of the key's next bucket is sorted in as the last row.
+    ``bucket`` must never decrease along ``order_by``. The first value of the
+    key's next bucket is sorted in as the last row of each bucket, so the result
+    is that of one window over the key, for any ties and nulls.
     """
-    if bucket is None:
-        return rows.withColumn(name, F.lead(value).over(Window.partitionBy(key).orderBy(order_by)))
     tagged = rows.withColumns({"__bucket": bucket, "__value": value})
     following = F.lead("__head").over(Window.partitionBy(key).orderBy("__bucket"))
     marks = (tagged.groupBy(key, "__bucket").agg(F.min_by("__value", order_by).alias("__head"))

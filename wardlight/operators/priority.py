@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardlight.functions.columns import contact_hours, risk_category
-from wardlight.operators.lookups import only_patients, patient_conditions, risk_score_lookup
+from wardlight.operators.lookups import (
+    latest_sdoh, only_patients, patient_conditions, risk_score_lookup)
 from wardlight.operators.readmit import readmitted_patients
 from wardlight.schema import BARRIERS, HIGH_RISK, TIER_1, TIER_2
 from wardlight.sources.clinical import ClinicalTables
@@ -26,32 +27,25 @@ ADVICE_TIER_2 = "HIGH PRIORITY: Contact within 48 hours. Address barriers."
 ADVICE_TIER_3 = "MODERATE: Contact within 72 hours. Standard follow-up."
 
 
-def latest_sdoh(tables: ClinicalTables, patients: DataFrame | None = None) -> DataFrame:
-    """Latest social assessment per patient; an undated one counts as the oldest."""
-    latest = F.max_by(F.struct(*BARRIERS), F.struct("last_assessed", *BARRIERS))
-    return (only_patients(tables.sdoh, patients)
-            .groupBy("patient_id").agg(latest.alias("latest"))
-            .select("patient_id", *(f"latest.{b}" for b in BARRIERS)))
-
-
 def patient_factors(tables: ClinicalTables, patients: DataFrame | None = None) -> DataFrame:
-    """One row per patient: risk score (or null), the four factor flags, all barriers.
+    """One row per patient: risk score and category (or null), the four factor flags, all barriers.
 
     Every joined side is already one row per patient and hash-partitioned on
     it, so the joins add no exchange of their own.
     """
     base = only_patients(tables.patients.select("patient_id"), patients)
-    risk = risk_score_lookup(tables, patients).select("patient_id", "risk_score")
+    risk = risk_score_lookup(tables, patients).select("patient_id", "risk_score", "risk_category")
     readmitted = readmitted_patients(tables, patients).withColumn("has_readmission", F.lit(True))
     conditions = (patient_conditions(tables, ["CHF", "COPD"], patients)
                   .select("patient_id", (F.col("chf") | F.col("copd")).alias("has_chf_copd")))
     joined = base
     for side in (risk, readmitted, latest_sdoh(tables, patients), conditions):
         joined = joined.join(side, "patient_id", "left")
+    joined = joined.drop("last_assessed")
     flags = {"has_readmission": "has_readmission", "has_transport": "transportation_barrier",
              "has_housing": "housing_instability", "has_chf_copd": "has_chf_copd"}
     return joined.select(
-        "patient_id", "risk_score",
+        "patient_id", "risk_score", "risk_category",
         *(F.coalesce(column, F.lit(False)).alias(flag) for flag, column in flags.items()),
         *(F.coalesce(barrier, F.lit(False)).alias(barrier) for barrier in BARRIERS))
 
@@ -113,7 +107,8 @@ def barrier_profile(tables: ClinicalTables) -> DataFrame:
     for flag in BARRIERS:
         count = count + F.col(flag).cast("int")
     active = F.array_compact(F.array(*(F.when(F.col(flag), flag) for flag in BARRIERS)))
-    return tables.sdoh.select("patient_id", count.alias("barrier_count"), active.alias("barriers"))
+    return latest_sdoh(tables).select(
+        "patient_id", count.alias("barrier_count"), active.alias("barriers"))
 
 
 def barrier_counts(tables: ClinicalTables, patients: DataFrame) -> DataFrame:

@@ -4,98 +4,81 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from wardlight.functions.columns import has_prefix
 from wardlight.operators.lookups import only_patients
-from wardlight.operators.ordering import (
-    CROWDED, next_in_group, number_after_marks, split_crowded)
+from wardlight.operators.ordering import next_in_group, number_after_marks
 from wardlight.schema import READMISSION_LOOKAHEAD_DAYS, READMISSION_WINDOW_DAYS
 from wardlight.sources.clinical import ClinicalTables
 
 
-def encounter_sequence(tables: ClinicalTables, crowded_above: int = CROWDED) -> DataFrame:
+def encounter_sequence(tables: ClinicalTables) -> DataFrame:
     """Position of each encounter in its patient's history, and the history's length.
 
-    Numbered by admission date, then encounter id: by one window for ordinary
-    patients. A crowded patient's stays are counted per day, the running
-    counts are taken over days, and only the stays of one day are sorted
-    together.
+    Numbered by admission date, then encounter id. Stays are counted per
+    patient and day, the running counts are taken over days, and only the stays
+    of one day are sorted together: a patient with a third of all stays is
+    worked like any other.
     """
-    stays = tables.encounters.select("patient_id", "encounter_id", "admission_date")
-    order = [F.col("admission_date"), F.col("encounter_id")]
-    calm, busy = split_crowded(stays, "patient_id", crowded_above)
+    stays = tables.encounters.select("patient_id", "encounter_id", "admission_date").withColumn(
+        "__day", F.to_date("admission_date"))
     history = Window.partitionBy("patient_id")
-    plain = calm.withColumns({
-        "enc_num": F.row_number().over(history.orderBy(*order)).cast("bigint"),
-        "total_encs": F.count(F.lit(1)).over(history)})
-
-    busy = busy.withColumn("__day", F.to_date("admission_date"))
     marks = (
-        busy.groupBy("patient_id", "__day").agg(F.count(F.lit(1)).alias("__n"))
+        stays.groupBy("patient_id", "__day").agg(F.count(F.lit(1)).alias("__n"))
         .select("patient_id", "__day",
                 F.coalesce(F.sum("__n").over(history.orderBy("__day").rowsBetween(
                     Window.unboundedPreceding, -1)), F.lit(0)).alias("__offset"),
                 F.sum("__n").over(history).alias("__total")))
-    bucketed = number_after_marks(
-        busy, marks, "enc_num", ["patient_id", "__day"], order, {"__total": "total_encs"})
-    return plain.unionByName(bucketed.drop("__day"))
+    return number_after_marks(
+        stays, marks, "enc_num", ["patient_id", "__day"],
+        [F.col("admission_date"), F.col("encounter_id")], {"__total": "total_encs"}).drop("__day")
 
 
-def _next_of_crowded(stays: DataFrame) -> DataFrame:
-    """``next_id`` and ``next_admission`` for patients with very many stays.
+def stays_with_next(tables: ClinicalTables, patients: DataFrame | None = None,
+                    carry: Sequence[str] = ()) -> DataFrame:
+    """Every stay with the patient's very next one, where it follows within a year.
 
-    Of stays that begin together only the last (by id) can be followed and
-    only the first can follow, so they combine before the shuffle and the
-    window sees one row per patient and admission time; times finer than days
-    are cut by month as well.
+    Adds ``next_id``, ``next_admission`` and ``days_between``, null where the
+    next stay begins before the discharge, lies more than 365 days after it, or
+    does not exist; an overlapping next stay ends the search rather than being
+    skipped. A stay without a patient has no next one. Each patient's stays are
+    worked day by day, not in one window and not by a self-join.
     """
-    held = [c for c in stays.columns if c not in ("patient_id", "admission_date")]
-    starts = (stays.groupBy("patient_id", "admission_date")
-              .agg(F.max_by(F.struct(*held), "encounter_id").alias("stay"),
-                   F.min("encounter_id").alias("first_id")))
-    timed = not isinstance(stays.schema["admission_date"].dataType, T.DateType)
+    stays = only_patients(tables.encounters, patients).select(
+        "patient_id", "admission_date", "encounter_id", "discharge_date", *carry)
+    known = stays.where(F.col("patient_id").isNotNull()).withColumn(
+        "__order", F.struct("admission_date", "encounter_id"))
     linked = next_in_group(
-        starts, "next", "patient_id", "admission_date", F.struct("first_id", "admission_date"),
-        F.trunc("admission_date", "month") if timed else None)
-    return linked.select("patient_id", "admission_date", "stay.*",
-                         F.col("next.first_id").alias("next_id"),
-                         F.col("next.admission_date").alias("next_admission"))
+        known, "next", "patient_id", "__order",
+        F.struct(F.col("encounter_id").alias("id"), F.col("admission_date").alias("start")),
+        F.to_date("admission_date")).drop("__order")
+    days = F.datediff("next.start", "discharge_date")
+    follows = (F.col("next.start") > F.col("discharge_date")) & (days <= READMISSION_LOOKAHEAD_DAYS)
+    found = linked.select(
+        *stays.columns, F.when(follows, F.col("next.id")).alias("next_id"),
+        F.when(follows, F.col("next.start")).alias("next_admission"),
+        F.when(follows, days).alias("days_between"))
+    return found.unionByName(stays.where(F.col("patient_id").isNull()), allowMissingColumns=True)
 
 
 def readmission_pairs(tables: ClinicalTables, patients: DataFrame | None = None,
-                      carry: Sequence[str] = (), crowded_above: int = CROWDED) -> DataFrame:
+                      carry: Sequence[str] = ()) -> DataFrame:
     """Each stay followed, as the patient's very next stay, by one within a year.
 
-    The next admission must come after the discharge and at most 365 days
-    later; an overlapping next stay ends the search rather than being skipped.
-    One window finds the next stay, not a self-join; crowded patients take
-    their own path. ``carry`` names further columns of the first stay to keep.
-
-    The id is made of the two encounter ids: no global numbering is needed.
+    ``carry`` names further columns of the first stay to keep. The id is made
+    of the two encounter ids: no global numbering is needed.
     """
-    stays = (only_patients(tables.encounters, patients)
-             .where(F.col("patient_id").isNotNull())
-             .select("patient_id", "admission_date", "encounter_id", "discharge_date", *carry))
-    calm, busy = split_crowded(stays, "patient_id", crowded_above)
-    history = Window.partitionBy("patient_id").orderBy("admission_date", "encounter_id")
-    linked = calm.withColumns({
-        "next_id": F.lead("encounter_id").over(history),
-        "next_admission": F.lead("admission_date").over(history),
-    }).unionByName(_next_of_crowded(busy))
-    days = F.datediff("next_admission", "discharge_date")
     return (
-        linked
-        .where((F.col("next_admission") > F.col("discharge_date"))
-               & (days <= READMISSION_LOOKAHEAD_DAYS))
+        stays_with_next(tables, patients, carry).where(F.col("days_between").isNotNull())
         .select(F.concat_ws("-", F.lit("readmit"), "encounter_id", "next_id").alias("readmission_id"),
                 "patient_id",
                 F.col("encounter_id").alias("original_encounter_id"),
                 F.col("next_id").alias("readmit_encounter_id"),
                 F.col("discharge_date").alias("original_discharge_date"),
                 F.col("next_admission").alias("readmit_admission_date"),
-                days.alias("days_between"),
-                (days <= READMISSION_WINDOW_DAYS).alias("is_30_day"),
+                "days_between",
+                (F.col("days_between") <= READMISSION_WINDOW_DAYS).alias("is_30_day"),
                 *carry)
     )
 
@@ -118,14 +101,22 @@ def _rate(pairs, stays):
     return F.round(pairs / stays, 4)
 
 
+def _finished_stays(tables: ClinicalTables, carry: Sequence[str]) -> DataFrame:
+    """Stays that ended by the reference day; ``back`` marks a 30-day readmission by then."""
+    tomorrow = F.date_add(tables.today(), 1)
+    back = (F.col("days_between") <= READMISSION_WINDOW_DAYS) & (F.col("next_admission") < tomorrow)
+    return (stays_with_next(tables, carry=carry).where(F.col("discharge_date") < tomorrow)
+            .withColumn("back", F.coalesce(back, F.lit(False))))
+
+
 def facility_readmission_rate(tables: ClinicalTables) -> DataFrame:
-    """30-day readmissions per finished stay, by the facility of the first stay."""
-    stays = (tables.encounters.where(F.col("discharge_date") < F.date_add(tables.today(), 1))
-             .groupBy("facility").agg(F.count(F.lit(1)).alias("discharges")))
-    pairs = (readmission_pairs(tables, carry=["facility"]).where("is_30_day")
-             .groupBy("facility").agg(F.count(F.lit(1)).alias("readmissions_30d")))
-    return (stays.join(pairs, "facility", "left")
-            .withColumn("readmissions_30d", F.coalesce("readmissions_30d", F.lit(0).cast("bigint")))
+    """30-day readmissions per finished stay, by the facility of the first stay.
+
+    Counted in one pass, stays of an unknown facility as a group of their own.
+    A readmission counts once it has happened by the reference day.
+    """
+    return (_finished_stays(tables, ["facility"]).groupBy("facility")
+            .agg(F.count(F.lit(1)).alias("discharges"), F.count_if("back").alias("readmissions_30d"))
             .withColumn("readmission_rate", _rate(F.col("readmissions_30d"), F.col("discharges"))))
 
 
@@ -166,21 +157,16 @@ def top_diagnoses_readmitted(tables: ClinicalTables, top: int = 10) -> DataFrame
 def quality_rollup(tables: ClinicalTables) -> DataFrame:
     """Discharges, 30-day readmissions, rate and mean stay by month and facility.
 
-    Subtotals per month and the grand total come from the same pass over
+    One pass over the stays counts everything. Subtotals per month and the grand total come from the same pass over
     already counted rows; ``level`` is 0 for detail, 1 per month, 3 for all.
     """
-    month = F.date_format("discharge_date", "yyyy-MM").alias("discharge_month")
-    finished = tables.encounters.where(F.col("discharge_date") < F.date_add(tables.today(), 1))
-    stays = (finished.groupBy(month, "facility")
-             .agg(F.count(F.lit(1)).alias("n"), F.sum("length_of_stay").alias("days")))
-    pairs = (readmission_pairs(tables, carry=["facility"]).where("is_30_day")
-             .groupBy(F.date_format("original_discharge_date", "yyyy-MM").alias("discharge_month"),
-                      "facility")
-             .agg(F.count(F.lit(1)).alias("r")))
-    cells = stays.join(pairs, ["discharge_month", "facility"], "left")
+    cells = (_finished_stays(tables, ["facility", "length_of_stay"])
+             .groupBy(F.date_format("discharge_date", "yyyy-MM").alias("discharge_month"), "facility")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("length_of_stay").alias("days"),
+                  F.count_if("back").alias("r")))
     return (cells.rollup("discharge_month", "facility")
             .agg(F.sum("n").alias("discharges"),
-                 F.sum(F.coalesce("r", F.lit(0))).alias("readmissions_30d"),
+                 F.sum("r").alias("readmissions_30d"),
                  F.sum("days").alias("days"),
                  F.grouping_id().cast("int").alias("level"))
             .select("discharge_month", "facility", "level", "discharges", "readmissions_30d",

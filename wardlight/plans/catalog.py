@@ -16,7 +16,7 @@ from wardlight.functions.columns import (
 from wardlight.operators import (
     assign, checks, cohorts, judges, lookups, priority, readmit, report, sampling)
 from wardlight.plans import flagship, questions
-from wardlight.session import scratch_path
+from wardlight.session import scratch_path, settled
 from wardlight.sources.clinical import ClinicalTables
 from wardlight.sources.fixtures import SOURCE_SCHEMAS, mapped_columns
 from wardlight.sources.sinks import append_report, overwrite
@@ -46,7 +46,7 @@ def sink_roundtrip_overwrite(t: ClinicalTables) -> DataFrame:
 
 
 def weekly_report_append(t: ClinicalTables) -> DataFrame:
-    """Reports of two weeks appended to one place; lines and high-risk lines per date."""
+    """Reports of two weeks kept in one place; lines and high-risk lines per date."""
     path = f"{scratch_path(t.spark, 'weekly')}/reports"
     for day in (t.as_of - dt.timedelta(days=7), t.as_of):
         week = t.at(day)
@@ -121,7 +121,8 @@ def weighted_bucket_assign(t: ClinicalTables) -> DataFrame:
 def cohort_mark_first_n(t: ClinicalTables) -> DataFrame:
     """Readmission pairs with a fixed number flagged, those after recent discharges first."""
     recent = F.col("original_discharge_date") >= F.date_sub(t.today(), 90)
-    pairs = readmit.readmission_pairs(t).select("readmission_id", "original_discharge_date")
+    pairs = settled(readmit.readmission_pairs(t).select(
+        "readmission_id", "original_discharge_date"), "pairs")
     return sampling.mark_first_n(pairs, "readmission_id", MARKED, recent, SEED, "marked")
 
 
@@ -176,7 +177,9 @@ def adt_stream_dedup(t: ClinicalTables, sf_dir: str) -> DataFrame:
 
 
 def adt_stream_enrich(t: ClinicalTables, sf_dir: str) -> DataFrame:
-    return adt.drained(t.spark, adt.enriched(adt_feed_stream(t, sf_dir), t), "enrich").drop("ts")
+    root = scratch_path(t.spark, "enrich")
+    adt.run_enriched(adt_feed_stream(t, sf_dir), t, f"{root}/rows", f"{root}/progress")
+    return t.spark.read.parquet(f"{root}/rows").drop("ts", "batch")
 
 
 def risk_incremental(t: ClinicalTables, sf_dir: str, batches: int = 4) -> DataFrame:
@@ -185,7 +188,7 @@ def risk_incremental(t: ClinicalTables, sf_dir: str, batches: int = 4) -> DataFr
     feed = t.table("adt_feed")
     feed.repartitionByRange(batches, "event_id").write.parquet(f"{root}/feed")
     stream = adt.read_feed(t.spark, f"{root}/feed", feed.schema, files_per_batch=1)
-    adt.run_incremental(stream, t, f"{root}/scores", f"{root}/progress")
+    adt.run_incremental(stream, t, f"{root}/scores", f"{root}/progress", compact_every=3)
     return _joined(adt.current_scores(t.spark, f"{root}/scores"), "risk_factors")
 
 
@@ -203,8 +206,7 @@ BATCH: dict[str, Plan] = {
     "diagnoses_by_condition": lambda t: lookups.diagnoses_by_condition(t, "chf"),
     "condition_label_all": lookups.condition_labels,
     "patients_per_condition": lookups.condition_counts,
-    "readmission_history": lambda t: readmit.readmission_history(
-        t, priority.high_risk_patients(t)),
+    "readmission_history": readmit.readmission_history,
     "risk_score_lookup": lookups.risk_score_lookup,
     "sdoh_barriers": lookups.sdoh_barriers,
     "available_coordinators": lambda t: lookups.available_coordinators(t, "CHF"),

@@ -27,10 +27,10 @@ def high_risk_recent(tables: ClinicalTables, days_back: int) -> DataFrame:
 def flagship_outreach(tables: ClinicalTables, days_back: int = 7) -> DataFrame:
     """High-risk recent discharges with CHF or COPD and a 30-day readmission.
 
-    The recent cohort comes first and restricts every other table by
-    semi-join, so histories and diagnoses are shuffled for those patients only.
+    The recent cohort comes first. It is settled, so its size is known and
+    every other table is cut to it by a semi-join that reads no history again.
     """
-    cohort = high_risk_recent(tables, days_back)
+    cohort = settled(high_risk_recent(tables, days_back), "cohort")
     factors = patient_factors(tables, cohort).where(
         (F.col("risk_score") > HIGH_RISK) & F.col("has_chf_copd") & F.col("has_readmission"))
     return with_priority(factors).join(cohort, "patient_id").select(
@@ -41,11 +41,11 @@ def flagship_outreach(tables: ClinicalTables, days_back: int = 7) -> DataFrame:
 def outreach_assignments(tables: ClinicalTables, days_back: int = 7) -> DataFrame:
     """The flagship list with a coordinator for each patient while places last."""
     patients = flagship_outreach(tables, days_back).select("patient_id", "priority_score")
-    return assign_coordinators(tables, settled(patients, "outreach"), ["CHF", "COPD"])
+    return assign_coordinators(tables, settled(patients, "outreach"))
 
 
 def monday_worklist(tables: ClinicalTables, days_back: int = 7) -> DataFrame:
     """Ranked work list: flags, tier and coordinator in one table."""
     patients = settled(flagship_outreach(tables, days_back), "outreach")
-    assigned = assign_coordinators(tables, patients, ["CHF", "COPD"]).drop("priority_score")
+    assigned = assign_coordinators(tables, patients).drop("priority_score")
     return patients.join(assigned, "patient_id").orderBy(F.desc("priority_score"), "patient_id")

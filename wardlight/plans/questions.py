@@ -100,28 +100,31 @@ def q_15(t: ClinicalTables) -> DataFrame:
 
 
 def q_16(t: ClinicalTables) -> DataFrame:
-    """Whom to prioritise this week by risk and coordinator capacity."""
-    top = priority.priority_top(t, 18).select("patient_id", "priority_score")
-    return assign.assign_coordinators(t, settled(top, "top"))
+    """Whom to prioritise this week by risk and coordinator capacity: everyone, in order."""
+    scores = priority.priority_scores(t).select("patient_id", "priority_score")
+    return assign.assign_coordinators(t, settled(scores, "scores"))
 
 
 def q_17(t: ClinicalTables) -> DataFrame:
     """Monday morning readmission prevention report, as document parts."""
-    patients = flagship.flagship_outreach(t).select("patient_id")
-    return report.report_document(t, settled(patients, "outreach"))
+    patients = settled(flagship.flagship_outreach(t).select("patient_id", "priority_score"),
+                       "outreach")
+    return report.report_document(t, patients,
+                                  assignments=assign.assign_coordinators(t, patients))
 
 
 def q_18(t: ClinicalTables) -> DataFrame:
-    """CHF patients with readmission, social barrier and high score, with a coordinator."""
+    """CHF patients with readmission, social barrier and high score, with coordinators."""
     any_barrier = F.lit(False)
     for flag in BARRIERS:
         any_barrier = any_barrier | F.col(flag)
     risky = priority.high_risk_patients(t).select("patient_id")
     social = priority.latest_sdoh(t, risky).where(any_barrier)
-    chf = lookups.patient_conditions(t, ["CHF"], social).select(
-        "patient_id", F.when(F.col("chf"), "CHF").alias("specialty"))
+    chf = settled(cohorts.with_condition(t, "CHF", patients=social), "chf")
     group = lookups.only_patients(chf, readmit.readmitted_patients(t, chf))
-    return assign.suggest_coordinators(t, group, ["CHF"])
+    scores = settled(priority.priority_scores(t, settled(group, "group")).select(
+        "patient_id", "priority_score"), "scores")
+    return assign.assign_coordinators(t, scores, ["CHF"])
 
 
 def q_19(t: ClinicalTables) -> DataFrame:
@@ -146,11 +149,11 @@ def q_20(t: ClinicalTables) -> DataFrame:
     """Outreach plan for all high-risk patients by capacity, specialty and acuity."""
     scores = priority.priority_scores(t, priority.high_risk_patients(t)).select(
         "patient_id", "priority_score")
-    assigned = assign.assign_coordinators(t, settled(scores, "scores"), ["CHF", "COPD"])
+    assigned = assign.assign_coordinators(t, settled(scores, "scores"))
     return assigned.select(
         "patient_id", "priority_score", "priority_rank",
         contact_hours(F.col("priority_score")).alias("contact_within_hours"),
-        "coordinator_id", "coordinator_name")
+        "specialty", "coordinator_id", "coordinator_name", "match_quality")
 
 
 def diabetes_and_readmitted(t: ClinicalTables) -> DataFrame:

@@ -69,16 +69,30 @@ def settled(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder on any storage that Spark reaches."""
+    where, files = _file_system(spark, path)
+    return files.delete(where, True)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; a folder that is not there has none."""
+    where, files = _file_system(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(where)] if files.exists(where) else []
+
+
 def release_scratch(spark: SparkSession) -> int:
     """Remove every folder that this process has settled; returns how many.
 
     Call it when the results that were built on them have been written:
     frames that still read a settled folder fail afterwards.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0
     while _written:
-        path = hadoop(_written.pop())
-        removed += bool(path.getFileSystem(conf).delete(path, True))
+        removed += remove_path(spark, _written.pop())
     return removed

@@ -18,8 +18,16 @@ from wardlight.sources.questions import QUESTION_ROWS
 
 AS_OF = dt.date(2001, 8, 1)
 
-_PATIENT = "'patient-' || lpad(cast({} + 1 AS string), 6, '0')"
-_ENCOUNTER = "'encounter-' || lpad(cast({} + 1 AS string), 8, '0')"
+
+
+def _numbered(prefix: str, width: int) -> str:
+    """An id text of at least ``width`` digits; longer numbers keep all of theirs."""
+    text = "cast({0} + 1 AS string)"
+    return f"'{prefix}-' || lpad({text}, greatest({width}, cast(length({text}) AS int)), '0')"
+
+
+_PATIENT, _ENCOUNTER = _numbered("patient", 6), _numbered("encounter", 8)
+_COORDINATOR = _numbered("coord", 6)
 
 # name -> (source relation, filter or None, [(expression, column), ...])
 MAPPING: dict[str, tuple[str, str | None, list[tuple[str, str]]]] = {
@@ -28,7 +36,7 @@ MAPPING: dict[str, tuple[str, str | None, list[tuple[str, str]]]] = {
         None,
         [
             (_PATIENT.format("c_custkey"), "patient_id"),
-            ("'MRN' || cast(100000 + (c_custkey * 7919) % 900000 AS string)", "mrn"),
+            ("'MRN' || cast(100000 + c_custkey * 7919 AS string)", "mrn"),
             ("'First' || cast(c_custkey % 97 AS string)", "first_name"),
             ("'Last' || cast(c_custkey % 211 AS string)", "last_name"),
             ("cast(18 + c_custkey % 78 AS int)", "age"),
@@ -120,7 +128,7 @@ MAPPING: dict[str, tuple[str, str | None, list[tuple[str, str]]]] = {
         "supplier",
         None,
         [
-            ("'coord-' || lpad(cast(s_suppkey + 1 AS string), 6, '0')", "coordinator_id"),
+            (_COORDINATOR.format("s_suppkey"), "coordinator_id"),
             ("s_name", "name"),
             ("CASE WHEN s_suppkey % 3 = 0 THEN 'Senior Care Coordinator'"
              " ELSE 'Care Coordinator' END", "title"),

@@ -35,6 +35,11 @@ def write_clinical(tables: ClinicalTables, root: str, fmt: str = "parquet") -> N
 
 
 def append_report(report: DataFrame, path: str, report_date: dt.date) -> None:
-    """Append one dated report; a report of another date is left alone."""
+    """Put one dated report beside those of other dates.
+
+    Only the partition of its date is replaced, so a retried or repeated job
+    leaves one report of that date.
+    """
     (report.withColumn("report_date", F.lit(report_date))
-     .write.mode("append").partitionBy("report_date").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("report_date").parquet(path))

@@ -10,37 +10,67 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from wardlight.operators.lookups import risk_score_lookup
+from wardlight.operators.lookups import only_patients, risk_score_lookup
 from wardlight.operators.priority import priority_scores
-from wardlight.session import scratch_path
+from wardlight.session import list_folder, remove_path, scratch_path, settled
 from wardlight.sources.clinical import ClinicalTables
 
 LATENESS = "1 hour"
 
 
 def read_feed(spark: SparkSession, path: str, schema, name_filter: str | None = None,
-              files_per_batch: int | None = None) -> DataFrame:
-    """Parquet files that arrive in ``path``."""
-    reader = spark.readStream.schema(schema)
+              files_per_batch: int | None = None, fmt: str = "parquet") -> DataFrame:
+    """Files that arrive in ``path``, in any of Spark's file formats (Parquet, JSON, ...)."""
+    reader = spark.readStream.schema(schema).format(fmt)
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.load(path)
+
+
+def instant(feed: DataFrame) -> DataFrame:
+    """The feed with ``ts`` as an instant.
+
+    A time without a zone is taken as UTC, field by field: a plain cast would
+    take it as the session's zone.
+    """
+    if isinstance(feed.schema["ts"].dataType, T.TimestampNTZType):
+        return feed.withColumn("ts", F.expr(
+            "make_timestamp_ltz(year(ts), month(ts), day(ts), hour(ts), minute(ts),"
+            " extract(SECOND FROM ts), 'UTC')"))
+    return feed.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def timed(feed: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """The feed with a watermark on ``ts``; messages later than that are dropped."""
-    return feed.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
+    return instant(feed).withWatermark("ts", lateness)
+
+
+def utc_day(moment: Column) -> Column:
+    """The UTC day of an instant, in any session time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(moment) / 86400).cast("int"))
 
 
 def daily_counts(feed: DataFrame) -> DataFrame:
-    """Messages per day and type; a day is final once the watermark has passed it."""
+    """Messages per UTC day and type; a day is final once the watermark has passed it."""
     return (timed(feed).groupBy(F.window("ts", "1 day"), "adt_type")
             .agg(F.count(F.lit(1)).alias("messages"))
-            .select(F.to_date("window.start").alias("day"), "adt_type", "messages"))
+            .select(utc_day(F.col("window.start")).alias("day"), "adt_type", "messages"))
+
+
+def closing_counts(rows: DataFrame, final: DataFrame) -> DataFrame:
+    """Counts of the days that ``daily_counts`` still holds open when a feed has ended.
+
+    ``rows`` is the whole feed as a batch, ``final`` what the stream has given:
+    together they are the counts of all days. Messages that the stream dropped
+    as too late belong to days that were given, and stay dropped.
+    """
+    open_days = (instant(rows).groupBy(utc_day(F.col("ts")).alias("day"), "adt_type")
+                 .agg(F.count(F.lit(1)).alias("messages")))
+    return open_days.join(final.select("day").distinct(), "day", "left_anti")
 
 
 def deduplicated(feed: DataFrame) -> DataFrame:
@@ -49,18 +79,32 @@ def deduplicated(feed: DataFrame) -> DataFrame:
 
 
 def enriched(feed: DataFrame, tables: ClinicalTables) -> DataFrame:
-    """Messages with the patient's record number and latest risk.
+    """Messages (a batch, or one micro-batch) with the patient's record number and latest risk.
 
-    The clinical side is read again in every micro-batch, so a message meets
-    the tables as they are when it arrives.
+    The clinical side is cut to the patients of the messages before anything is
+    aggregated, so only their rows are moved.
     """
-    people = (tables.patients.select("patient_id", "mrn")
-              .join(risk_score_lookup(tables).select("patient_id", "risk_score", "risk_category"),
-                    "patient_id", "left"))
+    touched = settled(feed.select("patient_id").distinct(), "touched")
+    risk = risk_score_lookup(tables, touched).select("patient_id", "risk_score", "risk_category")
+    people = (only_patients(tables.patients.select("patient_id", "mrn"), touched)
+              .join(risk, "patient_id", "left"))
     return feed.join(people, "patient_id", "left").select(
         "event_id", "ts", "patient_id", "adt_type", "mrn", "risk_score", "risk_category")
 
 
+def run_enriched(feed: DataFrame, tables: ClinicalTables, path: str, checkpoint: str) -> None:
+    """Write every micro-batch, enriched, to its own folder, which a replay overwrites.
+
+    The clinical tables are read in each micro-batch, so a message meets them
+    as they are when it arrives.
+    """
+    def step(batch: DataFrame, batch_id: int) -> None:
+        held = settled(batch, "messages")
+        enriched(held, tables).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    _run_batches(feed, step, checkpoint)
+
+
 def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Append the stream's rows to ``path`` until the feed is used up."""
     query = (stream.writeStream.format("parquet").outputMode("append")
@@ -70,41 +114,82 @@ def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> None:
 
 
 def drained(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
-    """Run the stream to its present end and read back what it wrote."""
+    """Run the stream to its present end and read back what it wrote.
+
+    Windows that the watermark has not passed stay open and are not in it:
+    the last days of a daily count come with later messages, or from
+    ``closing_counts`` if there will be none.
+    """
     root = scratch_path(spark, label)
     run_to_files(stream, f"{root}/rows", f"{root}/progress")
     return spark.read.schema(stream.schema).parquet(f"{root}/rows")
 
 
-def score_touched(tables: ClinicalTables, path: str) -> Callable[[DataFrame, int], None]:
+def _run_batches(feed: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    query = (feed.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+
+
+def share_of(tables: ClinicalTables, touched: DataFrame) -> ClinicalTables:
+    """The tables cut to some patients, for work on a few of them.
+
+    ``touched`` (settled, so its size is known) is small next to the history:
+    the tables are filtered by it where they are read. The patients' stays are
+    settled in turn and filter the diagnoses, so no history is shuffled.
+    """
+    stays = settled(only_patients(tables.encounters, touched), "stays")
+    codes = tables.diagnoses.join(stays.select("encounter_id"), "encounter_id", "left_semi")
+    return tables.replace(
+        patients=only_patients(tables.patients, touched), encounters=stays, diagnoses=codes,
+        risk_scores=only_patients(tables.risk_scores, touched),
+        sdoh=only_patients(tables.sdoh, touched))
+
+
+def score_touched(tables: ClinicalTables, path: str, compact_every: int = 0
+                  ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` step that rescores only the patients of the batch.
 
     A batch writes its own version folder and overwrites it when replayed, so
-    a batch run twice after a failure leaves one result.
+    a batch run twice after a failure leaves one result. Every
+    ``compact_every``-th batch writes the newest scores of all earlier versions
+    as well and then removes those; a failure in between leaves both, and the
+    newest version counts.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
-        touched = batch.select("patient_id").distinct().persist()
-        try:
-            (priority_scores(tables, touched)
-             .write.mode("overwrite").parquet(f"{path}/version={batch_id}"))
-        finally:
-            touched.unpersist()
+        spark = tables.spark
+        touched = settled(batch.select("patient_id").distinct(), "touched")
+        scores = priority_scores(share_of(tables, touched))
+        older = [v for v in versions(spark, path) if v < batch_id]
+        target = f"{path}/version={batch_id}"
+        if compact_every and older and batch_id % compact_every == compact_every - 1:
+            kept = current_scores(spark, path, older).join(touched, "patient_id", "left_anti")
+            scores.unionByName(kept).write.mode("overwrite").parquet(target)
+            for version in older:
+                remove_path(spark, f"{path}/version={version}")
+        else:
+            scores.write.mode("overwrite").parquet(target)
 
     return step
 
 
-def run_incremental(feed: DataFrame, tables: ClinicalTables, path: str, checkpoint: str) -> None:
-    query = (feed.writeStream.foreachBatch(score_touched(tables, path))
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
+def run_incremental(feed: DataFrame, tables: ClinicalTables, path: str, checkpoint: str,
+                    compact_every: int = 0) -> None:
+    _run_batches(feed, score_touched(tables, path, compact_every), checkpoint)
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the version folders in ``path``."""
+    return sorted(int(name.split("=")[1]) for name in list_folder(spark, path)
+                  if name.startswith("version="))
 
 
-def current_scores(spark: SparkSession, path: str) -> DataFrame:
-    """The newest score of every patient that any batch has touched."""
-    versions = spark.read.parquet(path)
+def current_scores(spark: SparkSession, path: str, among: list[int] | None = None) -> DataFrame:
+    """The newest score of every patient that any batch (or one ``among`` some) has touched."""
+    rows = spark.read.parquet(path) if among is None else spark.read.option(
+        "basePath", path).parquet(*(f"{path}/version={v}" for v in among))
     newest = F.max_by(F.struct("priority_score", "risk_factors", "recommendations"), "version")
-    return (versions.groupBy("patient_id").agg(newest.alias("s"))
+    return (rows.groupBy("patient_id").agg(newest.alias("s"))
             .select("patient_id", "s.*"))
 
 
