@@ -13,6 +13,7 @@ section.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -37,6 +38,11 @@ _TAIL = b".,;:!?|#$%&*"
 GROUP_PIECES = 20_000
 
 
+def _ends_in_letter(stem: bytes) -> bool:
+    """Whether it still does as the vocabulary sees it: some letters become letter and mark."""
+    return unicodedata.normalize("NFC", stem.decode()).lower()[-1].isalpha()
+
+
 class WordIds:
     """Token ids of words.
 
@@ -89,7 +95,7 @@ class WordIds:
         for word in words:
             stem = word.rstrip(_TAIL)
             plain = stem and len(stem) < len(word) and (
-                stem[-1:].isalnum() if stem[-1] < 128 else stem.decode()[-1].isalpha())
+                stem[-1:].isalnum() if stem[-1] < 128 else _ends_in_letter(stem))
             parted.append((stem, word[len(stem):]) if plain else (word,))
         self._learn_stems([s for s in dict.fromkeys(s for parts in parted for s in parts)
                            if s not in self.stems])
