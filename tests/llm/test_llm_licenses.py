@@ -10,7 +10,7 @@ def test_whole_texts_and_notices(spark, documents):
     mit = TEXTS["MIT"]
     wrapped = "Copyright (c) 2020 Somebody\nAll rights reserved.\n\n" + mit.replace(", ", ",\n   ")
     frame = documents(
-        (1, wrapped), (2, mit.upper().replace("sublicense", "sub-licence")),
+        (1, wrapped), (2, mit.upper().replace("RESTRICTION", "LIMITATION")),
         (3, "MIT Licence\n\n(c) Me\n" + mit.replace("\"", "'")),
         (4, "Some prose.\nLicensed under the Apache Licence, version 2.0!\nMore prose."),
         (5, "Released under the MIT License.\nThis work is licensed under CC BY-NC 4.0."),
