@@ -13,8 +13,9 @@
 4. A shard takes its units as consecutive runs of each source's permuted units,
    and orders its documents by a seeded hash.
 
-Only counts go through the tree; texts are never moved to be mixed. All of it
-is DataFrame operations. Draws depend on seed, node and source alone, so
+Only counts go through the tree, one row per node with one count per source: it is
+meant for up to some ten thousand sources. Texts are never moved to be mixed.
+All of it is DataFrame operations. Draws depend on seed, node and source alone, so
 reruns agree.
 
 Defined cases: null text or a text without words has size 0 and is never taken;

@@ -277,16 +277,23 @@ def _near_pairs(percent: int, reach: int):
     return run
 
 
+def block_rows(band: int, percent: int) -> int:
+    """Members of one block: fewer where sketches are long, so a block holds some 8 MB of them."""
+    return min(BLOCK, max(16, (1 << 20) // band_shape(band, percent)[0]))
+
+
 def _open_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, reach: int
                 ) -> DataFrame:
     """Candidate pairs of keys whose members lie in several components, block by block."""
     rooted = (members.join(roots, F.col("doc") == F.col("node"), "left")
               .select("part_key", "doc", F.coalesce("root", "doc").alias("root")))
+    band = F.col("part_key").bitwiseAND((1 << _BAND_BITS) - 1).cast("int")
+    rows = F.element_at(F.array(*(F.lit(block_rows(b, percent)) for b in range(
+        len(band_edges(percent)) - 1))), band + 1)
     several = (rooted.groupBy("part_key").agg(
         F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("n"))
         .where(F.col("r0") != F.col("r1"))
-        .select("part_key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    band = F.col("part_key").bitwiseAND((1 << _BAND_BITS) - 1).cast("int")
+        .select("part_key", F.ceil(F.col("n") / rows).cast("int").alias("blocks")))
     placed = (rooted.join(several, "part_key")
               .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
               .withColumn("band", band)
