@@ -36,6 +36,14 @@ def test_no_cross_join_or_python_in_any_plan(small, key):
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|PythonUDF|InPandas|InArrow", text)
 
 
+@pytest.mark.parametrize("key, most", [
+    ("flagship_outreach", 4), ("cohort_mark_first_n", 1), ("judge_compare", 4), ("readmission_pairs", 2),
+    ("facility_readmission_rate", 3), ("quality_rollup", 3), ("encounter_sequence", 2)])
+def test_encounters_are_read_few_times(small, key, most):
+    """Scans of the stays in the first plan, before any exchange is found to be the same."""
+    assert len(re.findall(r"FileScan parquet \[[^\]]*\bo_", plan(BATCH[key](small)))) <= most
+
+
 def test_date_filter_and_columns_reach_the_scan(stored):
     text = plan(lookups.recent_discharges(stored, 7))
     assert "GreaterThanOrEqual(discharge_date" in text
