@@ -44,7 +44,7 @@ from wardlight.llm.words import as_bytes, grouped_words, mixed
 from wardlight.session import settled
 
 # Tokens of one chunk, at most (one longer text alone is a chunk), and of one range, about.
-CHUNK_TOKENS = 6_000_000
+CHUNK_TOKENS = 1_500_000
 RANGE_TOKENS = 1 << 20
 _END, _BEGIN = (mixed(np.array([v], dtype=np.uint64))[0] for v in (0xE0D, 0xBE61))
 _PAIR_DROPPED = 8
@@ -97,6 +97,25 @@ def _chunk_rows(chunk_tokens: int):
     return run
 
 
+def _numbered(values: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each value the number of its equals, and one value per number.
+
+    Values below ``limit`` are sorted together with their places in one word
+    each where both fit, which needs less memory than a table of them.
+    """
+    bits = max(1, len(values) - 1).bit_length()
+    if limit << bits > 1 << 63:
+        codes, distinct = pd.factorize(values)
+        return codes, np.asarray(distinct)
+    packed = np.sort(values << bits | np.arange(len(values)))
+    at = packed & ((1 << bits) - 1)
+    packed >>= bits
+    new = np.append(True, packed[1:] != packed[:-1])
+    codes = np.empty(len(values), dtype=np.int32)
+    codes[at] = np.cumsum(new, dtype=np.int32) - 1
+    return codes, packed[new]
+
+
 @dataclass
 class Chunk:
     """A chunk's tokens, their documents, and the distinct n-grams they make."""
@@ -133,14 +152,14 @@ class Chunk:
         before = np.empty(len(self.tokens), dtype=np.int64)
         before[1:] = self.tokens[:-1]
         before[self.starts()] = len(self.vocabulary)
-        codes, distinct = pd.factorize(before * (len(self.vocabulary) + 1) + self.tokens)
+        codes, distinct = _numbered(before * (len(self.vocabulary) + 1) + self.tokens,
+                                    (len(self.vocabulary) + 1) ** 2)
         keys = np.append(self.vocabulary, _BEGIN)
-        distinct = np.asarray(distinct)
         left, right = np.divmod(distinct, len(self.vocabulary) + 1)
         hashes = joined(keys[left], keys[right]) >> np.uint64(_PAIR_DROPPED)
         order = np.argsort(hashes)
-        place = np.empty(len(hashes), dtype=np.int64)
-        place[order] = np.arange(len(hashes))
+        place = np.empty(len(hashes), dtype=np.int32)
+        place[order] = np.arange(len(hashes), dtype=np.int32)
         return hashes[order], place[codes]
 
 
@@ -160,10 +179,11 @@ def _request_rows(ranges: int):
             for row in batch.to_pylist():
                 chunk = Chunk.of(row)
                 part = chunk.token_parts()
-                keys, place, begin = chunk.words()
-                pair_keys, pair_place = chunk.pairs()
-                for kind, bits, own, at in ((1, 64, keys, place),
-                                            (2, 64 - _PAIR_DROPPED, pair_keys, pair_place)):
+                for kind, bits in ((1, 64), (2, 64 - _PAIR_DROPPED)):
+                    if kind == 1:
+                        own, at, begin = chunk.words()
+                    else:
+                        own, at = chunk.pairs()
                     trained = np.bincount(at[part != HELD], minlength=len(own))
                     folded = np.bincount(at[part == FOLD], minlength=len(own))
                     if kind == 1:
