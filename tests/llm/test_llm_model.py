@@ -45,7 +45,7 @@ def bigram_scores(rows, weights):
     return out
 
 
-@pytest.mark.parametrize("chunk_tokens, range_tokens", [(1_500_000, 1 << 20), (300, 64)])
+@pytest.mark.parametrize("chunk_tokens, range_tokens", [(1_000_000, 1 << 20), (300, 64)])
 def test_scores_equal_the_spelled_out_mixture(spark, documents, edges, monkeypatch, chunk_tokens,
                                               range_tokens):
     monkeypatch.setattr(G, "RANGE_TOKENS", range_tokens)

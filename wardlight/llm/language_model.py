@@ -40,11 +40,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from wardlight.llm.arrays import loosened, sorted_counts, squeezed, steps
 from wardlight.llm.quality import joined
-from wardlight.llm.words import as_bytes, grouped_words, mixed
+from wardlight.llm.words import as_bytes, each_row, grouped_words, mixed
 from wardlight.session import settled
 
 # Tokens of one chunk, at most (one longer text alone is a chunk), and of one range, about.
-CHUNK_TOKENS = 1_500_000
+CHUNK_TOKENS = 1_000_000
 RANGE_TOKENS = 1 << 20
 _END, _BEGIN = (mixed(np.array([v], dtype=np.uint64))[0] for v in (0xE0D, 0xBE61))
 _PAIR_DROPPED = 8
@@ -176,7 +176,7 @@ _REQUEST = "range int, kind int, chunk bigint, keys binary, trained binary, fold
 def _request_rows(ranges: int):
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in each_row(batch):
                 chunk = Chunk.of(row)
                 part = chunk.token_parts()
                 for kind, bits in ((1, 64), (2, 64 - _PAIR_DROPPED)):
@@ -279,7 +279,7 @@ def _count_tokens(totals: Totals):
     def run(batches):
         place, answers = None, []
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in each_row(batch):
                 if row["chunk"] != place:
                     place, answers = row["chunk"], []
                 if not row["late"]:
@@ -374,7 +374,7 @@ def token_chances(words, contexts, pairs, weights: np.ndarray, totals: Totals) -
 def _score_rows(weights: np.ndarray, totals: Totals):
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in each_row(batch):
                 lengths = np.frombuffer(row["lengths"], dtype="<u4").astype(np.int64)
                 starts = np.cumsum(lengths) - lengths
                 words = loosened(row["words"], np.uint64).astype(np.int64)

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from wardlight.llm.words import each_row
 from wardlight.session import settled
 
 BLOCK_ROWS = 4096
@@ -164,7 +165,7 @@ def _streams(k: int):
                                               names=["query_id", "vec_id", "score"])
 
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in each_row(batch):
                 if not row["late"]:
                     if place is not None:
                         yield result()

@@ -118,4 +118,14 @@ def as_bytes(column, lower: bool = False) -> list[bytes | None]:
     import pyarrow as pa
 
     values = column.cast(pa.large_binary()).to_pylist()
-    return [v.lower() if v else v for v in values] if lower else values
+    if lower:
+        # One by one, so that no second copy of all texts is held.
+        for at, value in enumerate(values):
+            values[at] = value.lower() if value else value
+    return values
+
+
+def each_row(batch) -> Iterator[dict]:
+    """A batch's rows one at a time: rows that hold whole blocks are not all copied at once."""
+    for at in range(batch.num_rows):
+        yield {name: batch.column(i)[at].as_py() for i, name in enumerate(batch.schema.names)}
