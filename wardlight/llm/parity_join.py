@@ -244,39 +244,86 @@ def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 _NEAR = "a bigint, b bigint, band int, cut boolean"
 
 
+_PLACED = ["part_key", "left", "right", "block", "band", "doc", "root", "size", "sketch"]
+
+
+def near_in_block(docs, roots, sizes, block, sketches, left: int, right: int, percent: int,
+                  reach: int) -> tuple[list[int], list[int], bool]:
+    """Pairs of different components that may be similar, each member's ``reach`` nearest.
+
+    Members of block ``left`` meet those of block ``right``; within one block
+    each pair is met once. A few words of the sketches part most pairs already.
+    """
+    out_a, out_b, cut = [], [], False
+    others = np.flatnonzero(block == right)
+    few = sketches.shape[1] // 6 + 1
+    for i in np.flatnonzero(block == left):
+        js = others[roots[others] != roots[i]]
+        if left == right:
+            js = js[docs[js] > docs[i]]
+        limit = most_apart(sizes[js], sizes[i], percent)
+        close = np.abs(sizes[js] - sizes[i]) <= limit
+        js, limit = js[close], limit[close]
+        apart = np.zeros(len(js), dtype=np.int64)
+        for part in (slice(0, few), slice(None)):
+            apart = np.bitwise_count(sketches[js, part] ^ sketches[i, part]).sum(
+                axis=1, dtype=np.int64)
+            close = apart <= limit
+            js, limit, apart = js[close], limit[close], apart[close]
+        if len(js) > reach:
+            js, cut = js[np.argsort(apart, kind="stable")[:reach]], True
+        out_a += [int(docs[i])] * len(js)
+        out_b += docs[js].tolist()
+    return out_a, out_b, cut
+
+
 def _near_pairs(percent: int, reach: int):
-    """Pairs of different components within a block that may be similar, nearest first."""
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        left, right = key[1].as_py(), key[2].as_py()
-        docs = table.column("doc").to_numpy()
-        roots, sizes = table.column("root").to_numpy(), table.column("size").to_numpy()
-        block = table.column("block").to_numpy()
-        sketches = np.stack([np.frombuffer(s, np.uint64)
-                             for s in table.column("sketch").to_pylist()])
-        band = int(table.column("band")[0].as_py())
-        others = np.flatnonzero(block == right)
-        out_a, out_b, cut = [], [], False
-        for i in np.flatnonzero(block == left):
-            js = others[(roots[others] != roots[i]) & (
-                (docs[others] > docs[i]) if left == right else True)]
-            limit = most_apart(sizes[js] + 0, sizes[i], percent)
-            fits = np.abs(sizes[js] - sizes[i]) <= limit
-            js, limit = js[fits], limit[fits]
-            apart = np.bitwise_count(sketches[js] ^ sketches[i]).sum(axis=1, dtype=np.int64)
-            js, apart = js[apart <= limit], apart[apart <= limit]
-            if len(js) > reach:
-                js, cut = js[np.argsort(apart, kind="stable")[:reach]], True
-            out_a += [docs[i]] * len(js)
-            out_b += docs[js].tolist()
-        a, b = np.array(out_a, dtype=np.int64), np.array(out_b, dtype=np.int64)
-        n = len(a)
-        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b)),
-                         "band": pa.array([band] * n, pa.int32()),
-                         "cut": pa.array([cut] * n, pa.bool_())})
+    """Reads blocks, sorted one behind the other, and compares each when it is complete.
+
+    Most blocks hold a handful of members, far too few to be a group of a
+    grouped call each.
+    """
+    def run(batches):
+        place, held = None, []
+
+        def compared():
+            docs, roots, sizes, block = (np.concatenate([h[i] for h in held]) for i in range(4))
+            sketches = np.frombuffer(b"".join(s for h in held for s in h[4]), np.uint64).reshape(
+                len(docs), -1)
+            a, b, cut = near_in_block(docs, roots, sizes, block, sketches, place[1], place[2],
+                                      percent, reach)
+            return [(min(x, y), max(x, y), held[0][5], cut) for x, y in zip(a, b)]
+
+        for batch in batches:
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(8)]
+            key, left, right, block, band, docs, roots, sizes = columns
+            sketches = batch.column(8).to_pylist()
+            new = np.ones(len(key), dtype=bool)
+            new[1:] = (key[1:] != key[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])
+            edges = np.append(np.flatnonzero(new), len(key)).tolist()
+            rows = []
+            for begin, end in zip(edges[:-1], edges[1:]):
+                here = (int(key[begin]), int(left[begin]), int(right[begin]))
+                if here != place:
+                    if held:
+                        rows += compared()
+                    place, held = here, []
+                held.append((docs[begin:end], roots[begin:end], sizes[begin:end],
+                             block[begin:end], sketches[begin:end], int(band[begin])))
+            yield _pair_batch(rows)
+        if held:
+            yield _pair_batch(compared())
 
     return run
 
 
+def _pair_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[]] * 4
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                      names=["a", "b", "band", "cut"])
+
+
 def block_rows(band: int, percent: int) -> int:
     """Members of one block: fewer where sketches are long, so a block holds some 8 MB of them."""
     return min(BLOCK, max(16, (1 << 20) // band_shape(band, percent)[0]))
@@ -301,8 +348,9 @@ def _open_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, percent:
               .select("part_key", F.least("block", "other").alias("left"),
                       F.greatest("block", "other").alias("right"), "block", "band", "doc", "root"))
     full = placed.join(sets.select("doc", "band", "size", "sketch"), ["doc", "band"])
-    return full.groupBy("part_key", "left", "right").applyInArrow(
-        _near_pairs(percent, reach), _NEAR)
+    return (full.select(*_PLACED).repartition("part_key", "left", "right")
+            .sortWithinPartitions("part_key", "left", "right")
+            .mapInArrow(_near_pairs(percent, reach), _NEAR))
 
 
 def similarity_classes(docs: DataFrame, percent: int = SIMILARITY, words: int = WORDS
