@@ -203,6 +203,7 @@ def fit_languages(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Language
     rows = [r for r in rows if r["buckets"]]
     labels = np.array([r["lang"] for r in rows], dtype=object)
     matrix = SparseRows.of([(r["buckets"], r["frequencies"]) for r in rows], WIDTH)
+    del rows
     families = np.array([family_of(lang) for lang in labels], dtype=object)
     return LanguageModel(
         fit_machines(matrix, families),

@@ -34,9 +34,12 @@ class SparseRows:
             np.concatenate([self.values[p] for p in parts] or [self.values[:0]]), self.width)
 
     def times(self, weights: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([[0.0], np.cumsum(self.values * weights[self.buckets],
-                                                dtype=np.float64)])
-        return sums[self.begins[1:]] - sums[self.begins[:-1]]
+        if not len(self.values):
+            return np.zeros(len(self.begins) - 1)
+        # A row without pairs would take its neighbour's first one.
+        sums = np.add.reduceat(self.values * weights[self.buckets],
+                               np.minimum(self.begins[:-1], len(self.values) - 1))
+        return np.where(np.diff(self.begins) > 0, sums, 0.0)
 
     def weighted_sum(self, factors: np.ndarray) -> np.ndarray:
         each = np.repeat(factors, np.diff(self.begins))

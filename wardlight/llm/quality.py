@@ -27,7 +27,7 @@ from wardlight.llm.linear import SparseRows, fit_logistic, fit_platt
 from wardlight.llm.words import mixed, sections, word_hashes
 
 # Labelled rows that are learned from, at most.
-MAX_LABELS = 6000
+MAX_LABELS = 3000
 # Calibrated probability of good quality from which a text is kept.
 KEEP_FROM = 0.5
 # Rules: fewer words than this, or a larger share of repeated words in percent, fail.
@@ -161,8 +161,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS
     if good.all() or not good.any():
         return None
     if good[~held].all() or not good[~held].any() or good[held].all() or not good[held].any():
-        held = np.zeros(len(rows), dtype=bool)
+        held = np.zeros(len(good), dtype=bool)
     matrix = SparseRows.of([(r["buckets"], r["frequencies"]) for r in rows], WIDTH)
+    del rows
     weights, bias = fit_logistic(matrix.take(~held), good[~held])
     apart = matrix.take(held) if held.any() else matrix
     slope, offset = fit_platt(apart.times(weights) + bias, good[held] if held.any() else good)
