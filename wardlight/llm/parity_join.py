@@ -166,8 +166,8 @@ def _feature_rows(percent: int, words: int):
     return run
 
 
-def _set_rows(percent: int, words: int):
-    """Shingle sets, and per band the parity bits."""
+def _sketch_rows(percent: int, words: int):
+    """Per band of a document its set's size and parity bits."""
     def run(batches):
         for batch in batches:
             rows = []
@@ -175,18 +175,38 @@ def _set_rows(percent: int, words: int):
                 shingles = shingle_set(text or b"", words)
                 for band in bands_of(len(shingles), percent):
                     parity, _, _ = part_sketches(shingles, band, percent)
-                    rows.append((doc, band, len(shingles), parity.tobytes(), shingles.tobytes()))
-            columns = list(zip(*rows)) if rows else [[]] * 5
+                    rows.append((doc, band, len(shingles), parity.tobytes()))
+            columns = list(zip(*rows)) if rows else [[]] * 4
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()),
-                 pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.binary()),
-                 pa.array(columns[4], pa.binary())],
-                names=["doc", "band", "size", "sketch", "shingles"])
+                [pa.array(c, kind) for c, kind in zip(columns, kinds)],
+                names=["doc", "band", "size", "sketch"])
 
     return run
 
 
-_SETS = "doc bigint, band int, size bigint, sketch binary, shingles binary"
+_SKETCHES = "doc bigint, band int, size bigint, sketch binary"
+
+
+def _set_rows(words: int):
+    """Whole shingle sets."""
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(
+                    [shingle_set(t or b"", words).tobytes()
+                     for t in as_bytes(batch.column(1), lower=True)], pa.binary())],
+                names=["doc", "shingles"])
+
+    return run
+
+
+def _once(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """Settled ``rows`` with one row per key. Wide rows are shuffled only if a document is repeated."""
+    held = settled(rows, label)
+    if held.select(*keys).distinct().count() == held.count():
+        return held
+    return settled(held.dropDuplicates(keys), label)
 
 
 def most_apart(size_a, size_b, percent: int):
@@ -225,19 +245,28 @@ def _linked(percent: int):
     return run
 
 
-def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``, ``band``) that are similar: first by sketch, then by set."""
-    def side(name: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("doc").alias(name), "band",
-                           *(F.col(c).alias(f"{c}_{name}") for c in columns))
+def linked_pairs(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, percent: int, words: int
+                 ) -> DataFrame:
+    """The pairs (``a``, ``b``, ``band``) that are similar: first by sketch, then by set.
 
-    close = (pairs.join(side("a", "size", "sketch"), ["a", "band"])
-             .join(side("b", "size", "sketch"), ["b", "band"])
-             .select("a", "b", "band", "size_a", "sketch_a", "size_b", "sketch_b")
-             .mapInArrow(_close_sketches(percent), "a bigint, b bigint, band int"))
-    return (close.join(side("a", "shingles"), ["a", "band"])
-            .join(side("b", "shingles"), ["b", "band"])
-            .select("a", "b", "shingles_a", "shingles_b")
+    Sets are made of the few texts whose sketches are close to another's.
+    """
+    def side(name: str) -> DataFrame:
+        return sketches.select(F.col("doc").alias(name), "band", F.col("size").alias(f"size_{name}"),
+                               F.col("sketch").alias(f"sketch_{name}"))
+
+    close = settled(
+        pairs.join(side("a"), ["a", "band"]).join(side("b"), ["b", "band"])
+        .select("a", "b", "band", "size_a", "sketch_a", "size_b", "sketch_b")
+        .mapInArrow(_close_sketches(percent), "a bigint, b bigint, band int")
+        .select("a", "b").distinct(), "parity-close")
+    wanted = settled(close.select(F.col("a").alias("doc_id")).unionByName(
+        close.select(F.col("b").alias("doc_id"))).distinct(), "parity-wanted")
+    sets = _once(with_few(texts, wanted, "doc_id", "left_semi").mapInArrow(
+        _set_rows(words), "doc bigint, shingles binary"), ["doc"], "parity-sets")
+    return (close.join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("of_a")), "a")
+            .join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("of_b")), "b")
+            .select("a", "b", "of_a", "of_b")
             .mapInArrow(_linked(percent), "a bigint, b bigint"))
 
 
@@ -329,7 +358,7 @@ def block_rows(band: int, percent: int) -> int:
     return min(BLOCK, max(16, (1 << 20) // band_shape(band, percent)[0]))
 
 
-def _open_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, reach: int
+def _open_pairs(members: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int, reach: int
                 ) -> DataFrame:
     """Candidate pairs of keys whose members lie in several components, block by block."""
     rooted = (members.join(roots, F.col("doc") == F.col("node"), "left")
@@ -347,7 +376,7 @@ def _open_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, percent:
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("part_key", F.least("block", "other").alias("left"),
                       F.greatest("block", "other").alias("right"), "block", "band", "doc", "root"))
-    full = placed.join(sets.select("doc", "band", "size", "sketch"), ["doc", "band"])
+    full = placed.join(sketches, ["doc", "band"])
     return (full.select(*_PLACED).repartition("part_key", "left", "right")
             .sortWithinPartitions("part_key", "left", "right")
             .mapInArrow(_near_pairs(percent, reach), _NEAR))
@@ -367,8 +396,10 @@ def similarity_classes(docs: DataFrame, percent: int = SIMILARITY, words: int =
                            ["set_a", "set_b", "n_shingles", "doc_id"], "left_semi")
              .select(F.explode("part_keys").alias("part_key"), F.col("doc_id").alias("doc")))
     # A count alone is the smallest row to shuffle; most keys occur once.
-    shared = keyed.groupBy("part_key").count().where(F.col("count") > 1).select("part_key")
-    members = settled(keyed.join(shared, "part_key", "left_semi").distinct(), "parity-members")
+    shared = settled(keyed.groupBy("part_key").count().where(F.col("count") > 1)
+                     .select("part_key"), "parity-shared")
+    members = settled(with_few(keyed, shared, "part_key", "left_semi").distinct(),
+                      "parity-members")
     roots = _roots(members, texts, percent, words)
     of_class = (classes.join(roots, F.col("doc") == F.col("node"), "left")
                 .select("set_a", "set_b", "n_shingles", F.coalesce("root", "doc").alias("root")))
@@ -380,20 +411,21 @@ def similarity_classes(docs: DataFrame, percent: int = SIMILARITY, words: int =
 def _roots(members: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
     """Component roots (``node``, ``root``) of the representatives that share a key."""
     wanted = settled(members.select(F.col("doc").alias("doc_id")).distinct(), "parity-wanted")
-    sets = settled(with_few(texts, wanted, "doc_id", "left_semi").mapInArrow(
-        _set_rows(percent, words), _SETS).distinct(), "parity-sets")
+    sketches = _once(with_few(texts, wanted, "doc_id", "left_semi").mapInArrow(
+        _sketch_rows(percent, words), _SKETCHES), ["doc", "band"], "parity-sketches")
     band = F.col("part_key").bitwiseAND((1 << _BAND_BITS) - 1).cast("int").alias("band")
     first = members.groupBy("part_key").agg(F.min("doc").alias("a"))
     pairs = (members.join(first, "part_key").where(F.col("doc") != F.col("a"))
              .select("a", F.col("doc").alias("b"), band).distinct())
-    links = settled(linked_pairs(pairs, sets, percent), "parity-links")
+    links = settled(linked_pairs(pairs, sketches, texts, percent, words), "parity-links")
     roots = settled(components(links), "parity-roots")
     for reach in REACH:
-        open_pairs = settled(_open_pairs(members, roots, sets, percent, reach), "parity-open")
+        open_pairs = settled(_open_pairs(members, roots, sketches, percent, reach), "parity-open")
         if open_pairs.isEmpty():
             break
         whole = open_pairs.where("cut").isEmpty()
-        more = linked_pairs(open_pairs.select("a", "b", "band").distinct(), sets, percent)
+        more = linked_pairs(open_pairs.select("a", "b", "band").distinct(), sketches, texts,
+                            percent, words)
         links = settled(links.unionByName(more).distinct(), "parity-links")
         roots = settled(components(links), "parity-roots")
         if whole:
