@@ -50,6 +50,8 @@ SIMILARITY, WORDS = 90, 3
 BLOCK = 1024
 REACH = (8, 64, 512, BLOCK)
 _BAND = 1.5
+# One in so many words of a sketch is compared first.
+_FIRST_WORDS = 5
 _BAND_BITS = 7
 
 
@@ -281,11 +283,10 @@ def near_in_block(docs, roots, sizes, block, sketches, left: int, right: int, pe
     """Pairs of different components that may be similar, each member's ``reach`` nearest.
 
     Members of block ``left`` meet those of block ``right``; within one block
-    each pair is met once. A few words of the sketches part most pairs already.
+    each pair is met once. ``sketches`` may be the same few words of each.
     """
     out_a, out_b, cut = [], [], False
     others = np.flatnonzero(block == right)
-    few = sketches.shape[1] // 6 + 1
     for i in np.flatnonzero(block == left):
         js = others[roots[others] != roots[i]]
         if left == right:
@@ -293,12 +294,9 @@ def near_in_block(docs, roots, sizes, block, sketches, left: int, right: int, pe
         limit = most_apart(sizes[js], sizes[i], percent)
         close = np.abs(sizes[js] - sizes[i]) <= limit
         js, limit = js[close], limit[close]
-        apart = np.zeros(len(js), dtype=np.int64)
-        for part in (slice(0, few), slice(None)):
-            apart = np.bitwise_count(sketches[js, part] ^ sketches[i, part]).sum(
-                axis=1, dtype=np.int64)
-            close = apart <= limit
-            js, limit, apart = js[close], limit[close], apart[close]
+        apart = np.bitwise_count(sketches[js] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+        close = apart <= limit
+        js, apart = js[close], apart[close]
         if len(js) > reach:
             js, cut = js[np.argsort(apart, kind="stable")[:reach]], True
         out_a += [int(docs[i])] * len(js)
@@ -376,7 +374,11 @@ def _open_pairs(members: DataFrame, roots: DataFrame, sketches: DataFrame, perce
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("part_key", F.least("block", "other").alias("left"),
                       F.greatest("block", "other").alias("right"), "block", "band", "doc", "root"))
-    full = placed.join(sketches, ["doc", "band"])
+    # The first words of a sketch part most pairs; all of it is compared when a pair is verified.
+    few = F.greatest(F.lit(2), F.floor(F.length("sketch") / 8 / _FIRST_WORDS)).cast("int") * 8
+    first = sketches.select("doc", "band", "size", F.substring("sketch", F.lit(1), few)
+                            .alias("sketch"))
+    full = placed.join(first, ["doc", "band"])
     return (full.select(*_PLACED).repartition("part_key", "left", "right")
             .sortWithinPartitions("part_key", "left", "right")
             .mapInArrow(_near_pairs(percent, reach), _NEAR))
@@ -391,10 +393,10 @@ def similarity_classes(docs: DataFrame, percent: int = SIMILARITY, words: int =
     classes = (features.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
                .groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("doc")))
     classes = settled(classes, "parity-classes")
-    keyed = (features.join(classes.select("set_a", "set_b", "n_shingles",
-                                          F.col("doc").alias("doc_id")),
-                           ["set_a", "set_b", "n_shingles", "doc_id"], "left_semi")
-             .select(F.explode("part_keys").alias("part_key"), F.col("doc_id").alias("doc")))
+    # Keys move only once they are known to be shared, so the list of representatives comes to them.
+    speakers = settled(classes.select(F.col("doc").alias("doc_id")).distinct(), "parity-speakers")
+    keyed = with_few(features.select("doc_id", "part_keys"), speakers, "doc_id", "left_semi").select(
+        F.explode("part_keys").alias("part_key"), F.col("doc_id").alias("doc"))
     # A count alone is the smallest row to shuffle; most keys occur once.
     shared = settled(keyed.groupBy("part_key").count().where(F.col("count") > 1)
                      .select("part_key"), "parity-shared")
