@@ -1,6 +1,7 @@
 import random
 
 import brute
+from llm_fixtures import documents, edges  # noqa: F401
 from wardlight.llm import language as L
 
 SYLLABLES = {"en": "the and tion ing er st wh ha", "de": "der und ung sch ein ß ü ver",

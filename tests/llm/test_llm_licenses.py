@@ -1,3 +1,4 @@
+from llm_fixtures import documents, edges  # noqa: F401
 from wardlight.llm import licenses as L
 from wardlight.llm.license_texts import TEXTS
 

@@ -1,6 +1,7 @@
 import random
 
 import brute
+from llm_fixtures import documents, edges  # noqa: F401
 from pyspark.sql import functions as F
 from wardlight.llm import linededup as L
 

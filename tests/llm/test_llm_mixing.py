@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 
 import brute
+from llm_fixtures import documents, edges  # noqa: F401
 from wardlight.llm import mixing as M
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 import brute
+from llm_fixtures import documents, edges  # noqa: F401
 from wardlight.llm import language_model as G
 
 

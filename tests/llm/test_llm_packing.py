@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 import public_tokenizers
+from llm_fixtures import documents, edges  # noqa: F401
 from wardlight.llm import packing as K
 
 PATH = public_tokenizers.path("word_bpe_49k.json")

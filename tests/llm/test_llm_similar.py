@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 import brute
+from llm_fixtures import documents, edges, prose  # noqa: F401
 from wardlight.llm import parity_join as P
 from wardlight.llm.graph import components
 
