@@ -31,7 +31,7 @@ PACKED = PIECES + ", sequence_id bigint, offset bigint"
 # Words whose ids one worker remembers; beyond it the memory is begun anew.
 REMEMBERED_WORDS = 600_000
 # Bytes whose words are looked up together.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 2 << 20
 # Punctuation that may end a word: the vocabulary splits between a letter or digit and these.
 _TAIL = b".,;:!?|#$%&*"
 # Pieces that one group packs, on average.
