@@ -70,6 +70,31 @@ def test_mixture_repeats_rows_and_fills_shards(spark, documents, monkeypatch):
     assert Counter(r.doc_id for r in plain.collect()) == Counter(r.doc_id for r in got)
 
 
+def test_queries_take_what_the_tree_deals(spark, documents, monkeypatch):
+    """Units that the tree does not deal are not taken, and shards stand together, shuffled."""
+    monkeypatch.setattr(M, "BLOCK_DOCS", 8)
+    frame = documents(*corpus())
+    table = {r.doc_id: r for r in M.mix_table(frame, shards=8).collect()}
+    placed = sorted((s, p, d) for d, r in table.items() for s, p in zip(r.shards, r.places))
+    assert all(r.taken == r.size * len(r.shards) for r in table.values())
+    want = M.mixture(frame, shards=8).collect()
+    assert placed == sorted((r.mix_shard, r.mix_place, r.doc_id) for r in want)
+    at = {(d, p): s for s, p, d in placed}
+    assert len({s for s, _, _ in placed}) == 8 and len(at) == len(placed)
+    order = [[r.doc_id for r in part] for part in
+             M.mixed_documents(frame, shards=8).rdd.glom().collect()]
+    by_shard = {s: [d for t, _, d in placed if t == s] for s in range(8)}
+    for part in filter(None, order):
+        while part:
+            shard = next(s for s, docs in by_shard.items() if docs and part[:len(docs)] == docs)
+            part = part[len(by_shard.pop(shard)):]
+    assert not by_shard
+    whole = M.splitting_tree
+    monkeypatch.setattr(M, "splitting_tree", lambda *a: whole(*a).where("shard < 0"))
+    assert not M.mixed_documents(frame, shards=8).count()
+    assert not any(r.taken for r in M.mix_table(frame, shards=8).collect())
+
+
 def test_splitting_tree_is_exact_and_spread(spark):
     quotas = {"a": 5000, "b": 40, "c": 1, None: 333, "none": 0}
     frame = spark.createDataFrame(list(quotas.items()), "mix_source string, units bigint")

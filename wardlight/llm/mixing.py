@@ -14,7 +14,8 @@
    and orders its documents by a seeded hash.
 
 Only counts go through the tree, one row per node with one count per source: it is
-meant for up to some ten thousand sources. Texts are never moved to be mixed.
+meant for up to some ten thousand sources. A document is taken as often as the
+tree has dealt a unit of its block that holds it; texts move once, to their shard.
 All of it is DataFrame operations. Draws depend on seed, node and source alone, so
 reruns agree.
 
@@ -275,64 +276,67 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int =
     targets = settled(source_targets(totals, weights, max_repeats).withColumn(
         "blocks", F.ceil(F.col("docs") / BLOCK_DOCS)).drop("docs"), "mix-targets")
     blocks = settled(_blocks_taken(documents, targets), "mix-blocks")
-    return Mix(documents, targets, blocks, _units(blocks, shards, seed))
+    return Mix(documents, targets, blocks, settled(_units(blocks, shards, seed), "mix-units"))
 
 
-def with_passes(documents: DataFrame, mixed: Mix) -> DataFrame:
-    """Adds ``mix_passes``: how often each document (``mix_source``, ``mix_ticket``, ``size``)
-    is taken."""
+def with_deals(documents: DataFrame, mixed: Mix, seed: int) -> DataFrame:
+    """Adds ``mix_deals``: the units that hold each document (``mix_source``, ``mix_ticket``,
+    ``size``), with the ``shard`` each was dealt to and the document's ``place`` there."""
     located = located_in_blocks(documents, mixed.targets)
-    taken = mixed.blocks.select(F.col("mix_source").alias("k_source"),
-                                F.col("mix_block").alias("k_block"), "passes", "tickets")
+    dealt = mixed.units.groupBy("mix_source", "mix_block").agg(F.sort_array(
+        F.collect_list(F.struct("mix_pass", "shard"))).alias("mix_dealt"))
+    taken = (mixed.blocks.alias("b").join(
+        dealt.alias("u"), F.col("b.mix_source").eqNullSafe(F.col("u.mix_source"))
+        & (F.col("b.mix_block") == F.col("u.mix_block")))
+        .select(F.col("b.mix_source").alias("k_source"), F.col("b.mix_block").alias("k_block"),
+                "passes", "tickets", "mix_dealt"))
     once_more = F.array_contains("tickets", F.col("mix_ticket")).cast("bigint")
+    holding = F.filter("mix_dealt", lambda unit: (F.col("size") > 0) & (
+        unit["mix_pass"] <= F.col("passes") + once_more))
+    deals = F.transform(holding, lambda unit: F.struct(
+        unit["shard"].alias("shard"),
+        F.xxhash64(F.lit(seed), F.col("mix_ticket"), unit["mix_pass"]).alias("place")))
+    none = F.array().cast("array<struct<shard:bigint,place:bigint>>")
     return (located.join(taken, F.col("mix_source").eqNullSafe(F.col("k_source"))
-                         & (F.col("mix_block") == F.col("k_block")))
-            .withColumn("mix_passes", F.when(
-                F.col("size") > 0, F.col("passes") + once_more).otherwise(0))
-            .drop("k_source", "k_block", "passes", "tickets"))
+                         & (F.col("mix_block") == F.col("k_block")), "left")
+            .withColumn("mix_deals", F.coalesce(deals, none))
+            .drop("k_source", "k_block", "passes", "tickets", "mix_dealt"))
 
 
-def mix_table(docs: DataFrame, **settings) -> DataFrame:
-    """Per document: its size, its source's size and target, and the words the mix takes."""
-    mixed = mix(docs, **settings)
+def mix_table(docs: DataFrame, seed: int = 8, **settings) -> DataFrame:
+    """Per document: its size, its source's size and target, the words the mix takes, and
+    for every time it is taken its shard and its place in the shard's order."""
+    mixed = mix(docs, seed=seed, **settings)
     of = mixed.targets.select(F.col("mix_source").alias("o_source"), "source_size", "target")
-    return (with_passes(mixed.documents, mixed)
+    return (with_deals(mixed.documents, mixed, seed)
             .join(of, F.col("mix_source").eqNullSafe(F.col("o_source")))
             .select("doc_id", "size", "source_size", "target",
-                    (F.col("size") * F.col("mix_passes")).alias("taken")))
-
+                    (F.col("size") * F.size("mix_deals")).alias("taken"),
+                    F.col("mix_deals.shard").alias("shards"),
+                    F.col("mix_deals.place").alias("places")))
 
-def mixture(docs: DataFrame, seed: int = 8, **settings) -> DataFrame:
-    """The mixed rows: ``docs``' columns, repeated as taken, with ``mix_shard`` and ``mix_place``.
 
-    Sorting a shard by ``mix_place`` shuffles it; write with
-    ``repartition("mix_shard")`` and ``sortWithinPartitions`` for training files.
-    """
+def _dealt_rows(docs: DataFrame, seed: int, **settings) -> DataFrame:
+    """Each document whole in ``mix_row``, once for every unit that holds it, with its ``deal``."""
     mixed = mix(docs, seed=seed, **settings)
-    passes = taken_rows(docs, mixed, seed)
-    turns = passes.withColumn("mix_pass", F.explode(
-        F.sequence(F.lit(1).cast("bigint"), F.col("mix_passes"))))
-    to = mixed.units.select(F.col("mix_source").alias("u_source"),
-                            F.col("mix_block").alias("u_block"),
-                            F.col("mix_pass").alias("u_pass"), "shard")
-    return (turns.join(to, F.col("mix_source").eqNullSafe(F.col("u_source"))
-                       & (F.col("mix_block") == F.col("u_block"))
-                       & (F.col("mix_pass") == F.col("u_pass")))
-            .select("mix_row.*", F.col("shard").alias("mix_shard"),
-                    F.xxhash64(F.lit(seed), "mix_ticket", "mix_pass").alias("mix_place")))
-
-
-def taken_rows(docs: DataFrame, mixed: Mix, seed: int = 8) -> DataFrame:
-    """Each taken document once, whole in ``mix_row``, with ``mix_passes``."""
     rows = docs.select(
         F.struct("*").alias("mix_row"), F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("source").cast("string").alias("mix_source"),
         text_size(F.col("text")).alias("size")).withColumn("mix_ticket", _ticket(seed))
-    return with_passes(rows, mixed).where(F.col("mix_passes") > 0)
+    return with_deals(rows, mixed, seed).select("mix_row", F.explode("mix_deals").alias("deal"))
+
+
+def mixture(docs: DataFrame, seed: int = 8, **settings) -> DataFrame:
+    """The mixed rows: ``docs``' columns, repeated as taken, with ``mix_shard`` and ``mix_place``.
+
+    Sorting a shard by ``mix_place`` shuffles it.
+    """
+    return _dealt_rows(docs, seed, **settings).select(
+        "mix_row.*", F.col("deal.shard").alias("mix_shard"),
+        F.col("deal.place").alias("mix_place"))
 
 
-def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
-    """The mixed rows with the columns of ``docs`` only."""
-    rows = taken_rows(docs, mix(docs, **settings), settings.get("seed", 8))
-    return rows.withColumn("mix_pass", F.explode(F.sequence(
-        F.lit(1).cast("bigint"), F.col("mix_passes")))).select("mix_row.*")
+def mixed_documents(docs: DataFrame, seed: int = 8, **settings) -> DataFrame:
+    """The mixed rows with the columns of ``docs`` only, shard by shard, each shuffled."""
+    return (_dealt_rows(docs, seed, **settings).repartition("deal.shard")
+            .sortWithinPartitions("deal.shard", "deal.place").select("mix_row.*"))
