@@ -95,6 +95,19 @@ def test_queries_take_what_the_tree_deals(spark, documents, monkeypatch):
     assert not any(r.taken for r in M.mix_table(frame, shards=8).collect())
 
 
+def test_room_behind_a_long_document_is_filled(spark, documents, monkeypatch):
+    """The source ends only when none of its documents fits any more."""
+    monkeypatch.setattr(M, "BLOCK_DOCS", 16)
+    rows = [(i, "w " * 30, "en", "a") for i in range(64)]
+    rows += [(100 + i, "w " * (2500 + i), "en", "a") for i in range(2)]
+    rows += [(200, "w " * 1000, "en", "b")]
+    for seed in (8, 9, 10):
+        table = M.mix_table(documents(*rows), weights=(1, 2), seed=seed)
+        got = [r for r in table.collect() if r.doc_id < 200]
+        room = got[0].target - sum(r.taken for r in got)
+        assert room >= 0 and not [r for r in got if not r.taken and r.size <= room], (seed, room)
+
+
 def test_splitting_tree_is_exact_and_spread(spark):
     quotas = {"a": 5000, "b": 40, "c": 1, None: 333, "none": 0}
     frame = spark.createDataFrame(list(quotas.items()), "mix_source string, units bigint")

@@ -5,7 +5,8 @@
 2. Each source's documents fall into blocks by a seeded hash, which is a random
    permutation of them cut into bounded blocks. A source gives every block for
    each whole pass its target holds, then blocks in order until the target is
-   reached; within the last block documents are picked to come nearest.
+   reached; within the last block documents are picked to come nearest, and
+   room that stays goes to the blocks behind it until no document fits.
 3. Every pass of a block is one unit. Units are divided among output shards
    from the root of a binary tree: a node's units, counted by source, are
    divided between its children by a multivariate hypergeometric draw, so each
@@ -22,7 +23,7 @@ reruns agree.
 Defined cases: null text or a text without words has size 0 and is never taken;
 a null source is a source of its own, the last; repeated rows are documents of
 their own, except that rows with equal ``doc_id`` and size are picked together
-in a source's last block; an empty table gives an empty mix; further columns
+in a source's last blocks; an empty table gives an empty mix; further columns
 of any name are carried along by :func:`mixture` and never read.
 """
 
@@ -133,13 +134,54 @@ def _blocks_taken(documents: DataFrame, targets: DataFrame) -> DataFrame:
     passes = F.when(F.col("source_size") > 0,
                     F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.round(F.col("target") - F.col("passes") * F.col("source_size")).cast("bigint")
-    marked = placed.withColumn("passes", passes.cast("bigint")).withColumn("rest", rest).select(
+    marked = settled(placed.withColumn("passes", passes.cast("bigint")).withColumn(
+        "rest", rest).select(
         "mix_source", "mix_block", "passes",
         (F.col("end_size") <= F.col("rest")).alias("whole"),
         F.greatest(F.lit(0), F.col("rest") - F.col("end_size") + F.col("block_size"))
-        .alias("room"))
-    last = marked.where(~F.col("whole") & (F.col("room") > 0))
-    # Largest first, as long as it fits; the block bounds the list.
+        .alias("room")), "mix-marked")
+    # Rows with one ticket stand for one pick of all of them together.
+    tickets = settled(located.groupBy("mix_source", "mix_block", "mix_ticket").agg(
+        F.sum("size").alias("size")), "mix-tickets")
+    picked = settled(_filled(tickets, marked.where(~F.col("whole") & (F.col("room") > 0))),
+                     "mix-picked")
+    ended = picked
+    while True:
+        # What fits nowhere in its block leaves room for documents of the blocks behind it.
+        # A block that overflows is at least half filled, so rounds grow with the logarithm.
+        rooms = ended.where(~F.col("whole") & (F.col("left") > 0)).select(
+            F.col("mix_source").alias("r_source"), F.col("mix_block").alias("after"),
+            F.col("left").alias("room"))
+        open_ = settled(tickets.join(rooms, F.col("mix_source").eqNullSafe(F.col("r_source"))
+                                     & (F.col("mix_block") > F.col("after"))
+                                     & F.col("size").between(1, F.col("room")))
+                        .select(*tickets.columns, "room"), "mix-open")
+        if open_.isEmpty():
+            break
+        behind = running_total(
+            open_.groupBy("mix_source", "mix_block").agg(
+                F.sum("size").alias("block_size"), F.first("room").alias("room")),
+            "mix_block", "block_size", "end_size")
+        touched = behind.select(
+            "mix_source", "mix_block", (F.col("end_size") <= F.col("room")).alias("whole"),
+            (F.col("room") - F.col("end_size") + F.col("block_size")).alias("room"))
+        ended = settled(_filled(open_.drop("room"), touched.where("room > 0")), "mix-picked")
+        picked = picked.unionByName(ended)
+    picks = picked.select(F.col("mix_source").alias("p_source"),
+                          F.col("mix_block").alias("p_block"), "tickets")
+    return marked.join(
+        picks, F.col("mix_source").eqNullSafe(F.col("p_source"))
+        & (F.col("mix_block") == F.col("p_block")), "left").select(
+        "mix_source", "mix_block",
+        (F.col("passes") + F.col("whole").cast("bigint")).alias("passes"),
+        F.coalesce("tickets", F.array().cast("array<bigint>")).alias("tickets"))
+
+
+def _filled(tickets: DataFrame, rooms: DataFrame) -> DataFrame:
+    """Per block of ``rooms`` the tickets picked for its ``room``, and the room ``left``.
+
+    Largest first, as long as it fits; the block bounds the list.
+    """
     fitted = F.aggregate(
         F.sort_array(F.collect_list(F.struct("size", "mix_ticket")), asc=False),
         F.struct(F.first("room").alias("room"),
@@ -149,22 +191,14 @@ def _blocks_taken(documents: DataFrame, targets: DataFrame) -> DataFrame:
             F.struct((acc["room"] - doc["size"]).alias("room"),
                      F.array_append(acc["tickets"], doc["mix_ticket"]).alias("tickets"))
         ).otherwise(acc))
-    in_last = (F.col("d.mix_source").eqNullSafe(F.col("l.mix_source"))
-               & (F.col("d.mix_block") == F.col("l.mix_block")))
-    # Rows with one ticket stand for one pick of all of them together.
-    tickets = located.groupBy("mix_source", "mix_block", "mix_ticket").agg(
-        F.sum("size").alias("size"))
-    picked = (tickets.alias("d").join(last.alias("l"), in_last)
-              .select("d.*", "l.room")
-              .groupBy("mix_source", "mix_block").agg(fitted.alias("fit"))
-              .select(F.col("mix_source").alias("p_source"), F.col("mix_block").alias("p_block"),
-                      F.col("fit.tickets").alias("tickets")))
-    return marked.join(
-        picked, F.col("mix_source").eqNullSafe(F.col("p_source"))
-        & (F.col("mix_block") == F.col("p_block")), "left").select(
-        "mix_source", "mix_block",
-        (F.col("passes") + F.col("whole").cast("bigint")).alias("passes"),
-        F.coalesce("tickets", F.array().cast("array<bigint>")).alias("tickets"))
+    in_block = (F.col("d.mix_source").eqNullSafe(F.col("l.mix_source"))
+                & (F.col("d.mix_block") == F.col("l.mix_block")))
+    return (tickets.alias("d").join(rooms.alias("l"), in_block)
+            .select("d.*", "l.room", "l.whole")
+            .groupBy("mix_source", "mix_block")
+            .agg(fitted.alias("fit"), F.first("whole").alias("whole"))
+            .select("mix_source", "mix_block", "whole", F.col("fit.tickets").alias("tickets"),
+                    F.col("fit.room").alias("left")))
 
 
 def located_in_blocks(documents: DataFrame, targets: DataFrame) -> DataFrame:
