@@ -105,3 +105,15 @@ def test_components_of_a_long_chain(spark):
     roots = {r.node: r.root for r in
              components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
     assert roots == {**{i: 1 for i in range(2, 41)}, 90: 80, 100: 80}
+
+
+def test_no_link_is_lost_beyond_the_last_reach(spark, documents, prose, monkeypatch):
+    """One passage in all texts, of which only 100 and 101 are linked: by the first words of their
+    sketches others are nearer to 100, and they share no key that a smaller text does not have."""
+    monkeypatch.setattr(P, "REACH", (1,))
+    passage = prose(7, 200, 10 ** 6)
+    tails = dict.fromkeys([*range(60), *range(200, 260)], 17) | {100: 9, 101: 9}
+    rows = [(i, " ".join(passage + [f"s2t{i}x{k}" for k in range(n)])) for i, n in tails.items()]
+    want = brute.similar(rows)
+    assert len({c for _, c in want.values()}) == len(rows) - 1
+    assert answer(P.similarity_classes(documents(*rows))) == want

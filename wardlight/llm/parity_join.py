@@ -12,9 +12,10 @@ an exclusive-or checksum of the part's shingles, are the join key.
 3. Members of a key are compared with its smallest member, and linked ones joined
    into components. Only keys whose members still lie in several components need
    more: there, members of different components are compared within bounded
-   blocks, nearest sketches first, in rounds of growing reach. The last round
-   compares everything that is left, so no link is lost, and a large
-   group of near copies never becomes all its pairs.
+   blocks, nearest sketches first, in rounds of growing reach. If a member still
+   had more partners than the widest reach, a last round without any compares
+   everything that is left, so no link is lost, and a large group of near copies
+   never becomes all its pairs.
 4. Candidate pairs are cut by size and by sketch distance, then verified on the
    whole shingle sets.
 
@@ -279,8 +280,8 @@ _PLACED = ["part_key", "left", "right", "block", "band", "doc", "root", "size",
 
 
 def near_in_block(docs, roots, sizes, block, sketches, left: int, right: int, percent: int,
-                  reach: int) -> tuple[list[int], list[int], bool]:
-    """Pairs of different components that may be similar, each member's ``reach`` nearest.
+                  reach: int | None) -> tuple[list[int], list[int], bool]:
+    """Pairs of different components that may be similar, each member's ``reach`` nearest, or all.
 
     Members of block ``left`` meet those of block ``right``; within one block
     each pair is met once. ``sketches`` may be the same few words of each.
@@ -297,14 +298,14 @@ def near_in_block(docs, roots, sizes, block, sketches, left: int, right: int, pe
         apart = np.bitwise_count(sketches[js] ^ sketches[i]).sum(axis=1, dtype=np.int64)
         close = apart <= limit
         js, apart = js[close], apart[close]
-        if len(js) > reach:
+        if reach is not None and len(js) > reach:
             js, cut = js[np.argsort(apart, kind="stable")[:reach]], True
         out_a += [int(docs[i])] * len(js)
         out_b += docs[js].tolist()
     return out_a, out_b, cut
 
 
-def _near_pairs(percent: int, reach: int):
+def _near_pairs(percent: int, reach: int | None):
     """Reads blocks, sorted one behind the other, and compares each when it is complete.
 
     Most blocks hold a handful of members, far too few to be a group of a
@@ -356,8 +357,8 @@ def block_rows(band: int, percent: int) -> int:
     return min(BLOCK, max(16, (1 << 20) // band_shape(band, percent)[0]))
 
 
-def _open_pairs(members: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int, reach: int
-                ) -> DataFrame:
+def _open_pairs(members: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int,
+                reach: int | None) -> DataFrame:
     """Candidate pairs of keys whose members lie in several components, block by block."""
     rooted = (members.join(roots, F.col("doc") == F.col("node"), "left")
               .select("part_key", "doc", F.coalesce("root", "doc").alias("root")))
@@ -421,7 +422,7 @@ def _roots(members: DataFrame, texts: DataFrame, percent: int, words: int) -> Da
              .select("a", F.col("doc").alias("b"), band).distinct())
     links = settled(linked_pairs(pairs, sketches, texts, percent, words), "parity-links")
     roots = settled(components(links), "parity-roots")
-    for reach in REACH:
+    for reach in (*REACH, None):
         open_pairs = settled(_open_pairs(members, roots, sketches, percent, reach), "parity-open")
         if open_pairs.isEmpty():
             break
