@@ -223,10 +223,105 @@ _PRIVACY = f"""
 """
 
 
+_DIVERGENCE = rf"""
+    WITH listed AS (
+        SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all({_LOWER.format("coalesce(text, '')")},
+                                  '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents),
+    counts AS (
+        SELECT lang, source, term, sum(n) AS n, count(*) AS docs
+        FROM (SELECT lang, source, row, term, count(*) AS n
+              FROM (SELECT lang, source, row, unnest(terms) AS term
+                    FROM (SELECT *, row_number() OVER () AS row FROM listed))
+              GROUP BY lang, source, row, term)
+        GROUP BY lang, source, term),
+    kept AS (
+        SELECT lang, term, sum(n) AS lang_n FROM counts GROUP BY lang, term HAVING sum(docs) >= 10),
+    langs AS (
+        SELECT g.lang, count(k.term) AS v, coalesce(sum(lang_n), 0) AS lang_total
+        FROM (SELECT DISTINCT lang FROM listed) g LEFT JOIN kept k ON k.lang = g.lang GROUP BY g.lang),
+    groups AS (
+        SELECT g.lang, g.source, l.v, l.lang_total, coalesce(sum(c.n), 0) AS total
+        FROM (SELECT DISTINCT lang, source FROM listed) g JOIN langs l ON l.lang = g.lang
+        LEFT JOIN (SELECT c.* FROM counts c JOIN kept k ON k.lang = c.lang AND k.term = c.term) c
+            ON c.lang = g.lang AND c.source = g.source
+        GROUP BY g.lang, g.source, l.v, l.lang_total),
+    shares AS (
+        SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+               1 + (1000000000 * (coalesce(c.n, 0)::HUGEINT + 2)) // (g.total + 2 * g.v) AS p,
+               1 + (1000000000 * (k.lang_n::HUGEINT + 2)) // (g.lang_total + 2 * g.v) AS q
+        FROM groups g JOIN kept k ON k.lang = g.lang
+        LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+    pairs AS (
+        SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+        GROUP BY a.lang, a.source, b.source),
+    items AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q)
+        FROM shares WHERE n > 0 AND p > q)
+    SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+    FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+          FROM items)
+    WHERE part = 'pair' OR rank <= 10
+"""
+
+_CLUSTER_ROUND = """
+    assigned{0} AS MATERIALIZED (
+        SELECT row, c, d2 FROM (
+            SELECT p.row, m.c, sum((p.x - m.x) * (p.x - m.x)) AS d2,
+                   row_number() OVER (PARTITION BY p.row
+                                      ORDER BY sum((p.x - m.x) * (p.x - m.x)), m.c) AS place
+            FROM parts p JOIN centroids{0} m ON m.i = p.i GROUP BY p.row, m.c)
+        WHERE place = 1),"""
+
+_CLUSTER_MOVE = """
+    sums{1} AS MATERIALIZED (
+        SELECT a.c, p.i, sum(p.x) AS s, count(*)::HUGEINT AS n
+        FROM assigned{0} a JOIN parts p ON p.row = a.row GROUP BY a.c, p.i),
+    centroids{1} AS MATERIALIZED (
+        SELECT m.c, m.i, CASE WHEN t.n IS NULL THEN m.x
+                              ELSE (t.s - ((t.s % t.n) + t.n) % t.n) // t.n END AS x
+        FROM centroids{0} m LEFT JOIN sums{1} t ON t.c = m.c AND t.i = m.i),"""
+
+
+def _clusters(rounds: int = 10) -> str:
+    steps = "".join(_CLUSTER_ROUND.format(r) + _CLUSTER_MOVE.format(r, r + 1) for r in range(rounds))
+    return f"""
+    WITH kept AS MATERIALIZED (
+        SELECT vec_id, embedding, row_number() OVER () AS row FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) = 64
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS MATERIALIZED (
+        SELECT row, i, floor(1024 * embedding[i]::DOUBLE)::HUGEINT AS x
+        FROM kept, (SELECT unnest(range(1, 65)) AS i)),
+    seeds AS MATERIALIZED (
+        SELECT row, row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, embedding) - 1 AS c
+        FROM kept),
+    centroids0 AS MATERIALIZED (
+        SELECT s.c, p.i, p.x FROM seeds s JOIN parts p ON p.row = s.row WHERE s.c < 8),
+    {steps}
+    {_CLUSTER_ROUND.format(rounds)}
+    marks AS (
+        SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256
+        FROM centroids{rounds} GROUP BY c)
+    SELECT k.vec_id, a.c::INTEGER AS cluster, a.d2::BIGINT AS distance,
+           (sum(a.d2) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+           (sum(a.d2) OVER ())::BIGINT AS inertia, m.centroid_sha256
+    FROM assigned{rounds} a JOIN kept k ON k.row = a.row JOIN marks m ON m.c = a.c
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_similar_documents": _LINKS,
     "op2_repeated_lines": _LINES,
     "op4_personal_data": _PRIVACY,
     "op7_nearest_vectors": _NEAREST,
     "op9_licenses": _licenses(),
+    "op11_source_divergence": _DIVERGENCE,
+    "op13_centroid_clusters": _clusters(),
 }

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wardlight.llm.clustering import cluster_table
+from wardlight.llm.divergence import divergence
 from wardlight.llm.language import language_table
 from wardlight.llm.language_model import score_documents
 from wardlight.llm.licenses import license_table
@@ -66,8 +68,16 @@ def op10_log_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(_table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_table(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_similar_documents, op2_repeated_lines, op3_language, op4_personal_data, op5_quality,
         op6_pack_sequences, op7_nearest_vectors, op8_mix_sources, op9_licenses,
-        op10_log_probability)}
+        op10_log_probability, op11_source_divergence, op13_centroid_clusters)}
