@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wardlight.llm.bpe import bpe_table
 from wardlight.llm.clustering import cluster_table
 from wardlight.llm.divergence import divergence
 from wardlight.llm.language import language_table
@@ -72,6 +73,13 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(_table(spark, sf_dir, "documents"))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe_table(_table(spark, sf_dir, "documents"),
+                     public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_table(_table(spark, sf_dir, "embeddings"))
 
@@ -80,4 +88,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_similar_documents, op2_repeated_lines, op3_language, op4_personal_data, op5_quality,
         op6_pack_sequences, op7_nearest_vectors, op8_mix_sources, op9_licenses,
-        op10_log_probability, op11_source_divergence, op13_centroid_clusters)}
+        op10_log_probability, op11_source_divergence, op12_byte_bpe,
+        op13_centroid_clusters)}
