@@ -43,7 +43,7 @@ SCALE, PRIOR = 1_000_000_000, 2
 # Different (language, source, term) that a task holds before it hands its counts on.
 HELD_TERMS = 200_000
 # Rows (term, source) that a block of terms holds on average.
-BLOCK_ROWS = 1 << 18
+BLOCK_ROWS = 1 << 15
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
