@@ -34,6 +34,9 @@ def test_similar_sets_share_a_key_and_sketches_bound_the_difference(seed, size,
             apart = np.bitwise_count(P.part_sketches(x, band, percent)[0]
                                      ^ P.part_sketches(y, band, percent)[0]).sum()
             assert apart <= len(a) + len(b) - 2 * both
+            short = np.bitwise_count(P.folded(P.part_sketches(x, band, percent)[0])
+                                     ^ P.folded(P.part_sketches(y, band, percent)[0])).sum()
+            assert short <= apart
             assert len(a) + len(b) - 2 * both <= P.most_apart(len(a), len(b), percent)
 
 
@@ -117,3 +120,25 @@ def test_no_link_is_lost_beyond_the_last_reach(spark, documents, prose, monkeypa
     want = brute.similar(rows)
     assert len({c for _, c in want.values()}) == len(rows) - 1
     assert answer(P.similarity_classes(documents(*rows))) == want
+
+
+@pytest.mark.parametrize("percent,words", [(90, 3), (80, 5)])
+def test_unlinked_texts_of_one_passage_give_few_pairs(spark, documents, prose, monkeypatch, percent, words):
+    """Candidates that leave a block grow with the texts, not with their pairs."""
+    seen = []
+    plain = P.linked_pairs
+    monkeypatch.setattr(P, "linked_pairs", lambda pairs, *rest: (
+        seen.append(pairs.count()), plain(pairs, *rest))[1])
+    passage = prose(7, 200, 10 ** 6)
+    tail = 40 if percent == 80 else 19
+
+    def pairs(n):
+        rows = [(i, " ".join(passage + [f"t{i}x{k}" for k in range(tail)])) for i in range(n)]
+        got = answer(P.similarity_classes(documents(*rows), percent, words))
+        assert {c for _, c in got.values()} == set(range(n))
+        total = sum(seen)
+        seen.clear()
+        return total
+
+    few, many = pairs(500), pairs(2000)
+    assert many <= 6 * few and many <= 20 * 2000

@@ -12,7 +12,7 @@ an exclusive-or checksum of the part's shingles, are the join key.
 3. Members of a key are compared with its smallest member, and linked ones joined
    into components. Only keys whose members still lie in several components need
    more: there, members of different components are compared within bounded
-   blocks, nearest sketches first, in rounds of growing reach. If a member still
+   blocks by folded sketches, nearest first, in rounds of growing reach. If a member still
    had more partners than the widest reach, a last round without any compares
    everything that is left, so no link is lost, and a large group of near copies
    never becomes all its pairs.
@@ -51,8 +51,8 @@ SIMILARITY, WORDS = 90, 3
 BLOCK = 1024
 REACH = (8, 64, 512, BLOCK)
 _BAND = 1.5
-# One in so many words of a sketch is compared first.
-_FIRST_WORDS = 5
+# So many words of a sketch are folded into one for the first comparison.
+_FOLDED_WORDS = 5
 _BAND_BITS = 7
 
 
@@ -144,6 +144,18 @@ def part_keys(shingles: np.ndarray, percent: int = SIMILARITY) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
 
 
+def folded(parity: np.ndarray) -> np.ndarray:
+    """A shorter sketch of the same shingles: words laid over each other by exclusive or.
+
+    It is still a parity sketch, so its Hamming distance still bounds the symmetric
+    difference from below, and it sees all shingles where some of the words would miss most.
+    """
+    width = max(2, len(parity) // _FOLDED_WORDS)
+    padded = np.zeros(-(-len(parity) // width) * width, dtype=np.uint64)
+    padded[:len(parity)] = parity
+    return np.bitwise_xor.reduce(padded.reshape(-1, width), axis=0)
+
+
 _FEATURES = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, part_keys array<bigint>"
 
 
@@ -170,7 +182,7 @@ def _feature_rows(percent: int, words: int):
 
 
 def _sketch_rows(percent: int, words: int):
-    """Per band of a document its set's size and parity bits."""
+    """Per band of a document its set's size and parity bits, whole and folded."""
     def run(batches):
         for batch in batches:
             rows = []
@@ -178,17 +190,18 @@ def _sketch_rows(percent: int, words: int):
                 shingles = shingle_set(text or b"", words)
                 for band in bands_of(len(shingles), percent):
                     parity, _, _ = part_sketches(shingles, band, percent)
-                    rows.append((doc, band, len(shingles), parity.tobytes()))
-            columns = list(zip(*rows)) if rows else [[]] * 4
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
+                    rows.append((doc, band, len(shingles), parity.tobytes(),
+                                 folded(parity).tobytes()))
+            columns = list(zip(*rows)) if rows else [[]] * 5
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, kind) for c, kind in zip(columns, kinds)],
-                names=["doc", "band", "size", "sketch"])
+                names=["doc", "band", "size", "sketch", "folded"])
 
     return run
 
 
-_SKETCHES = "doc bigint, band int, size bigint, sketch binary"
+_SKETCHES = "doc bigint, band int, size bigint, sketch binary, folded binary"
 
 
 def _set_rows(words: int):
@@ -284,7 +297,7 @@ def near_in_block(docs, roots, sizes, block, sketches, left: int, right: int, pe
     """Pairs of different components that may be similar, each member's ``reach`` nearest, or all.
 
     Members of block ``left`` meet those of block ``right``; within one block
-    each pair is met once. ``sketches`` may be the same few words of each.
+    each pair is met once. ``sketches`` may be folded alike.
     """
     out_a, out_b, cut = [], [], False
     others = np.flatnonzero(block == right)
@@ -375,12 +388,10 @@ def _open_pairs(members: DataFrame, roots: DataFrame, sketches: DataFrame, perce
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("part_key", F.least("block", "other").alias("left"),
                       F.greatest("block", "other").alias("right"), "block", "band", "doc", "root"))
-    # The first words of a sketch part most pairs; all of it is compared when a pair is verified.
-    few = F.greatest(F.lit(2), F.floor(F.length("sketch") / 8 / _FIRST_WORDS)).cast("int") * 8
-    first = sketches.select("doc", "band", "size", F.substring("sketch", F.lit(1), few)
-                            .alias("sketch"))
-    full = placed.join(first, ["doc", "band"])
-    return (full.select(*_PLACED).repartition("part_key", "left", "right")
+    # Folded sketches part almost all pairs; the whole one is compared when a pair is verified.
+    short = sketches.select("doc", "band", "size", F.col("folded").alias("sketch"))
+    return (placed.join(short, ["doc", "band"])
+            .select(*_PLACED).repartition("part_key", "left", "right")
             .sortWithinPartitions("part_key", "left", "right")
             .mapInArrow(_near_pairs(percent, reach), _NEAR))
 
