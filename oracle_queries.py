@@ -739,6 +739,38 @@ _SQL: dict[str, str] = {
     "risk_incremental": f"""
         SELECT {_PRIORITY_COLUMNS} FROM priority
         WHERE patient_id IN (SELECT patient_id FROM adt_feed)""",
+    "table_as_select": """
+        SELECT readmission_id, patient_id, days_between, days_between <= 7 AS within_week
+        FROM readmissions WHERE days_between <= 20""",
+    "risk_table_merge": f"""
+        , counts AS (SELECT patient_id, count(*) FILTER (WHERE adt_type = 'admit') AS admits, count(*) AS messages,
+                            cast(max(ts) AS date) AS last_day FROM adt_feed GROUP BY patient_id),
+        raised AS (SELECT coalesce(r.patient_id, c.patient_id) AS patient_id,
+                          least(1e0, round(coalesce(risk_score, 0e0) + coalesce(admits, 0) * 0.02e0, 3)) AS risk_score,
+                          messages, last_day
+                   FROM (SELECT patient_id, risk_score FROM risk_scores) r
+                        FULL JOIN counts c ON r.patient_id = c.patient_id)
+        SELECT patient_id, risk_score, coalesce(messages, 0) AS messages,
+               {_TIER.format("risk_score")} AS tier, last_day FROM raised""",
+    "adt_daily_corrected": """
+        SELECT cast(ts AS date) AS day, adt_type, count(*) AS messages FROM adt_feed GROUP BY 1, 2""",
+    "adt_replay_once": """
+        SELECT adt_type, count(*) AS messages, count(DISTINCT event_id) AS events
+        FROM adt_feed GROUP BY adt_type""",
+    "adt_latest_risk": """
+        SELECT m.event_id, m.patient_id, m.adt_type,
+               (SELECT arg_max(u.value, (u.ts, u.event_id)) FROM adt_feed u
+                WHERE u.adt_type = 'update' AND u.patient_id = m.patient_id AND u.ts <= m.ts
+                      AND u.ts > m.ts - INTERVAL 3 DAY) AS risk_score
+        FROM adt_feed m WHERE m.adt_type <> 'update'""",
+    "ingest_quarantine": """
+        SELECT 'stays' AS source, CASE k % 50 WHEN 0 THEN 'unreadable' WHEN 1 THEN 'missing patient_id'
+                    WHEN 3 THEN 'bad admission_date' ELSE 'accepted' END AS outcome,
+               count(*) AS lines, count(*) FILTER (WHERE k % 50 = 4) AS drifted
+        FROM (SELECT cast(substr(encounter_id, 11) AS bigint) AS k FROM encounters) GROUP BY 1, 2
+        UNION ALL
+        SELECT 'messages', CASE event_id % 40 WHEN 0 THEN 'unreadable' WHEN 1 THEN 'bad ts'
+                    ELSE 'accepted' END, count(*), 0 FROM adt_feed GROUP BY 1, 2""",
 }
 
 

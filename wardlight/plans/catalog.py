@@ -15,7 +15,7 @@ from wardlight.functions.columns import (
     patient_name, tier_label, two_decimals)
 from wardlight.operators import (
     assign, checks, cohorts, judges, lookups, priority, readmit, report, sampling)
-from wardlight.plans import flagship, questions
+from wardlight.plans import flagship, questions, upkeep
 from wardlight.session import scratch_path, settled
 from wardlight.sources.clinical import ClinicalTables
 from wardlight.sources.fixtures import SOURCE_SCHEMAS, mapped_columns
@@ -178,7 +178,7 @@ def adt_stream_dedup(t: ClinicalTables, sf_dir: str) -> DataFrame:
 
 def adt_stream_enrich(t: ClinicalTables, sf_dir: str) -> DataFrame:
     root = scratch_path(t.spark, "enrich")
-    adt.run_enriched(adt_feed_stream(t, sf_dir), t, f"{root}/rows", f"{root}/progress")
+    adt.run_enriched(adt_feed_stream(t, sf_dir), upkeep.bucketed_history(t), f"{root}/rows", f"{root}/progress")
     return t.spark.read.parquet(f"{root}/rows").drop("ts", "batch")
 
 
@@ -188,7 +188,7 @@ def risk_incremental(t: ClinicalTables, sf_dir: str, batches: int = 4) -> DataFr
     feed = t.table("adt_feed")
     feed.repartitionByRange(batches, "event_id").write.parquet(f"{root}/feed")
     stream = adt.read_feed(t.spark, f"{root}/feed", feed.schema, files_per_batch=1)
-    adt.run_incremental(stream, t, f"{root}/scores", f"{root}/progress", compact_every=3)
+    adt.run_incremental(stream, upkeep.bucketed_history(t), f"{root}/scores", f"{root}/progress", compact_every=3)
     return _joined(adt.current_scores(t.spark, f"{root}/scores"), "risk_factors")
 
 
@@ -244,6 +244,8 @@ BATCH: dict[str, Plan] = {
     "report_document": report.report_document,
     "sink_roundtrip_overwrite": sink_roundtrip_overwrite,
     "weekly_report_append": weekly_report_append,
+    "table_as_select": upkeep.table_as_select,
+    "ingest_quarantine": upkeep.ingest_quarantine,
     # judges
     "judge_clinical_accuracy": judge_clinical_accuracy,
     "judge_completeness": judge_completeness,
@@ -284,4 +286,8 @@ STREAMS: dict[str, Callable[[ClinicalTables, str], DataFrame]] = {
     "adt_stream_dedup": adt_stream_dedup,
     "adt_stream_enrich": adt_stream_enrich,
     "risk_incremental": risk_incremental,
+    "risk_table_merge": upkeep.risk_table_merge,
+    "adt_daily_corrected": upkeep.adt_daily_corrected,
+    "adt_replay_once": upkeep.adt_replay_once,
+    "adt_latest_risk": upkeep.adt_latest_risk,
 }

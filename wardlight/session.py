@@ -69,20 +69,21 @@ def settled(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """A path and the Hadoop file system that it is on."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete a file or folder on any storage that Spark reaches."""
-    where, files = _file_system(spark, path)
+    where, files = file_system(spark, path)
     return files.delete(where, True)
 
 
 def list_folder(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; a folder that is not there has none."""
-    where, files = _file_system(spark, path)
+    where, files = file_system(spark, path)
     return [f.getPath().getName() for f in files.listStatus(where)] if files.exists(where) else []
 
 

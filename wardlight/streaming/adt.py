@@ -8,14 +8,17 @@ started with ``availableNow`` stops once the feed is read.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from wardlight.operators.lookups import only_patients, risk_score_lookup
 from wardlight.operators.priority import priority_scores
 from wardlight.session import list_folder, remove_path, scratch_path, settled
 from wardlight.sources.clinical import ClinicalTables
+from wardlight.sources.history import BucketedHistory
+from wardlight.sources.versioned import VersionedTable
 
 LATENESS = "1 hour"
 
@@ -78,13 +81,152 @@ def deduplicated(feed: DataFrame) -> DataFrame:
     return timed(feed).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def enriched(feed: DataFrame, tables: ClinicalTables) -> DataFrame:
+def corrected_days(feed: DataFrame, path: str, checkpoint: str, lateness: str | None = None
+                   ) -> VersionedTable:
+    """Messages per UTC day and type, open days included, in a table that later messages correct.
+
+    Every micro-batch merges the counts that it changed into the table at ``path``
+    (key ``day_type``), under its own number, so a replay changes nothing. Without
+    ``lateness`` a message corrects its day however late it is; the state is one
+    count per day and type either way.
+    """
+    spark = feed.sparkSession
+    timely = timed(feed, lateness) if lateness else instant(feed)
+    counts = (timely.groupBy(F.window("ts", "1 day"), "adt_type").agg(F.count(F.lit(1)).alias("messages"))
+              .select(utc_day(F.col("window.start")).alias("day"), "adt_type", "messages"))
+    table = VersionedTable(spark, path)
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        return rows.select(F.concat_ws("|", F.col("day").cast("string"), F.coalesce("adt_type", F.lit(""))
+                                       ).alias("day_type"), "day", "adt_type", "messages")
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        if not table.versions():
+            VersionedTable.create(keyed(batch).limit(0), path, "day_type", buckets=8)
+        table.merge(keyed(batch), batch=("days", batch_id))
+
+    query = (counts.writeStream.outputMode("update").foreachBatch(step)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    return table
+
+
+def run_once_each(feed: DataFrame, path: str, checkpoint: str, seen_path: str, buckets: int = 64) -> None:
+    """Append each message once to ``path``, whatever was sent before and however long ago.
+
+    The ids seen are a table of their own, bucketed by id, and outlive the query: a feed that is
+    replayed under a new checkpoint adds nothing. A micro-batch writes its folder first, which a
+    replay overwrites, and then enters its ids under its number; once they are entered, the
+    folder is complete and the batch is skipped.
+    """
+    spark = feed.sparkSession
+    seen = VersionedTable(spark, seen_path)
+    # Batch numbers begin anew under a new checkpoint, so its name goes with them.
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        ids = settled(batch.where(F.col("event_id").isNotNull()).select("event_id").distinct(), "ids")
+        if not seen.versions():
+            VersionedTable.create(ids.limit(0), seen_path, "event_id", buckets)
+        if seen.manifest().batches.get(run, -1) >= batch_id:
+            return
+        new = settled(ids.join(seen.read_keys(ids), "event_id", "left_anti"), "new-ids")
+        (batch.dropDuplicates(["event_id"]).join(new, "event_id", "left_semi").select(*batch.columns)
+         .write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}"))
+        seen.append(new, batch=(run, batch_id))
+
+    _run_batches(feed, step, checkpoint)
+
+
+def with_latest_update(messages: DataFrame, updates: DataFrame, horizon: str, lateness: str = LATENESS
+                       ) -> DataFrame:
+    """Each message with the patient's latest risk update up to its time, both as streams.
+
+    ``updates`` has ``patient_id``, ``updated`` (instant), ``update_id`` and ``risk_score``. The
+    two meet in a left outer interval join, whose state expires with the watermarks, and the
+    latest update of a message is taken once no earlier one can come: an update that is late
+    by less than ``lateness`` still counts. A message without any update in ``horizon`` keeps
+    null. Messages are given once the watermark has passed them.
+    """
+    left = timed(messages, lateness)
+    right = updates.select(F.col("patient_id").alias("u_patient"), "updated", "update_id",
+                           F.col("risk_score").alias("u_score")).withWatermark("updated", lateness)
+    near = ((F.col("patient_id") == F.col("u_patient")) & (F.col("updated") <= F.col("ts"))
+            & (F.col("updated") > F.col("ts") - F.expr(f"INTERVAL {horizon}")))
+    return (left.join(right, near, "left_outer")
+            .groupBy("ts", "event_id", "patient_id", "adt_type")
+            .agg(F.max(F.struct("updated", "update_id", "u_score")).alias("latest"))
+            .select("event_id", "ts", "patient_id", "adt_type", F.col("latest.updated").alias("updated"),
+                    F.col("latest.u_score").alias("risk_score")))
+
+
+def latest_update_of(messages: DataFrame, updates: DataFrame, horizon: str) -> DataFrame:
+    """The same for a batch: what ``with_latest_update`` gives, for messages it has not given yet.
+
+    Updates and messages of a patient are put in one order, and each message takes the last
+    update before it, in buckets of a day so that one patient's feed is not one sort; the last
+    update of the days before is sorted in as a bucket's first row.
+    """
+    day = utc_day(F.col("at"))
+    columns = ["patient_id", "at", "kind", "event_id", "adt_type", "update"]
+    update = F.struct(F.col("updated"), F.col("update_id"), F.col("risk_score"))
+    marks = updates.where(F.col("patient_id").isNotNull()).select("patient_id", F.col("updated").alias("at"), F.lit(0).alias("kind"),
+                           F.lit(None).cast("bigint").alias("event_id"), F.lit(None).cast("string").alias("adt_type"),
+                           update.alias("update"))
+    asked = instant(messages).select("patient_id", F.col("ts").alias("at"), F.lit(1).alias("kind"), "event_id",
+                                     "adt_type", F.lit(None).cast(marks.schema["update"].dataType).alias("update"))
+    both = marks.unionByName(asked).withColumn("day", day)
+    last = both.groupBy("patient_id", "day").agg(F.max("update").alias("update"))
+    before = F.max("update").over(Window.partitionBy("patient_id").orderBy("day").rowsBetween(
+        Window.unboundedPreceding, -1))
+    heads = last.select("patient_id", "day", before.alias("update")).select(
+        "patient_id", F.lit(None).cast("timestamp").alias("at"), F.lit(-1).alias("kind"),
+        F.lit(None).cast("bigint").alias("event_id"), F.lit(None).cast("string").alias("adt_type"),
+        "update", "day")
+    order = Window.partitionBy("patient_id", "day").orderBy(F.col("at").asc_nulls_first(), "kind").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    placed = heads.unionByName(both.select(*columns, "day")).withColumn("latest", F.max("update").over(order))
+    fresh = F.col("latest.updated") > F.col("at") - F.expr(f"INTERVAL {horizon}")
+    return placed.where(F.col("kind") == 1).select(
+        "event_id", F.col("at").alias("ts"), "patient_id", "adt_type",
+        F.when(fresh, F.col("latest.updated")).alias("updated"),
+        F.when(fresh, F.col("latest.risk_score")).alias("risk_score"))
+
+
+def run_risk_merge(feed: DataFrame, table: VersionedTable, checkpoint: str, step_size: float = 0.02) -> None:
+    """Keep risk scores up to date in place: admissions raise a patient's score.
+
+    ``table`` has ``patient_id``, ``risk_score``, ``messages`` and ``last_message``. A micro-batch
+    counts its messages per patient and merges the counts: known patients are raised, new ones
+    begin at zero. Only the buckets of its patients are rewritten, and a replayed batch is skipped.
+    """
+    def step(batch: DataFrame, batch_id: int) -> None:
+        counts = (instant(batch).where(F.col("patient_id").isNotNull()).groupBy("patient_id").agg(
+            F.count_if(F.col("adt_type") == "admit").alias("admits"),
+            F.count(F.lit(1)).alias("messages"), F.max("ts").alias("last_message")))
+
+        def raised(before: Column) -> Column:
+            return F.least(F.lit(1.0), F.round(before + F.col("new.admits") * F.lit(step_size), 3))
+
+        table.merge(counts, batch=("risk", batch_id), matched={
+            "risk_score": raised(F.col("old.risk_score")),
+            "messages": F.col("old.messages") + F.col("new.messages"),
+            "last_message": F.greatest("old.last_message", "new.last_message"),
+        }, inserted={"risk_score": raised(F.lit(0.0))})
+
+    _run_batches(feed, step, checkpoint)
+
+
+def enriched(feed: DataFrame, tables: ClinicalTables | BucketedHistory) -> DataFrame:
     """Messages (a batch, or one micro-batch) with the patient's record number and latest risk.
 
     The clinical side is cut to the patients of the messages before anything is
-    aggregated, so only their rows are moved.
+    aggregated, so only their rows are moved; of a bucketed history, only their
+    files are read.
     """
     touched = settled(feed.select("patient_id").distinct(), "touched")
+    if isinstance(tables, BucketedHistory):
+        tables = tables.share(touched)
     risk = risk_score_lookup(tables, touched).select("patient_id", "risk_score", "risk_category")
     people = (only_patients(tables.patients.select("patient_id", "mrn"), touched)
               .join(risk, "patient_id", "left"))
@@ -92,7 +234,7 @@ def enriched(feed: DataFrame, tables: ClinicalTables) -> DataFrame:
         "event_id", "ts", "patient_id", "adt_type", "mrn", "risk_score", "risk_category")
 
 
-def run_enriched(feed: DataFrame, tables: ClinicalTables, path: str, checkpoint: str) -> None:
+def run_enriched(feed: DataFrame, tables: ClinicalTables | BucketedHistory, path: str, checkpoint: str) -> None:
     """Write every micro-batch, enriched, to its own folder, which a replay overwrites.
 
     The clinical tables are read in each micro-batch, so a message meets them
@@ -131,13 +273,16 @@ def _run_batches(feed: DataFrame, step: Callable[[DataFrame, int], None], checkp
     query.awaitTermination()
 
 
-def share_of(tables: ClinicalTables, touched: DataFrame) -> ClinicalTables:
+def share_of(tables: ClinicalTables | BucketedHistory, touched: DataFrame) -> ClinicalTables:
     """The tables cut to some patients, for work on a few of them.
 
+    A bucketed history opens only the files of their buckets. Otherwise
     ``touched`` (settled, so its size is known) is small next to the history:
     the tables are filtered by it where they are read. The patients' stays are
     settled in turn and filter the diagnoses, so no history is shuffled.
     """
+    if isinstance(tables, BucketedHistory):
+        return tables.share(touched)
     stays = settled(only_patients(tables.encounters, touched), "stays")
     codes = tables.diagnoses.join(stays.select("encounter_id"), "encounter_id", "left_semi")
     return tables.replace(
@@ -146,7 +291,7 @@ def share_of(tables: ClinicalTables, touched: DataFrame) -> ClinicalTables:
         sdoh=only_patients(tables.sdoh, touched))
 
 
-def score_touched(tables: ClinicalTables, path: str, compact_every: int = 0
+def score_touched(tables: ClinicalTables | BucketedHistory, path: str, compact_every: int = 0
                   ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` step that rescores only the patients of the batch.
 
@@ -173,7 +318,7 @@ def score_touched(tables: ClinicalTables, path: str, compact_every: int = 0
     return step
 
 
-def run_incremental(feed: DataFrame, tables: ClinicalTables, path: str, checkpoint: str,
+def run_incremental(feed: DataFrame, tables: ClinicalTables | BucketedHistory, path: str, checkpoint: str,
                     compact_every: int = 0) -> None:
     _run_batches(feed, score_touched(tables, path, compact_every), checkpoint)
 
