@@ -58,66 +58,77 @@ class Merges:
             raise ValueError(f"not a byte-level vocabulary: {len(missing)} single bytes have no rank")
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.single = [ranks[bytes([b])] for b in range(256)]
+        self.size = max(self.tokens) + 1
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        # Rank of every pair of single bytes, -1 for those that do not merge.
+        self.double = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)],
+                               dtype=np.int32)
 
     def replay(self, words: list[bytes]) -> list[list[int]]:
         """The ids of every word."""
         found: list[list[int] | None] = [[self.ranks[w]] if w in self.ranks else None for w in words]
         rest = [i for i, ids in enumerate(found) if ids is None]
-        starts, size = [], 0
-        for i in rest:
-            starts.append(size)
-            size += len(words[i])
-        token = array("i", (self.single[b] for i in rest for b in words[i]))
-        after = array("i", range(1, size + 1))
-        before = array("i", range(-1, size - 1))
-        for begin, i in zip(starts, rest):
-            before[begin] = -1
-            after[begin + len(words[i]) - 1] = -1
-
-        known: dict[tuple[int, int], int] = {}
-        index: dict[int, array] = {}
-        heap: list[int] = []
-
-        def rank(a: int, b: int) -> int:
-            pair = (a, b)
-            if pair not in known:
-                known[pair] = self.ranks.get(self.tokens[a] + self.tokens[b], -1)
-            return known[pair]
-
-        def enter(r: int, at: int) -> None:
-            if r in index:
-                index[r].append(at)
-            else:
-                index[r] = array("i", (at,))
-                heapq.heappush(heap, r)
-
-        for at in range(size):
-            if after[at] >= 0 and (r := rank(token[at], token[at + 1])) >= 0:
-                enter(r, at)
+        if not rest:
+            return found
+        data = np.frombuffer(b"".join(words[i] for i in rest), dtype=np.uint8)
+        ends = np.cumsum([len(words[i]) for i in rest])
+        starts = np.append(0, ends[:-1]).tolist()
+        # Tokens in a row per word, linked both ways, and the rank of each token's pair with the next.
+        at_first = np.append(self.double[data[:-1], data[1:]], np.int32(-1))
+        at_first[ends - 1] = -1
+        links = np.arange(1, len(data) + 1, dtype=np.int32)
+        links[ends - 1] = -1
+        backward = np.arange(-1, len(data) - 1, dtype=np.int32)
+        backward[starts] = -1
+        token, pair, after, before = (
+            array("i", a.tobytes()) for a in (self.single[data], at_first, links, backward))
+        order = np.argsort(at_first, kind="stable")
+        ranks, begins = np.unique(at_first[order], return_index=True)
+        index = {r: array("i", part.astype(np.int32).tobytes()) for r, part in zip(
+            ranks.tolist(), np.split(order, begins[1:])) if r >= 0}
+        heap = list(index)
+        heapq.heapify(heap)
+        known: dict[int, int] = {}
+
+        def entered(left: int, at: int, right: int) -> int:
+            """Enters the pair of tokens ``left`` and ``right`` at its place; its rank."""
+            both = left * self.size + right
+            r = known.get(both)
+            if r is None:
+                r = known[both] = self.ranks.get(self.tokens[left] + self.tokens[right], -1)
+            pair[at] = r
+            if r >= 0:
+                if r in index:
+                    index[r].append(at)
+                else:
+                    index[r] = array("i", (at,))
+                    heapq.heappush(heap, r)
+                return r
+            return self.size
+
         while heap:
             now = heapq.heappop(heap)
             waiting: set[int] = set()
             for at in sorted(index.pop(now)):
-                right = after[at]
                 # Since it was entered, the token may have gone or have another neighbour.
-                if token[at] < 0 or right < 0 or rank(token[at], token[right]) != now:
+                if pair[at] != now:
                     continue
                 if waiting and bisect_right(starts, at) in waiting:
-                    enter(now, at)
+                    entered(token[at], at, token[after[at]])
                     continue
-                token[at], token[right] = now, -1
+                right = after[at]
+                token[at] = now
+                pair[at] = pair[right] = -1
                 behind = after[at] = after[right]
+                lowest = self.size
                 if behind >= 0:
                     before[behind] = at
-                    if (r := rank(now, token[behind])) >= 0:
-                        enter(r, at)
-                        if r < now:
-                            waiting.add(bisect_right(starts, at))
-                if (left := before[at]) >= 0 and (r := rank(token[left], now)) >= 0:
-                    enter(r, left)
-                    if r < now:
-                        waiting.add(bisect_right(starts, at))
+                    lowest = entered(now, at, token[behind])
+                left = before[at]
+                if left >= 0:
+                    lowest = min(lowest, entered(token[left], left, now))
+                if lowest < now:
+                    waiting.add(bisect_right(starts, at))
         for begin, i in zip(starts, rest):
             ids, at = [], begin
             while at >= 0:
