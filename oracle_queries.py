@@ -763,6 +763,64 @@ _SQL: dict[str, str] = {
                 WHERE u.adt_type = 'update' AND u.patient_id = m.patient_id AND u.ts <= m.ts
                       AND u.ts > m.ts - INTERVAL 3 DAY) AS risk_score
         FROM adt_feed m WHERE m.adt_type <> 'update'""",
+    "distinct_patients_rollup": """
+        SELECT strftime(discharge_date, '%Y-%m') AS discharge_month, facility,
+               cast(grouping_id(strftime(discharge_date, '%Y-%m'), facility) AS int) AS level,
+               count(DISTINCT patient_id) AS patients, true AS estimate_within_bound
+        FROM encounters WHERE discharge_date IS NOT NULL
+        GROUP BY ROLLUP (strftime(discharge_date, '%Y-%m'), facility)""",
+    "request_heavy_words": r"""
+        , words AS (SELECT unnest(string_split(trim(regexp_replace(lower(request), '[ \t\r\n]+', ' ', 'g')), ' ')) AS word
+                    FROM user_turns)
+        SELECT word, count(*) AS times FROM words GROUP BY word
+        HAVING count(*) > 0.01e0 * (SELECT count(*) FROM words)""",
+    "dx_description_index": """
+        SELECT literal, case_blind, icd10_code, description, count(*) AS diagnosis_rows
+        FROM diagnoses JOIN (VALUES ('heart failure', true), ('Heart Failure', false), ('2', true), (', UNSPEC', true))
+                            v(literal, case_blind)
+             ON CASE WHEN case_blind THEN contains(lower(description), lower(literal))
+                     ELSE contains(description, literal) END
+        GROUP BY ALL""",
+    "code_group_counts": """
+        , groups AS (
+            SELECT DISTINCT substr(icd10_code, 1, n) AS prefix, label
+            FROM diagnoses, (VALUES (1, 'chapter'), (3, 'category'), (20, 'code')) v(n, label))
+        SELECT g.prefix, g.label, count(*) AS diagnosis_rows, count(DISTINCT patient_id) AS patients
+        FROM groups g JOIN dx ON dx.icd10_code LIKE g.prefix || '%' GROUP BY g.prefix, g.label""",
+    "sql_table_functions": f"""
+        SELECT 'get_recent_discharges' AS function, count(*) AS rows, count(DISTINCT encounter_id) AS found
+        FROM encounters WHERE discharge_date >= {DAY} - 30
+        UNION ALL SELECT 'get_diagnoses_by_condition', count(*), count(DISTINCT encounter_id || icd10_code)
+        FROM (SELECT DISTINCT encounter_id, icd10_code, description, is_primary, diagnosis_date FROM dx
+              WHERE icd10_code LIKE 'J44%')
+        UNION ALL SELECT 'get_patient_readmission_history', count(*), count(DISTINCT readmission_id) FROM readmissions
+        UNION ALL SELECT 'get_risk_score', count(*), count(DISTINCT risk_category) FROM risk_scores
+        UNION ALL SELECT 'get_sdoh_barriers', count(*), count(DISTINCT housing_instability) FROM sdoh
+        UNION ALL SELECT 'get_available_care_coordinators', count(*), count(DISTINCT coordinator_id)
+        FROM care_coordinators WHERE active AND available_capacity > 0 AND contains(specialties, 'COPD')
+        UNION ALL SELECT 'suggest_coordinator_for_patient', count(*), count(*)
+        FROM (SELECT 1 FROM care_coordinators WHERE active AND available_capacity > 0 LIMIT 1)
+        UNION ALL SELECT 'calculate_priority_score', count(*), count(DISTINCT recommendations) FROM priority
+        UNION ALL SELECT 'generate_outreach_report', count(*), count(DISTINCT {_TIER.format("r.risk_score")})
+        FROM patients LEFT JOIN risk_scores r USING (patient_id)""",
+    "toolbox_calls": f"""
+        , forty AS (SELECT patient_id FROM patients WHERE patient_id BETWEEN 'patient-000001' AND 'patient-000040'
+                   AND length(patient_id) = 14)
+        SELECT 'get_recent_discharges' AS tool, count(*) AS rows FROM encounters WHERE discharge_date >= {DAY} - 30
+        UNION ALL SELECT 'get_diagnoses_by_condition', count(*)
+        FROM (SELECT DISTINCT encounter_id, icd10_code, description, is_primary, diagnosis_date FROM dx
+              WHERE icd10_code LIKE 'I50%')
+        UNION ALL SELECT 'get_patient_readmission_history', count(*) FROM readmissions JOIN forty USING (patient_id)
+        UNION ALL SELECT 'get_risk_score', count(*) FROM risk_scores JOIN forty USING (patient_id)
+        UNION ALL SELECT 'get_sdoh_barriers', count(*) FROM sdoh JOIN forty USING (patient_id)
+        UNION ALL SELECT 'get_available_care_coordinators', count(*)
+        FROM care_coordinators WHERE active AND available_capacity > 0 AND contains(specialties, 'CHF')
+        UNION ALL SELECT 'suggest_coordinator_for_patient', count(*)
+        FROM (SELECT 1 FROM care_coordinators WHERE active AND available_capacity > 0 LIMIT 1)
+        UNION ALL SELECT 'calculate_priority_score', count(*) FROM forty
+        UNION ALL SELECT 'assign_care_coordinator', count(*) FROM patients
+        UNION ALL SELECT 'generate_outreach_report', 2 + count(DISTINCT {_TIER.format("r.risk_score")})
+        FROM forty LEFT JOIN risk_scores r USING (patient_id)""",
     "ingest_quarantine": """
         SELECT 'stays' AS source, CASE k % 50 WHEN 0 THEN 'unreadable' WHEN 1 THEN 'missing patient_id'
                     WHEN 3 THEN 'bad admission_date' ELSE 'accepted' END AS outcome,

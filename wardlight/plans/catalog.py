@@ -246,6 +246,11 @@ BATCH: dict[str, Plan] = {
     "weekly_report_append": weekly_report_append,
     "table_as_select": upkeep.table_as_select,
     "ingest_quarantine": upkeep.ingest_quarantine,
+    "sql_table_functions": upkeep.sql_table_functions,
+    "toolbox_calls": upkeep.toolbox_calls,
+    "distinct_patients_rollup": upkeep.distinct_patients_rollup,
+    "dx_description_index": upkeep.dx_description_index,
+    "code_group_counts": upkeep.code_group_counts,
     # judges
     "judge_clinical_accuracy": judge_clinical_accuracy,
     "judge_completeness": judge_completeness,
@@ -290,4 +295,5 @@ STREAMS: dict[str, Callable[[ClinicalTables, str], DataFrame]] = {
     "adt_daily_corrected": upkeep.adt_daily_corrected,
     "adt_replay_once": upkeep.adt_replay_once,
     "adt_latest_risk": upkeep.adt_latest_risk,
+    "request_heavy_words": upkeep.request_heavy_words,
 }

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from wardlight.functions.columns import tier_label
-from wardlight.operators import readmit
-from wardlight.session import scratch_path
+from wardlight.functions.table_functions import register_table_functions
+from wardlight.functions.toolbox import TOOLS
+from wardlight.operators import codes, readmit, sketches
+from wardlight.operators.priority import priority_scores
+from wardlight.session import scratch_path, settled
 from wardlight.sources.clinical import ClinicalTables
 from wardlight.sources.history import BucketedHistory
 from wardlight.sources.ingest import Source, ingest
@@ -117,3 +120,99 @@ def ingest_quarantine(t: ClinicalTables) -> DataFrame:
     ).write.text(f"{root}/raw/messages")
     return ingest([(source, t.spark.read.text(f"{root}/raw/{source.name}")) for source in (STAYS, MESSAGES)],
                   f"{root}/tables")
+
+
+def distinct_patients_rollup(t: ClinicalTables) -> DataFrame:
+    """Exact distinct patients per month and facility and above, and whether the estimate from
+    stored sketches, brought in by two halves, is within its bound."""
+    table = VersionedTable.create(sketches.patient_sketches(t.encounters.limit(0)),
+                                  f"{scratch_path(t.spark, 'sketches')}/cells", "cell", 4)
+    for half in (0, 1):
+        sketches.add_stays(table, t.encounters.where(F.pmod(F.xxhash64("encounter_id"), F.lit(2)) == half),
+                           batch=("stays", half))
+    estimates = sketches.estimated_rollup(table.read())
+    exact = sketches.exact_rollup(t)
+    same = [exact[c].eqNullSafe(estimates[c]) for c in ("discharge_month", "facility", "level")]
+    return exact.join(estimates, same[0] & same[1] & same[2]).select(
+        exact["discharge_month"], exact["facility"], exact["level"], "patients",
+        sketches.within_bound(F.col("estimated_patients"), F.col("patients")).alias("estimate_within_bound"))
+
+
+WORD_SHARE, SUMMARY_ITEMS = 0.01, 400
+
+
+def request_heavy_words(t: ClinicalTables, sf_dir: str, batches: int = 3) -> DataFrame:
+    """Words that make up more than a stated share of all words that users write.
+
+    A stream keeps a bounded summary; a second pass counts the few words it names.
+    """
+    root = scratch_path(t.spark, "words")
+    word = F.explode(F.split(sketches.normal_text(F.col("request")), " "))
+    feed = in_batches(t, t.table("user_turns"), "conv_id", batches, "word-feed")
+    summary = sketches.run_summary(feed, word, f"{root}/summary", f"{root}/progress", SUMMARY_ITEMS)
+    named = sketches.frequent(settled(summary.read(), "named"), WORD_SHARE)
+    return sketches.exactly_frequent(t.table("user_turns").select(word.alias("item")), named, WORD_SHARE).select(
+        F.col("item").alias("word"), "times")
+
+
+def dx_description_index(t: ClinicalTables) -> DataFrame:
+    """Descriptions that hold some literals, found through the index."""
+    index = codes.DescriptionIndex.build(t.diagnoses, scratch_path(t.spark, "descriptions"), BUCKETS)
+    found = None
+    for literal, case_blind in (("heart failure", True), ("Heart Failure", False), ("2", True), (", UNSPEC", True)):
+        rows = index.search(literal, case_blind).select(
+            F.lit(literal).alias("literal"), F.lit(case_blind).alias("case_blind"), "icd10_code", "description",
+            F.col("n").alias("diagnosis_rows"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def code_group_counts(t: ClinicalTables) -> DataFrame:
+    """Diagnosis rows and patients of overlapping code groups: every chapter letter, category and code."""
+    once = t.diagnoses.select("icd10_code").where(F.col("icd10_code").isNotNull()).distinct()
+    groups = once.select(F.explode(F.array(*(F.struct(
+        F.substring("icd10_code", 1, n).alias("prefix"), F.lit(label).alias("label"))
+        for n, label in ((1, "chapter"), (3, "category"), (20, "code"))))).alias("g")).select("g.*").distinct()
+    return codes.group_counts(t.diagnoses, t.encounters, groups)
+
+
+_CALLS = {
+    "get_recent_discharges": "SELECT encounter_id AS found FROM get_recent_discharges(30)",
+    "get_diagnoses_by_condition": "SELECT encounter_id || icd10_code AS found FROM get_diagnoses_by_condition('copd')",
+    "get_patient_readmission_history":
+        "SELECT f.readmission_id AS found FROM patients p, LATERAL get_patient_readmission_history(p.patient_id) f",
+    "get_risk_score":
+        "SELECT f.risk_category AS found FROM patients p, LATERAL get_risk_score(p.patient_id) f",
+    "get_sdoh_barriers":
+        "SELECT cast(f.housing_instability AS string) AS found FROM patients p, LATERAL get_sdoh_barriers(p.patient_id) f",
+    "get_available_care_coordinators": "SELECT coordinator_id AS found FROM get_available_care_coordinators('COPD')",
+    "suggest_coordinator_for_patient":
+        "SELECT coordinator_id AS found FROM suggest_coordinator_for_patient('patient-000001', 'CHF')",
+    "calculate_priority_score":
+        "SELECT f.recommendations AS found FROM patients p, LATERAL calculate_priority_score(p.patient_id) f",
+    "generate_outreach_report":
+        "SELECT f.tier AS found FROM patients p, LATERAL generate_outreach_report(p.patient_id) f",
+}
+
+
+def sql_table_functions(t: ClinicalTables) -> DataFrame:
+    """Rows and different values that each SQL table function gives, called over whole tables."""
+    register_table_functions(t)
+    return t.spark.sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS function, count(*) AS rows, count(DISTINCT found) AS found FROM ({call})"
+        for name, call in _CALLS.items()))
+
+
+def toolbox_calls(t: ClinicalTables) -> DataFrame:
+    """Rows that each named capability gives, for all patients where it takes patients."""
+    everyone = settled(priority_scores(t).select("patient_id", "priority_score"), "everyone")
+    ids = [f"patient-{n:06d}" for n in range(1, 41)]
+    arguments = {"get_recent_discharges": (30,), "get_diagnoses_by_condition": ("chf",),
+                 "get_available_care_coordinators": ("CHF",), "suggest_coordinator_for_patient": (ids[0], "COPD"),
+                 "assign_care_coordinator": (everyone,)}
+    found = None
+    for name, tool in TOOLS.items():
+        rows = tool(t, *arguments.get(name, (ids,))).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("tool"), "rows")
+        found = rows if found is None else found.unionByName(rows)
+    return found
