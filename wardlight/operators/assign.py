@@ -16,6 +16,8 @@ PERFECT, GENERAL, ANY = "Perfect Match", "General Match", "Available"
 GENERALIST = "Geriatrics"
 
 NO_SPECIALTY = "any"
+# Ranges whose row counts reach the driver at once.
+_RANGES = 4096
 # Needs in the order they are served.
 SPECIALTIES = ("CHF", "COPD", "Diabetes")
 
@@ -93,17 +95,41 @@ def coordinator_slots(tables: ClinicalTables) -> DataFrame:
         F.col("coordinator_id")])
 
 
-def _renumbered(rows: DataFrame, number: str) -> DataFrame:
-    """``__k``: the rows' order among themselves, from a number they keep from a larger set."""
-    return distributed_row_number(rows, "__k", [], [F.col(number)],
-                                  {"__bucket": F.floor(F.col(number) / (1 << 14))})
+def _counts_by_number(rows: DataFrame, number: str, low: int, width: int) -> dict[int, int]:
+    """Rows per range of ``width`` numbers from ``low`` on; at most ``_RANGES`` ranges reach the driver."""
+    inside = rows.where((F.col(number) >= low) & (F.col(number) < low + width * _RANGES))
+    at = F.floor((F.col(number) - low) / width)
+    return {r["at"]: r["n"] for r in inside.groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
 
+def number_of_nth(rows: DataFrame, number: str, nth: int, highest: int) -> tuple[int, int]:
+    """The ``number`` of the ``nth`` row (or of the last, if there are fewer), and how many rows there are.
 
-def _matched(patients: DataFrame, places: DataFrame) -> DataFrame:
-    """The k-th of the patients by rank gets the k-th of the places by turn."""
-    first = _renumbered(patients.select("patient_id", "priority_rank"), "priority_rank")
-    return first.join(_renumbered(places.select("turn"), "turn"), "__k").select(
-        "patient_id", "turn")
+    Numbers are counted in ranges, and the range that holds the row in finer ones, until a range is
+    one number: one pass for some thousand numbers, two for some ten million.
+    """
+    low, width, before, total = 0, max(1, -(-(highest + 1) // _RANGES)), 0, None
+    while True:
+        counts = _counts_by_number(rows, number, low, width)
+        if total is None:
+            total = sum(counts.values())
+            nth = min(nth, total)
+            if not nth:
+                return 0, total
+        for at in sorted(counts):
+            if before + counts[at] >= nth:
+                break
+            before += counts[at]
+        low += at * width
+        if width == 1:
+            return low, total
+        width = -(-width // _RANGES)
+
+
+def _in_order(rows: DataFrame, number: str, step: Column) -> DataFrame:
+    """``__step`` and ``__k``, the place in the order of ``number`` among the rows of the step."""
+    return distributed_row_number(rows.withColumn("__step", step), "__k", ["__step"], [F.col(number)],
+                                  {"__bucket": F.floor(F.col(number) / (1 << 14))})
 
 
 def assign_coordinators(tables: ClinicalTables, patients: DataFrame,
@@ -115,34 +141,43 @@ def assign_coordinators(tables: ClinicalTables, patients: DataFrame,
     place is used once. Whoever is left then takes any remaining place, and
     patients beyond the last place stay in the result without a coordinator.
 
-    Each step numbers its patients and its places in buckets and joins on the
-    unique number; nothing is ranked in one task. Patients, places and the
-    takings of every step are written to shared storage when this is called.
+    Both sides are ranked once. A specialty then takes the first of its patients and the first of
+    the places left to it, so what it takes is told by two numbers, the last rank and the last
+    turn; these are counted out range by range. With them every patient and place knows
+    its step, one numbering within the steps serves all of them, and the two meet on step and
+    number. Needs, ranked patients and ranked places are written to shared storage when this is
+    called, each once.
     """
     needs = patient_needs(tables, specialties, patients)
     known = settled(patients.select("patient_id", "priority_score").join(
         needs, "patient_id", "left"), "needs")
-    waiting = settled(ranked(known, "priority_rank",
-                             [F.desc("priority_score"), F.col("patient_id")]), "waiting")
-    places = settled(coordinator_slots(tables), "places")
-    taken = None
-    for specialty in (*specialties, None):
-        these, free = waiting, places
-        if specialty is not None:
-            these = waiting.where(F.col("specialty") == specialty)
-            free = places.where(F.col("specialties").contains(specialty))
-        if taken is not None:
-            free = free.join(taken, "turn", "left_anti")
-            if specialty is None:
-                these = these.join(taken, "patient_id", "left_anti")
-        step = _matched(these, free)
-        taken = settled(step if taken is None else taken.unionByName(step), "taken")
-    given = taken.join(places, "turn").select(
-        "patient_id", "coordinator_id", F.col("name").alias("coordinator_name"), "specialties")
+    waiting = ranked(known, "priority_rank", [F.desc("priority_score"), F.col("patient_id")])
+    places = coordinator_slots(tables)
+    per_need = {r["specialty"]: r["n"] for r in waiting.groupBy("specialty").agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    everyone, turns = sum(per_need.values()), places.count()
+    served, used = F.lit(None).cast("int"), F.lit(None).cast("int")
+    for step, specialty in enumerate(specialties):
+        asking = per_need.get(specialty, 0)
+        if not asking:
+            continue
+        fits = used.isNull() & F.col("specialties").contains(specialty)
+        last_turn, free = number_of_nth(places.where(fits), "turn", asking, turns)
+        last_rank = everyone
+        if free < asking:
+            last_rank, _ = number_of_nth(waiting.where(F.col("specialty") == specialty), "priority_rank",
+                                         free, everyone)
+        used = F.coalesce(used, F.when(fits & (F.col("turn") <= last_turn), step))
+        served = F.coalesce(served, F.when(
+            (F.col("specialty") == specialty) & (F.col("priority_rank") <= last_rank), step))
+    rest = F.lit(len(specialties))
+    asked = _in_order(waiting, "priority_rank", F.coalesce(served, rest))
+    given = _in_order(places, "turn", F.coalesce(used, rest)).select(
+        "__step", "__k", "coordinator_id", F.col("name").alias("coordinator_name"), "specialties")
     quality = (F.when(F.col("specialties").contains(F.col("specialty")), PERFECT)
                .when(F.col("specialties").contains(GENERALIST), GENERAL)
                .when(F.col("coordinator_id").isNotNull(), ANY))
-    return (waiting.join(given, "patient_id", "left")
+    return (asked.join(given, ["__step", "__k"], "left")
             .select("patient_id", "priority_score", "priority_rank", "specialty",
                     "coordinator_id", "coordinator_name", quality.alias("match_quality")))
 
