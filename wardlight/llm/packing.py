@@ -23,13 +23,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wardlight.llm.words import as_bytes, sections, word_hashes
+from wardlight.llm.words import as_bytes, hand_back, sections, word_hashes
 from wardlight.session import settled
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")
 PACKED = PIECES + ", sequence_id bigint, offset bigint"
-# Words whose ids one worker remembers; beyond it the memory is begun anew.
-REMEMBERED_WORDS = 600_000
+# Words and stems whose ids one worker remembers; beyond it the memory is begun anew.
+REMEMBERED_WORDS = 400_000
 # Bytes whose words are looked up together.
 GROUP_BYTES = 2 << 20
 # Punctuation that may end a word: the vocabulary splits between a letter or digit and these.
@@ -61,10 +61,18 @@ class WordIds:
         self.forget()
 
     def forget(self) -> None:
+        # Runs of ids one behind another; words and stems are kept as the number of their run.
         self.slots: dict[int, int] = {}
-        self.stems: dict[bytes, list[int]] = {}
+        self.stems: dict[bytes, int] = {}
         self.ids = array("I", [self.end_id])
-        self.lengths = array("q", [1])
+        self.starts = array("q", [0])
+        self.lengths = array("i", [1])
+
+    def _run(self, ids: list[int] | array) -> int:
+        self.starts.append(len(self.ids))
+        self.lengths.append(len(ids))
+        self.ids.extend(ids)
+        return len(self.lengths) - 1
 
     def _whole(self, words: list[bytes]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(
@@ -87,8 +95,9 @@ class WordIds:
         letters, others = [], []
         for stem in stems:
             (letters if stem.decode().lower().isalpha() else others).append(stem)
-        self.stems.update(zip(letters, self._alphabetic(letters)))
-        self.stems.update(zip(others, self._whole(others)))
+        for some, found in ((letters, self._alphabetic(letters)), (others, self._whole(others))):
+            for stem, ids in zip(some, found):
+                self.stems[stem] = self._run(ids)
 
     def _learn(self, hashes: list[int], words: list[bytes]) -> None:
         parted = []
@@ -100,11 +109,14 @@ class WordIds:
         self._learn_stems([s for s in dict.fromkeys(s for parts in parted for s in parts)
                            if s not in self.stems])
         for value, parts in zip(hashes, parted):
-            before = len(self.ids)
-            for stem in parts:
-                self.ids.extend(self.stems[stem])
-            self.slots[value] = len(self.lengths)
-            self.lengths.append(len(self.ids) - before)
+            runs = [self.stems[part] for part in parts]
+            if len(runs) > 1:
+                ids = array("I")
+                for run in runs:
+                    begin = self.starts[run]
+                    ids.extend(self.ids[begin:begin + self.lengths[run]])
+                runs = [self._run(ids)]
+            self.slots[value] = runs[0]
 
     def encode(self, data: bytes, end_places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words of ``data`` with the end id put in before the given byte places;
@@ -128,9 +140,9 @@ class WordIds:
         slots = known[codes] if len(codes) else np.zeros(0, dtype=np.int64)
         text_ends = np.searchsorted(starts, end_places)
         slots = np.insert(slots, text_ends, 0)
-        flat, lengths = np.array(self.ids, dtype=np.uint32), np.array(self.lengths)
-        begins = (np.cumsum(lengths) - lengths)[slots]
-        counts = lengths[slots]
+        flat = np.array(self.ids, dtype=np.uint32)
+        begins = np.array(self.starts)[slots]
+        counts = np.array(self.lengths, dtype=np.int64)[slots]
         before = np.concatenate([[0], np.cumsum(counts)])
         places = np.arange(before[-1]) + np.repeat(begins - before[:-1], counts)
         return flat[places], before[text_ends + np.arange(1, len(text_ends) + 1)]
@@ -197,6 +209,7 @@ def _piece_rows(path: str, end_id: int, capacity: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=pa.int64()) for c in columns],
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        hand_back()
 
     return run
 

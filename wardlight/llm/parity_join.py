@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wardlight.llm.graph import components, with_few
 from wardlight.llm.quality import joined, text_words
-from wardlight.llm.words import as_bytes, mixed
+from wardlight.llm.words import as_bytes, hand_back, mixed
 from wardlight.session import settled
 
 # Similarity in percent, and words of a shingle.
@@ -177,6 +177,7 @@ def _feature_rows(percent: int, words: int):
                  pa.array(second, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
                 names=["doc_id", "n_shingles", "set_a", "set_b", "part_keys"])
+        hand_back()
 
     return run
 
@@ -197,6 +198,7 @@ def _sketch_rows(percent: int, words: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, kind) for c, kind in zip(columns, kinds)],
                 names=["doc", "band", "size", "sketch", "folded"])
+        hand_back()
 
     return run
 
@@ -354,6 +356,8 @@ def _near_pairs(percent: int, reach: int | None):
             yield _pair_batch(rows)
         if held:
             yield _pair_batch(compared())
+            held = []
+        hand_back()
 
     return run
 

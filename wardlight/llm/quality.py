@@ -17,6 +17,7 @@ sections, all of them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardlight.llm.linear import SparseRows, fit_logistic, fit_platt
-from wardlight.llm.words import mixed, sections, word_hashes
+from wardlight.llm.words import hand_back, mixed, sections, word_hashes
 
 # Labelled rows that are learned from, at most.
 MAX_LABELS = 3000
@@ -38,6 +39,8 @@ WIDTH = (1 << WORD_BITS) + (1 << CHAR_BITS)
 _SCALE = 30.0
 _CHARS = 1 << 18
 _FOLDS = 5
+# Texts of a batch that are held as Python objects together.
+_AT_ONCE = 500
 
 _SYMBOLS = list(b"#*$%&|<>")
 _SPACES = [0x20, *range(0x09, 0x0E)]
@@ -136,6 +139,7 @@ def _feature_rows(batches):
              pa.array([b.tobytes() for b, _ in pairs], pa.binary()),
              pa.array([v.tobytes() for _, v in pairs], pa.binary())],
             names=["fold", "quality", "buckets", "frequencies"])
+    hand_back()
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS
@@ -194,8 +198,13 @@ _TYPE = pa.struct([("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symb
 
 def quality_of(text: Column, model: QualityModel | None, keep_from: float = KEEP_FROM) -> Column:
     """A struct of counts and verdicts, worked out in Arrow batches."""
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array([judged(model, t, keep_from) for t in texts.to_pylist()], type=_TYPE)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            found = []
+            for at in range(0, len(texts), _AT_ONCE):
+                found += [judged(model, t, keep_from) for t in texts.slice(at, _AT_ONCE).to_pylist()]
+            yield pa.array(found, type=_TYPE)
+        hand_back()
 
     return F.arrow_udf(run, RESULT)(text.cast("string"))
 

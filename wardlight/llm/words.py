@@ -6,6 +6,8 @@ come from one running sum over the bytes, so no Python object per word exists.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -129,3 +131,18 @@ def each_row(batch) -> Iterator[dict]:
     """A batch's rows one at a time: rows that hold whole blocks are not all copied at once."""
     for at in range(batch.num_rows):
         yield {name: batch.column(i)[at].as_py() for i, name in enumerate(batch.schema.names)}
+
+
+def hand_back() -> None:
+    """Give memory that finished work leaves behind back to the system.
+
+    Workers are reused by later tasks, whose peak would otherwise stand on what
+    earlier stages had allocated.
+    """
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
