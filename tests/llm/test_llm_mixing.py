@@ -130,3 +130,54 @@ def test_edges(spark, documents, edges):
     assert M.mix_table(documents((1, None, "en", "a"), (2, "", "en", None))).collect()[0].target == 0.0
     same = M.mix_table(documents(*[(1, "two words", "en", "a")] * 40)).collect()
     assert len(same) == 40 and sum(r.taken for r in same) == 80
+
+
+@pytest.mark.parametrize("mine,others,room", [(3000, 5000, 4000), (40, 9000, 4500), (5000, 3, 2501), (7, 5, 6),
+                                              (200_000, 1_000_000, 600_000)])
+def test_draws_follow_the_hypergeometric_law(spark, mine, others, room):
+    """A chi-square test in cells of at least a twentieth, at small and large counts alike."""
+    from math import lgamma, exp
+
+    from pyspark.sql import functions as F
+
+    n = 4000
+    rows = spark.range(n).select("id", *(F.lit(v).cast("bigint").alias(k) for k, v in (
+        ("mine", mine), ("others", others), ("room", room))))
+    drawn = [r[0] for r in rows.select(M._hypergeometric(
+        F.col("mine"), F.col("others"), F.col("room"), F.lit(3), F.col("id"))).collect()]
+    low, high = max(0, room - others), min(mine, room)
+    assert low <= min(drawn) and max(drawn) <= high
+
+    def choose(a, b):
+        return lgamma(a + 1) - lgamma(b + 1) - lgamma(a - b + 1)
+
+    cells, share, edges = [], 0.0, [low]
+    for k in range(low, high + 1):
+        share += exp(choose(mine, k) + choose(others, room - k) - choose(mine + others, room))
+        if share >= 0.05:
+            cells.append(share)
+            edges.append(k + 1)
+            share = 0.0
+    cells[-1] += share
+    edges[-1] = high + 1
+    assert abs(sum(cells) - 1) < 1e-4
+    seen = [sum(a <= x < b for x in drawn) for a, b in zip(edges[:-1], edges[1:])]
+    chi = sum((s - n * p) ** 2 / (n * p) for s, p in zip(seen, cells))
+    # Mean and variance of a chi-square with so many cells; five deviations.
+    assert chi <= (len(cells) - 1) + 5 * (2 * max(1, len(cells) - 1)) ** 0.5, (chi, len(cells))
+
+
+def test_shards_follow_the_size_and_names_may_clash(spark, documents, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(M, "BLOCK_DOCS", 8)
+    monkeypatch.setattr(M, "SHARD_WORDS", 2000)
+    rows = corpus()
+    words = sum(sizes(rows).values())
+    frame = documents(*rows).withColumns({"mix_shard": F.lit("mine"), "mix_row": F.lit(1), "deal": F.lit(2)})
+    mixed = M.mixture(frame)
+    assert mixed.columns == [c for c in frame.columns if c != "mix_shard"] + ["mix_shard", "mix_place"]
+    shards = {r.mix_shard for r in mixed.select("mix_shard").distinct().collect()}
+    assert len(shards) == 1 << (words // 2000).bit_length()
+    whole = M.mixed_documents(frame)
+    assert whole.columns == frame.columns and {r.mix_shard for r in whole.select("mix_shard").distinct().collect()} == {"mine"}

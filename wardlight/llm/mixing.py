@@ -24,7 +24,8 @@ Defined cases: null text or a text without words has size 0 and is never taken;
 a null source is a source of its own, the last; repeated rows are documents of
 their own, except that rows with equal ``doc_id`` and size are picked together
 in a source's last blocks; an empty table gives an empty mix; further columns
-of any name are carried along by :func:`mixture` and never read.
+of any name are carried along by :func:`mixed_documents` and, but for the two it
+adds, by :func:`mixture`, and never read.
 """
 
 from __future__ import annotations
@@ -39,10 +40,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 # Documents of one block, on average.
 BLOCK_DOCS = 512
-# Up to this many units a hypergeometric draw follows the urn unit by unit;
-# above it, the normal law of the same mean and variance, kept within the
-# possible counts, takes its place. Totals are exact either way.
-URN_UNITS = 2048
+# Words of one output shard, about; their number is a power of two.
+SHARD_WORDS = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -210,23 +209,55 @@ def located_in_blocks(documents: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def _hypergeometric(mine: Column, others: Column, room: Column, *salt: Column) -> Column:
-    """How many of ``mine`` fall among ``room`` units drawn from ``mine + others``."""
+    """How many of ``mine`` fall among ``room`` units drawn from ``mine + others``.
+
+    By inversion from the most likely count outwards: neighbouring probabilities are simple
+    multiples of each other, so they are added up relative to the first one, which needs no
+    factorials, and the draw falls where a uniform share of their sum is reached. Ten standard
+    deviations hold all that a double can tell; the steps grow with the root of the units.
+    """
+    def real(value: Column) -> Column:
+        return value.cast("double")
+
     total = mine + others
-    urn = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(mine, F.lit(URN_UNITS)))),
-        F.lit(0).cast("bigint"),
-        lambda drawn, i: drawn + F.when(
-            (i <= mine) & (_uniform(i, *salt) * (total - i + 1) < room - drawn),
-            F.lit(1)).otherwise(0).cast("bigint"))
-    mean = room * mine / F.greatest(total, F.lit(1))
-    spread = F.sqrt(F.greatest(F.lit(0.0), mean * (F.lit(1.0) - mine / F.greatest(
-        total, F.lit(1))) * (total - room) / F.greatest(total - 1, F.lit(1))))
-    normal = F.sqrt(F.lit(-2.0) * F.log(_uniform(F.lit("r"), *salt))) * F.cos(
-        F.lit(6.283185307179586) * _uniform(F.lit("a"), *salt))
-    near = F.round(mean + spread * normal).cast("bigint")
-    drawn = F.when(mine <= URN_UNITS, urn).otherwise(near)
-    return F.greatest(F.greatest(F.lit(0), room - others),
-                      F.least(drawn, F.least(mine, room)))
+    low, high = F.greatest(F.lit(0), room - others), F.least(mine, room)
+    mode = F.greatest(low, F.least(high, F.floor(
+        (room + F.lit(1.0)) * (mine + F.lit(1.0)) / (total + F.lit(2.0))).cast("bigint"))).cast("bigint")
+    share = real(mine) / F.greatest(total, F.lit(1))
+    spread = F.sqrt(F.greatest(F.lit(0.0), real(room) * share * (F.lit(1.0) - share)
+                               * real(total - room) / F.greatest(total - 1, F.lit(1))))
+    steps = F.sequence(F.lit(1), (F.ceil(spread * 10) + 64).cast("int"))
+
+    def start(**more: Column) -> Column:
+        return F.struct(mode.alias("up"), mode.alias("down"), F.lit(1.0).alias("w_up"),
+                        F.lit(1.0).alias("w_down"), *(c.alias(n) for n, c in more.items()))
+
+    def weights(acc: Column) -> tuple[Column, Column]:
+        up, down, apart = real(acc["up"]), real(acc["down"]), real(others) - real(room)
+        return (acc["w_up"] * (real(mine) - up) * (real(room) - up) / ((up + 1) * (apart + up + 1)),
+                acc["w_down"] * down * (apart + down) / ((real(mine) - down + 1) * (real(room) - down + 1)))
+
+    def moved(acc: Column, **more: Column) -> Column:
+        above, below = weights(acc)
+        return F.struct((acc["up"] + 1).alias("up"), (acc["down"] - 1).alias("down"), above.alias("w_up"),
+                        below.alias("w_down"), *(c.alias(n) for n, c in more.items()))
+
+    def added(acc: Column, _: Column) -> Column:
+        above, below = weights(acc)
+        return moved(acc, sum=acc["sum"] + above + below)
+
+    def sought(acc: Column, _: Column) -> Column:
+        above, below = weights(acc)
+        left = acc["left"] - above
+        found = (F.when(acc["found"] >= 0, acc["found"]).when(left < 0, acc["up"] + 1)
+                 .when(left - below < 0, acc["down"] - 1).otherwise(F.lit(-1).cast("bigint")))
+        return moved(acc, left=left - below, found=found)
+
+    whole = F.aggregate(steps, start(sum=F.lit(1.0)), added)["sum"]
+    at = _uniform(*salt) * whole
+    drawn = F.aggregate(steps, start(left=at - 1, found=F.when(at < 1, mode).otherwise(
+        F.lit(-1).cast("bigint"))), sought)["found"]
+    return F.greatest(low, F.least(high, F.when(drawn >= 0, drawn).otherwise(mode))).cast("bigint")
 
 
 def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
@@ -295,9 +326,11 @@ def _units(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = 3,
-        shards: int = 16, seed: int = 8) -> Mix:
+        shards: int | None = None, seed: int = 8) -> Mix:
     """Works out which documents the mix takes, how often, and into which shard.
 
+    Without ``shards`` (a power of two) there are so many that each holds some ``SHARD_WORDS``.
+
     Sizes and targets are written to the shared folder: both are read several
     times, and the targets' real size lets the planner choose their join.
     """
@@ -310,6 +343,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int =
     targets = settled(source_targets(totals, weights, max_repeats).withColumn(
         "blocks", F.ceil(F.col("docs") / BLOCK_DOCS)).drop("docs"), "mix-targets")
     blocks = settled(_blocks_taken(documents, targets), "mix-blocks")
+    if shards is None:
+        words = targets.agg(F.sum("target")).first()[0] or 0
+        shards = 1 << max(0, int(words / SHARD_WORDS).bit_length())
     return Mix(documents, targets, blocks, settled(_units(blocks, shards, seed), "mix-units"))
 
 
@@ -363,14 +399,19 @@ def _dealt_rows(docs: DataFrame, seed: int, **settings) -> DataFrame:
 def mixture(docs: DataFrame, seed: int = 8, **settings) -> DataFrame:
     """The mixed rows: ``docs``' columns, repeated as taken, with ``mix_shard`` and ``mix_place``.
 
-    Sorting a shard by ``mix_place`` shuffles it.
+    Sorting a shard by ``mix_place`` shuffles it. Columns of ``docs`` with these two names are
+    replaced.
     """
+    kept = [F.col(f"mix_row.`{c}`").alias(c) for c in docs.columns if c not in ("mix_shard", "mix_place")]
     return _dealt_rows(docs, seed, **settings).select(
-        "mix_row.*", F.col("deal.shard").alias("mix_shard"),
+        *kept, F.col("deal.shard").alias("mix_shard"),
         F.col("deal.place").alias("mix_place"))
 
 
 def mixed_documents(docs: DataFrame, seed: int = 8, **settings) -> DataFrame:
-    """The mixed rows with the columns of ``docs`` only, shard by shard, each shuffled."""
-    return (_dealt_rows(docs, seed, **settings).repartition("deal.shard")
+    """The mixed rows with the columns of ``docs`` only, shard by shard, each shuffled.
+
+    Tasks hold ranges of (shard, place), so a large shard is the work of several.
+    """
+    return (_dealt_rows(docs, seed, **settings).repartitionByRange("deal.shard", "deal.place")
             .sortWithinPartitions("deal.shard", "deal.place").select("mix_row.*"))
