@@ -52,6 +52,44 @@ def test_terms_that_disclose_an_entity_are_spans(spark, documents):
     assert clean[5] == rows[5][1]
 
 
+def test_an_entity_may_have_any_number_of_terms(spark, documents):
+    """Name, street, employer and badge that always stand with an address, in six different lines."""
+    rows = [(i, f"Filler {i} about {w} and more of it") for i, w in enumerate(["rivers", "stones", "birds"] * 100)]
+    person = "Quentin Vandermeer Kestrelway Brockholt Zenithworks Limitade badge room deputy"
+    tales = ["came early to see the old garden wall again", "lost two keys near that long narrow bridge",
+             "never eats soup after nine on any Monday", "paints blue horses for the village summer fair",
+             "sold his boat when prices fell last winter", "plays chess with three cousins every other week"]
+    rows += [(900 + i, f"{person} q.v@mask.example.org {t}") for i, t in enumerate(tales)]
+    rows.append((950, "Somebody saw Vandermeer at noon"))
+    got = {r.doc_id: r.n_term for r in P.privacy_table(documents(*rows)).collect()}
+    assert all(got[900 + i] >= 9 for i in range(6)) and got[950] == 1 and got[5] == 0
+
+
+def test_two_different_lines_tell_and_copies_do_not(spark, documents):
+    rows = [(i, f"Filler {i} about {w} and more of it") for i, w in enumerate(["rivers", "stones", "birds"] * 40)]
+    rows += [(500, "Yesterday Zorro wrote from z@mask.example.org about rivers"),
+             (501, "z@mask.example.org is what Zorro gave me after stones fell")]
+    rows += [(600 + i, f"Our special yellow offers end soon so write today to c@copy.example.org number {i}")
+             for i in range(4)]
+    got = {r.doc_id: r.spans for r in P.privacy_table(documents(*rows)).collect()}
+    assert "term:10:15" in got[500] and "term:27:32" in got[501]
+    assert all("term" not in got[600 + i] for i in range(4))
+
+
+def test_time_stays_near_proportional_to_the_spans(spark, documents):
+    import time
+
+    def seconds(n):
+        frame = documents((1, " ".join(f"u{i}@x.example.org" for i in range(n))))
+        started = time.perf_counter()
+        assert P.privacy_table(frame).first().n_email == n
+        return time.perf_counter() - started
+
+    seconds(2000)
+    few, many = seconds(8000), seconds(16000)
+    assert many <= 2.5 * few + 1
+
+
 def test_edges(spark, documents, edges):
     frame = documents(*edges, (1, "+" + "1" * 30_000), (2, "9" * 30_000), (3, "a." * 20_000 + "@"),
                       (4, "a@b" + ".c" * 20_000), (4, "1.2.3.4"))

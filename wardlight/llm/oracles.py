@@ -182,10 +182,25 @@ _PRIVACY = f"""
             SELECT l.doc_id, l.place, l.line,
                    unnest(regexp_extract_all(lower({_bare("l.line")}), '{_TERM}')) AS term
             FROM lines l SEMI JOIN entities e ON e.doc_id = l.doc_id AND e.place = l.place)),
+    pairs AS (
+        SELECT DISTINCT entity, line, term FROM near n
+        JOIN entities e ON e.doc_id = n.doc_id AND e.place = n.place),
+    spread AS (SELECT entity, count(DISTINCT line) AS n_lines FROM pairs GROUP BY entity),
+    common AS (
+        SELECT p.entity, p.term FROM pairs p JOIN spread s ON s.entity = p.entity
+        GROUP BY p.entity, p.term, s.n_lines HAVING 2 * count(*) > s.n_lines),
+    held AS (
+        SELECT p.entity, p.line, 100 * count(c.term) >= 80 * count(*) AS copied
+        FROM pairs p LEFT JOIN common c ON c.entity = p.entity AND c.term = p.term
+        GROUP BY p.entity, p.line),
+    contexts AS (
+        SELECT p.entity, p.term, count(*) FILTER (WHERE NOT copied) + max(copied::INTEGER) AS contexts
+        FROM pairs p JOIN held h ON h.entity = p.entity AND h.line = p.line GROUP BY p.entity, p.term),
     met AS (
-        SELECT entity, term, count(*) AS n_both FROM near n
+        SELECT e.entity, n.term, count(*) AS n_both FROM near n
         JOIN entities e ON e.doc_id = n.doc_id AND e.place = n.place
-        GROUP BY entity, term HAVING count(DISTINCT line) >= 3),
+        JOIN contexts c ON c.entity = e.entity AND c.term = n.term AND c.contexts >= 2
+        GROUP BY e.entity, n.term),
     shares AS (
         SELECT m.entity, m.term, ln(n_both * total::DOUBLE / (n_term * n_entity))
                / ln(total::DOUBLE / n_entity) AS share
@@ -194,10 +209,7 @@ _PRIVACY = f"""
             ON e.entity = m.entity
         JOIN (SELECT term, count(*) AS n_term FROM terms GROUP BY term) t ON t.term = m.term,
         (SELECT count(*) AS total FROM lines) WHERE total > n_entity),
-    telling AS (
-        SELECT DISTINCT term FROM (
-            SELECT term, count(*) OVER (PARTITION BY entity) AS n_terms FROM shares
-            WHERE share >= 0.8) WHERE n_terms <= 8),
+    telling AS (SELECT DISTINCT term FROM shares WHERE share >= 0.8),
     told AS (
         SELECT b.doc_id, b.body FROM bodies b
         SEMI JOIN (SELECT t.doc_id FROM terms t JOIN telling g ON g.term = t.term) h

@@ -10,10 +10,11 @@ share of all the information the entity carries,
 
 A share of 1 means the term never occurs without the entity. Terms whose share
 reaches ``DISCLOSES_FROM`` are generalised to their kind, from ``REMOVED_FROM``
-removed, wherever they occur. Two conditions keep copied text from counting as
-evidence: the two must meet in at least ``LEAST_CONTEXTS`` different lines, and
-an entity with more than ``MOST_TERMS`` such terms stands in a repeated passage,
-whose words say nothing on their own.
+removed, wherever they occur, however many terms an entity has. One line says
+nothing, as all its words always meet its entities, and a copied line is one
+line: the two must meet in ``LEAST_CONTEXTS`` different contexts. Lines of an
+entity whose words are the entity's common words (those of more than half of
+its lines) to at least ``COPIED`` percent are copies of each other and one context.
 
 All of it is DataFrame functions. No pattern crosses a line end, so spans can
 be worked out per text and entities per line. The patterns never go back over
@@ -32,7 +33,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wardlight.session import settled
 
 DISCLOSES_FROM, REMOVED_FROM = 0.8, 0.95
-LEAST_CONTEXTS, MOST_TERMS = 3, 8
+# Different contexts of an entity and a term, and common words of a copied line in percent.
+LEAST_CONTEXTS, COPIED = 2, 80
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = r"[A-Za-z0-9._%+-]"
@@ -80,23 +82,23 @@ def valid(kind: str, value: Column) -> Column:
 def located(text: Column, pattern: str, wanted) -> Column:
     """Matches of a pattern with their places, as far as ``wanted`` (of a span) says so.
 
-    What stands between the matches gives their places: lengths are added up
-    along the text. Only wanted spans are collected.
+    What stands between the matches gives their places: its lengths and theirs are
+    added up by doubling steps, so that time stays near proportional to the matches.
     """
     gaps = F.split(text, pattern, -1)
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.arrays_zip(gaps.alias("gap"), values.alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("spans"))
+    lengths = F.transform(pairs, lambda p: F.length(p["gap"]) + F.coalesce(F.length(p["value"]), F.lit(0)))
+    ends = F.transform(F.arrays_zip(running_sums(lengths).alias("end"), values.alias("value")), lambda p: F.struct(
+        (p["end"] - F.length(p["value"])).alias("start"), p["end"].alias("end"), p["value"].alias("value")))
+    return F.filter(ends, lambda span: span["value"].isNotNull() & wanted(span))
 
-    def step(acc, pair):
-        begin = acc["at"] + F.length(pair["gap"])
-        end = begin + F.coalesce(F.length(pair["value"]), F.lit(0))
-        span = F.struct(begin.alias("start"), end.alias("end"), pair["value"].alias("value"))
-        spans = F.when(pair["value"].isNotNull() & wanted(span),
-                       F.array_append(acc["spans"], span)).otherwise(acc["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
 
-    return F.aggregate(pairs, start, step)["spans"]
+def running_sums(numbers: Column) -> Column:
+    """The sum up to each element, in as many passes as the length has binary digits."""
+    passes = F.sequence(F.lit(0), F.ceil(F.log2(F.size(numbers) + 1)).cast("int"))
+    return F.aggregate(passes, numbers, lambda sums, k: F.transform(
+        sums, lambda x, i: x + F.coalesce(F.get(sums, i - F.call_function("shiftleft", F.lit(1), k)), F.lit(0))))
 
 
 def base_spans(text: Column, kind: str) -> Column:
@@ -146,11 +148,10 @@ def disclosing_terms(docs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_entity"))
     pairs = lines.select("line_hash", F.explode("entities").alias("entity"), "terms").select(
         "line_hash", "entity", F.explode("terms").alias("term"))
+    pairs = settled(pairs.groupBy("entity", "term", "line_hash").agg(F.count(F.lit(1)).alias("n")), "entity-pairs")
     met = settled(
-        pairs.groupBy("entity", "term", "line_hash").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("entity", "term").agg(F.sum("n").alias("n_both"),
-                                       F.count(F.lit(1)).alias("contexts"))
-        .where(F.col("contexts") >= LEAST_CONTEXTS)
+        pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_both"))
+        .join(_contexts(pairs).where(F.col("contexts") >= LEAST_CONTEXTS), ["entity", "term"])
         .join(entities, "entity").select("entity", "term", "n_both", "n_entity"), "entity-terms")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     every = docs.select(F.explode(F.split(text, "\n")).alias("line"))
@@ -166,10 +167,26 @@ def disclosing_terms(docs: DataFrame) -> DataFrame:
                                          / (F.col("n_term") * F.col("n_entity")))
                           / F.log(n_lines / F.col("n_entity")))
               .where((n_lines > F.col("n_entity")) & (F.col("share") >= DISCLOSES_FROM)))
-    alone = shares.groupBy("entity").agg(F.count(F.lit(1)).alias("n_terms")).where(
-        F.col("n_terms") <= MOST_TERMS)
-    return shares.join(alone, "entity", "left_semi").groupBy("term").agg(
-        F.max("share").alias("share"))
+    return shares.groupBy("term").agg(F.max("share").alias("share"))
+
+
+def _contexts(pairs: DataFrame) -> DataFrame:
+    """Different contexts of each (``entity``, ``term``) that meets in two lines or more.
+
+    ``pairs`` has a row per entity, term and different line. Copies of a line, a few words apart,
+    are one context; an entity that stands in one line only has none to tell.
+    """
+    several = pairs.groupBy("entity", "line_hash").agg(F.count(F.lit(1)).alias("size")).groupBy("entity").agg(
+        F.count(F.lit(1)).alias("n_lines")).where(F.col("n_lines") > 1)
+    some = pairs.join(several, "entity")
+    held = settled(some.groupBy("entity", "term", "n_lines").agg(F.count(F.lit(1)).alias("n_held"))
+                   .where(F.col("n_held") > 1), "entity-held")
+    common = held.where(2 * F.col("n_held") > F.col("n_lines")).select("entity", "term", F.lit(1).alias("common"))
+    copied = (some.join(common, ["entity", "term"], "left").groupBy("entity", "line_hash")
+              .agg((100 * F.count("common") >= COPIED * F.count(F.lit(1))).alias("copied")))
+    return (some.join(held.select("entity", "term"), ["entity", "term"], "left_semi")
+            .join(copied, ["entity", "line_hash"]).groupBy("entity", "term")
+            .agg((F.count_if(~F.col("copied")) + F.max(F.col("copied").cast("int"))).alias("contexts")))
 
 
 def spans_of(docs: DataFrame) -> DataFrame:
