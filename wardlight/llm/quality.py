@@ -3,7 +3,9 @@
 Word and character n-grams of a text are hashed into a fixed number of buckets;
 a logistic regression on their relative frequencies is fitted on at most
 ``max_labels`` labelled rows (chosen by hash, so reruns agree), calibrated on
-a fold of them that it was not fitted on, and applied in Arrow batches. A text
+a fold of them that it was not fitted on, and applied in Arrow batches; where the
+labels are so few that no fold leaves both classes on both sides, it is fitted on
+all of them and its own probability stands uncalibrated. A text
 is kept if no rule rejects it and the calibrated probability of good quality
 reaches a fixed threshold.
 
@@ -161,16 +163,17 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS
             .mapInArrow(_feature_rows,
                         "fold int, quality int, buckets binary, frequencies binary").collect())
     good = np.array([r["quality"] == 1 for r in rows], dtype=bool)
-    held = np.array([r["fold"] == 0 for r in rows], dtype=bool)
+    fold = np.array([r["fold"] for r in rows], dtype=np.int64)
     if good.all() or not good.any():
         return None
-    if good[~held].all() or not good[~held].any() or good[held].all() or not good[held].any():
-        held = np.zeros(len(good), dtype=bool)
+    folds = [held for held in ((fold + f) % _FOLDS == 0 for f in range(_FOLDS))
+             if 0 < good[held].sum() < held.sum() and 0 < good[~held].sum() < (~held).sum()]
+    held = folds[0] if folds else np.zeros(len(good), dtype=bool)
     matrix = SparseRows.of([(r["buckets"], r["frequencies"]) for r in rows], WIDTH)
     del rows
     weights, bias = fit_logistic(matrix.take(~held), good[~held])
-    apart = matrix.take(held) if held.any() else matrix
-    slope, offset = fit_platt(apart.times(weights) + bias, good[held] if held.any() else good)
+    slope, offset = fit_platt(matrix.take(held).times(weights) + bias, good[held]) if folds else (1.0, 0.0)
+    hand_back()
     return QualityModel(weights.astype(np.float32), bias, slope, offset)
 
 
