@@ -102,6 +102,15 @@ def test_one_of_each_keeps_columns(spark, documents, prose):
     assert {r.doc_id for r in kept.collect()} == want
 
 
+def test_one_of_each_takes_any_column_name(spark, documents, prose):
+    from pyspark.sql import functions as F
+
+    frame = documents(*corpus(prose)).withColumns({"parity_gone": F.lit("own"), "parity_row": F.lit(3), "doc": F.lit(4)})
+    kept = P.one_of_each(frame)
+    assert kept.columns == frame.columns
+    assert {(r.parity_gone, r.parity_row, r.doc) for r in kept.collect()} == {("own", 3, 4)}
+
+
 def test_components_of_a_long_chain(spark):
     chain = [(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 80)]
     random.Random(1).shuffle(chain)

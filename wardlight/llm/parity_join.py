@@ -456,5 +456,7 @@ def one_of_each(docs: DataFrame, percent: int = SIMILARITY, words: int = WORDS)
     classes = similarity_classes(docs, percent, words)
     gone = settled(classes.where(F.col("doc_id") != F.col("component_id"))
                    .select(F.col("doc_id").alias("parity_gone")).distinct(), "parity-gone")
-    keyed = docs.withColumn("parity_gone", F.col("doc_id").cast("bigint"))
-    return with_few(keyed, gone, "parity_gone", "left_anti").select(*docs.columns)
+    # The row travels in one column, so that no name of its own can clash.
+    keyed = docs.select(F.struct("*").alias("parity_row"), F.col("doc_id").cast("bigint").alias("parity_gone"))
+    return with_few(keyed, gone, "parity_gone", "left_anti").select(
+        *(F.col(f"parity_row.`{c}`").alias(c) for c in docs.columns))
