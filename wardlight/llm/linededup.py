@@ -264,8 +264,9 @@ def clean_rows(docs: DataFrame, index: LineIndex) -> DataFrame:
     """``docs`` whole in ``line_row``, with ``line_text``, ``n_lines`` and ``n_dropped``.
 
     Texts move once, to meet the list of what they lose; only texts that lose
-    a line are read in Python. Documents that the index does not hold are
-    cleaned of every line that an earlier document in it holds.
+    a line are read in Python. Only documents that the index holds lose lines:
+    others, also those that share a line with it, come back as they are; add them to
+    the index first.
     """
     # References of the indexed documents are written already.
     lost = removable_keys(index.references, index)

@@ -16,8 +16,9 @@ lanes are exact, ties to the smaller key.
 Defined cases: vectors that are null or hold null or non-finite components, and
 rows with a null key, take no part; missing components of shorter vectors count
 as 0; rows that repeat key and vector count once; a key with several vectors
-answers for each, and is a candidate with each; an empty table gives no row;
-with fewer than k candidates all are given. Scores must fit 63 bits.
+has one list, the best of what any of them reaches, and is a candidate with
+each; an empty table gives no row; with fewer than k candidates all are given;
+further columns are ignored. Scores must fit 63 bits: larger ones wrap around.
 """
 
 from __future__ import annotations
