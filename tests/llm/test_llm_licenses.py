@@ -1,6 +1,11 @@
+import textwrap
+from pathlib import Path
+
+import pytest
+
 from llm_fixtures import documents, edges  # noqa: F401
 from wardlight.llm import licenses as L
-from wardlight.llm.license_texts import TEXTS
+from wardlight.llm.license_texts import DIGESTS, TEXTS
 
 
 def answer(frame):
@@ -49,3 +54,36 @@ def test_edges(spark, documents, edges):
     assert {r.licenses for r in got.where("doc_id is null").collect()} == {"ISC"}
     assert {r.licenses for r in got.where("doc_id >= 900").collect()} == {""}
     assert L.license_table(documents()).count() == 0
+
+
+FILES = {"Artistic-1.0-Perl": "Artistic", "GPL-1.0": "GPL-1", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3",
+         "LGPL-2.0": "LGPL-2", "LGPL-3.0": "LGPL-3"}
+
+
+def test_whole_texts_known_by_digest(spark, documents):
+    """Public licence texts as a system holds them, also rewrapped, in capitals, and with an owner's line."""
+    folder = Path("/usr/share/common-licenses")
+    if not folder.is_dir():
+        pytest.skip("no licence texts on this system")
+    texts = {spdx: (folder / FILES.get(spdx, spdx)).read_text(errors="replace") for spdx in DIGESTS
+             if (folder / FILES.get(spdx, spdx)).is_file()}
+    assert len(texts) >= 10
+    rows, want = [], {}
+    for i, (spdx, text) in enumerate(sorted(texts.items())):
+        rows += [(10 * i, text), (10 * i + 1, "Copyright 2021 Someone\n" + text.upper()), (10 * i + 2, text + "\nAnd more.")]
+        want |= {10 * i: spdx, 10 * i + 1: spdx, 10 * i + 2: None}
+    got = {r.doc_id: r for r in L.license_table(documents(*rows)).collect()}
+    for doc, spdx in want.items():
+        assert got[doc].whole_text == (spdx is not None), doc
+        assert spdx is None or spdx in got[doc].licenses.split(","), doc
+
+
+@pytest.mark.parametrize("width", [30, 41, 60, 77, 200])
+def test_known_texts_in_any_wrapping(spark, documents, width):
+    """A clause that a line break leaves behind "copyright" stays part of the text."""
+    rows, want = [], {}
+    for i, (spdx, text) in enumerate(sorted(TEXTS.items())):
+        rows.append((i, "\n".join(line for part in text.split("\n") for line in textwrap.wrap(part, width))))
+        want[i] = spdx
+    got = {r.doc_id: r for r in L.license_table(documents(*rows)).collect()}
+    assert {d: r.licenses for d, r in got.items() if r.whole_text} == want

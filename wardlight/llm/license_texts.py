@@ -137,3 +137,33 @@ SPELLINGS = {
     "realise": "realize", "recognise": "recognize", "whilst": "while", "https": "http",
     "noncommercial": "non commercial", "sublicence": "sublicense",
 }
+
+# SHA-256 of whole canonical licence texts that are too long to be written out here.
+DIGESTS = {
+    "Apache-2.0":
+        "5274d681217584fa715cb9348f5102af445120d28cbce4ffd507dda487052ace",
+    "Artistic-1.0-Perl":
+        "21855feb11db0e3b57fdea8a8c2abd4cecb6c3f37325639cce5a8e1105acc9dc",
+    "CC0-1.0":
+        "5caa6b96e2c9f66e9ca02d726096312a8662a9c4fea6446ff24fee66902e58dc",
+    "GFDL-1.2":
+        "e91eb5f9d5d9856213578f733f5ae52f5692c9fc3cc1b05d048aff37a05aaeea",
+    "GFDL-1.3":
+        "5e719d42b044f5a2be4336c9e91d4860266cc46522216361f4c9ccbb621b3657",
+    "GPL-1.0":
+        "39aae49b2b94c81dace84712786827ed636c0e2e7d0409dbebdeeb934cbbbdfe",
+    "GPL-2.0":
+        "d64d715caaf3aabcb303c869c931e4a2e70408db6130a5fa767c43fc3c2be1f5",
+    "GPL-3.0":
+        "20c0929055cf1d6cda1b3b50b1ba7ce765ba48a01db32da4fbc8e9d36b83f273",
+    "LGPL-2.0":
+        "50b16baab608d8704ffcb3d5903977ff69ee3f6e7979d31163a0d22a9f122068",
+    "LGPL-2.1":
+        "c86b71074833e3972dc24fb47e85c81816737892868619f2d8c7e85727bc8677",
+    "LGPL-3.0":
+        "572947626844a56d29ace510237040204d4085696621f319533ca366aa897913",
+    "MPL-1.1":
+        "3e1d583b23b6d724af773ca0ceabeb4e31fc565080dfee40ad0701a48af1a915",
+    "MPL-2.0":
+        "1f9b7661552309dc69cee928f7d32ed3280cbc918bfeced108b8b7d3f68f5452",
+}

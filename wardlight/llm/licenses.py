@@ -21,10 +21,13 @@ import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wardlight.llm.license_texts import LEADS, NAMES, SPELLINGS, TEXTS
+from wardlight.llm.license_texts import DIGESTS, LEADS, NAMES, SPELLINGS, TEXTS
 
-# A line that only states who holds the rights.
+# A line that only states who holds the rights begins so, and does not go on like a clause.
 COPYRIGHT = r"^[^\p{L}\p{N}(©]*(copyright|\(c\)|©|all rights reserved)"
+CLAUSE = (r"^[^\p{L}\p{N}(©]*copyright[^\p{L}\p{N}]+(notice|notices|holder|holders|owner|owners|law|laws|license|"
+          r"licenses|licence|statement|statements|interest|interests|and|or|in|to|is|act|treaty|protection|claims|"
+          r"infringement|disclaimer|permission)([^\p{L}\p{N}]|$)")
 _BREAK = r"[^\p{L}\p{N}]+"
 # Two spaces stand between words, so that each has its own on both sides.
 _GAP = "  "
@@ -37,7 +40,7 @@ def canonical_line(line: Column) -> Column:
     one = functools.reduce(
         lambda text, pair: F.replace(text, F.lit(f" {pair[0]} "), F.lit(f" {pair[1]} ")),
         SPELLINGS.items(), spaced)
-    return F.when(lower.rlike(COPYRIGHT), F.lit("")).otherwise(F.trim(one))
+    return F.when(lower.rlike(COPYRIGHT) & ~lower.rlike(CLAUSE), F.lit("")).otherwise(F.trim(one))
 
 
 def canonical_lines(text: Column) -> Column:
@@ -65,8 +68,9 @@ def notices() -> list[tuple[str, str]]:
 def known_digests(spark: SparkSession) -> DataFrame:
     """``digest`` and ``spdx`` of every known text, one row per digest."""
     table = spark.createDataFrame(notices(), "spdx string, known string")
-    return table.groupBy(F.sha2(whole(canonical_lines(F.col("known"))), 256).alias("digest")).agg(
-        F.min("spdx").alias("spdx"))
+    digests = spark.createDataFrame(list(DIGESTS.items()), "spdx string, digest string")
+    made = table.select("spdx", F.sha2(whole(canonical_lines(F.col("known"))), 256).alias("digest"))
+    return made.unionByName(digests).groupBy("digest").agg(F.min("spdx").alias("spdx"))
 
 
 def license_hits(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardlight.llm.license_texts import SPELLINGS
+from wardlight.llm.license_texts import DIGESTS, SPELLINGS
 from wardlight.llm.licenses import notices
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -83,13 +83,17 @@ def _canonical(line: str) -> str:
     for old, new in SPELLINGS.items():
         text = f"replace({text}, ' {old} ', ' {new} ')"
     gone = r"^[^\p{L}\p{N}(©]*(copyright|\(c\)|©|all rights reserved)"
-    return (f"CASE WHEN regexp_matches(lower({line}), '{gone}') THEN '' "
-            f"ELSE trim({text}) END")
+    clause = (r"^[^\p{L}\p{N}(©]*copyright[^\p{L}\p{N}]+(notice|notices|holder|holders|owner|owners|law|laws|license|"
+              r"licenses|licence|statement|statements|interest|interests|and|or|in|to|is|act|treaty|protection|"
+              r"claims|infringement|disclaimer|permission)([^\p{L}\p{N}]|$)")
+    return (f"CASE WHEN regexp_matches(lower({line}), '{gone}') AND NOT regexp_matches(lower({line}), '{clause}') "
+            f"THEN '' ELSE trim({text}) END")
 
 
 def _licenses() -> str:
     known = ", ".join(f"({i}, {_quoted(spdx)}, {_quoted(text)})"
                       for i, (spdx, text) in enumerate(notices()))
+    digests = ", ".join(f"({_quoted(spdx)}, {_quoted(digest)})" for spdx, digest in DIGESTS.items())
     return f"""
     WITH sources AS (
         SELECT doc_id AS id, NULL AS spdx, coalesce(text, '') AS body FROM documents
@@ -108,7 +112,9 @@ def _licenses() -> str:
         SELECT l.id, k.spdx, 1 AS in_line FROM lines l JOIN known k ON k.body = l.line
         WHERE l.id >= 0
         UNION ALL SELECT t.id, k.spdx, 0 FROM texts t JOIN known k ON k.body = t.body
-        WHERE t.id >= 0),
+        WHERE t.id >= 0
+        UNION ALL SELECT t.id, k.spdx, 0 FROM texts t JOIN (VALUES {digests}) k(spdx, digest)
+        ON k.digest = sha256(t.body) WHERE t.id >= 0),
     found AS (
         SELECT id, string_agg(DISTINCT spdx, ',' ORDER BY spdx) AS licenses,
                sum(in_line) AS n_notices, bool_or(in_line = 0) AS whole_text
