@@ -7,7 +7,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from wardlight.schema import CLINICAL_TABLES  # noqa: E402
-from wardlight.session import build_session  # noqa: E402
+from wardlight.session import build_session, release_scratch  # noqa: E402
 from wardlight.sources.clinical import ClinicalTables  # noqa: E402
 from wardlight.sources.fixtures import load_fixture  # noqa: E402
 
@@ -23,6 +23,7 @@ def spark(tmp_path_factory):
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release_scratch(session)
     session.stop()
 
 
