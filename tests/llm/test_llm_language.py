@@ -56,6 +56,76 @@ def test_families_come_first():
     assert L.family_of("tlh") != L.family_of("qya")
 
 
+def plain_predict(model, text):
+    """The prediction once more, letter by letter and machine by machine."""
+    import math
+    from itertools import combinations
+
+    import numpy as np
+
+    if not text or not any(c.isalpha() for c in text):
+        return "und", 0.0
+    letters = " "
+    for c in text.lower():
+        letters += c if c.isalpha() else "" if letters[-1] == " " else " "
+    counts = {}
+    for order in L.ORDERS:
+        for at in range(len(letters) - order + 1):
+            gram = [np.array([ord(c)], dtype=np.uint64) for c in letters[at:at + order]]
+            bucket = int(L.joined(*gram, np.array([order]))[0]) >> (64 - L.WIDTH.bit_length() + 1)
+            counts[bucket] = counts.get(bucket, 0) + 1
+    # A run of one letter begins behind the space that opens the text.
+    first = int(L.joined(np.array([32], dtype=np.uint64), np.array([1]))[0]) >> (64 - L.WIDTH.bit_length() + 1)
+    counts[first] -= 1
+    total, score, machines = sum(counts.values()), 1.0, model.families
+    while True:
+        names = machines.names
+        sums = [0.0] * len(names)
+        for at, (a, b) in enumerate(combinations(range(len(names)), 2)):
+            margin = float(machines.biases[at]) + sum(
+                n * L._SCALE / total * float(machines.weights[bucket, at]) for bucket, n in counts.items())
+            sums[a] += margin
+            sums[b] -= margin
+        chances = [math.exp(max(-60, 2 * (x - max(sums)) / max(1, len(names) - 1))) for x in sums]
+        best = chances.index(max(chances))
+        score *= chances[best] / sum(chances)
+        if machines is not model.families:
+            return names[best], score
+        machines = model.within[names[best]]
+
+
+def test_predictions_equal_plain_ones_and_repeats_agree(spark, documents):
+    rows = corpus(150) + [(700, "", "en", "a"), (701, "  ?! ", "en", "a"), (702, "Ünïted WÖRDS 3 und the", None, "a"),
+                          (3, "the ingst er"), (3, "the ingst er")]
+    frame = documents(*rows)
+    model = L.fit_languages(frame.where(~L.held_out(frame.doc_id, 3, 1)))
+    got = [(r.text, r.found.lang_pred, r.found.score) for r in frame.withColumn(
+        "found", L.language_of(frame.text, model)).collect()]
+    for text, lang, score in got:
+        want, chance = plain_predict(model, text)
+        assert lang == want and abs(score - chance) <= 1e-3, text
+    assert len({g for g in got if g[0] == "the ingst er"}) == 1
+
+
+def test_many_unlisted_labels(spark, documents):
+    """Two hundred labels outside the table: few machines, learned within a minute, told apart."""
+    import time
+
+    rng = random.Random(8)
+    rows, alphabet = [], "abcdefghijklmnopqrstuvwxyz"
+    for n in range(200):
+        parts = ["".join(rng.choices(alphabet, k=3)) for _ in range(6)]
+        rows += [(1000 * n + i, " ".join("".join(rng.choices(parts, k=2)) for _ in range(25)), f"x{n:03d}", "a")
+                 for i in range(15)]
+    frame = documents(*rows)
+    started = time.perf_counter()
+    model = L.fit_languages(frame)
+    assert time.perf_counter() - started < 60
+    assert len(model.families.names) == 25 and all(len(m.names) <= 8 for m in model.within.values())
+    some = rng.sample(rows, 200)
+    assert sum(model.predict(r[1])[0] == r[2] for r in some) >= 150
+
+
 def test_sections_make_the_same_buckets(monkeypatch):
     text = "Ein Wort, und noch 3 Wörter! " * 30
     whole = sorted(b for part in L.letter_buckets(text) for b in part.tolist())

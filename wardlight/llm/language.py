@@ -3,11 +3,13 @@
 First the language family is predicted, then linear support vector machines,
 one for each pair of closely related languages, decide within it. Features are
 hashed runs of 1 to 4 characters over the letters of the lower-cased text, all
-of it. Families come from a fixed table; a language outside it is a family of
-its own.
+of it. Families come from a fixed table; a language outside it is a family of its
+own, but if there are more than ``UNLISTED`` of them, they are put together in
+families of so many in order of their names, so that the machines stay few.
 
-The machines are fitted on about ``per_language`` rows of every language,
-chosen by hash, so that reruns agree and rare languages are learned in full.
+The machines are fitted on about ``per_language`` rows of every language, and on
+some ``MOST_ROWS`` in all, chosen by hash, so that reruns agree and rare languages
+are learned in full.
 
 Defined cases: text that is null or has no letter is ``und`` with score 0; with
 nothing to learn from, every text is ``und``; with one learned language every
@@ -28,8 +30,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wardlight.llm.linear import SparseRows, fit_svm
 from wardlight.llm.quality import joined
 
-# Rows per language that are learned from, on average.
-PER_LANGUAGE = 600
+# Rows per language that are learned from, on average, and rows in all if languages are many.
+PER_LANGUAGE, MOST_ROWS = 600, 12_000
+# Languages of one family where the table names none.
+UNLISTED = 8
 WIDTH = 1 << 15
 ORDERS = (1, 2, 3, 4)
 _SCALE = 30.0
@@ -64,6 +68,15 @@ def family_of(lang: str) -> str:
     return _FAMILY.get(code, f"only {lang}")
 
 
+def families_of(langs: list[str]) -> dict[str, str]:
+    """The family of every language; many that the table does not list are put together in order of name."""
+    found = {lang: family_of(lang) for lang in sorted(set(langs))}
+    unlisted = [lang for lang, family in found.items() if family == f"only {lang}"]
+    if len(unlisted) > UNLISTED:
+        found |= {lang: f"unlisted {at // UNLISTED}" for at, lang in enumerate(unlisted)}
+    return found
+
+
 def _letter_table() -> np.ndarray:
     if not _letters:
         _letters.append(np.array([chr(c).isalpha() for c in range(0x110000)], dtype=bool))
@@ -192,6 +205,7 @@ def fit_languages(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Language
         F.col("doc_id").cast("bigint").alias("s_doc"), F.col("lang").cast("string").alias("s_lang"),
         F.col("text").cast("string").alias("s_text"))
     counts = known.groupBy("s_lang").count().collect()
+    per_language = min(per_language, max(1, MOST_ROWS // max(1, len(counts))))
     shares = F.create_map(*(F.lit(x) for r in counts for x in (
         r["s_lang"], min(1.0, per_language / r["count"])))) if counts else None
     if shares is None:
@@ -204,7 +218,8 @@ def fit_languages(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Language
     labels = np.array([r["lang"] for r in rows], dtype=object)
     matrix = SparseRows.of([(r["buckets"], r["frequencies"]) for r in rows], WIDTH)
     del rows
-    families = np.array([family_of(lang) for lang in labels], dtype=object)
+    family = families_of(labels.tolist())
+    families = np.array([family[lang] for lang in labels], dtype=object)
     return LanguageModel(
         fit_machines(matrix, families),
         {name: fit_machines(matrix.take(families == name), labels[families == name])
