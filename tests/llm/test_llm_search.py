@@ -60,3 +60,13 @@ def test_a_block_loses_nothing(seed, width, k):
         block.search(query, -1, best)
     plain = sorted(zip((-(query @ grid)).tolist(), range(n)))[:k]
     assert list(zip((-best.scores).tolist(), best.keys.tolist())) == plain
+
+
+@given(st.integers(0, 10 ** 6), st.sampled_from([1, 100, 30_000, 2 ** 31 - 1, 2 ** 40]))
+@settings(deadline=None, max_examples=40)
+def test_grids_are_narrowed_without_loss(seed, most):
+    grid = np.random.default_rng(seed).integers(-most - 1, most + 1, (3, 5))
+    small = S.narrowed(grid)
+    assert (S.widened(small.tobytes(), small.itemsize, 3, 5) == grid).all()
+    assert small.itemsize == min(b for b in (1, 2, 4, 8) if -2 ** (8 * b - 1) <= grid.min()
+                                 and grid.max() < 2 ** (8 * b - 1))

@@ -31,7 +31,8 @@ from wardlight.llm.words import each_row
 from wardlight.session import settled
 
 BLOCK_ROWS = 4096
-QUERY_ROWS = 512
+# Queries of one block: every candidate block is sent to each of them once.
+QUERY_ROWS = 4096
 LANES = 32
 # Dimensions that are accumulated between two compactions.
 STEP = 8
@@ -61,11 +62,13 @@ def _blocks(rows_per_block: int):
             grid = np.zeros((width, len(vectors)), dtype=np.int64)
             for at, vector in enumerate(vectors):
                 grid[:len(vector), at] = vector
+            grid = narrowed(grid)
             return pa.RecordBatch.from_arrays(
                 [pa.array([len(keys)], pa.int32()), pa.array([width], pa.int32()),
+                 pa.array([grid.itemsize], pa.int32()),
                  pa.array([np.array(keys, dtype="<i8").tobytes()], pa.binary()),
                  pa.array([grid.tobytes()], pa.binary())],
-                names=["n", "width", "keys", "grid"])
+                names=["n", "width", "bytes", "keys", "grid"])
 
         for batch in batches:
             lists = batch.column(1)
@@ -83,7 +86,20 @@ def _blocks(rows_per_block: int):
     return run
 
 
-_BLOCK = "n int, width int, keys binary, grid binary"
+_BLOCK = "n int, width int, bytes int, keys binary, grid binary"
+
+
+def narrowed(grid: np.ndarray) -> np.ndarray:
+    """The same integers in as few bytes each as hold them all."""
+    for kind in (np.int8, np.int16, np.int32):
+        if not grid.size or (grid.max() <= np.iinfo(kind).max and grid.min() >= np.iinfo(kind).min):
+            return grid.astype(kind)
+    return grid
+
+
+def widened(grid: bytes, item_bytes: int, width: int, n: int) -> np.ndarray:
+    """A narrowed grid as 64-bit integers, a row per dimension."""
+    return np.frombuffer(grid, dtype=f"<i{item_bytes}").reshape(width, n).astype(np.int64)
 
 
 def _query_block(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -113,9 +129,9 @@ class Best:
 class Block:
     """Candidates in vertical layout, with the squared lengths of what follows each step."""
 
-    def __init__(self, n: int, width: int, keys: bytes, grid: bytes, step: int = STEP):
+    def __init__(self, n: int, width: int, keys: bytes, grid: bytes, step: int = STEP, item_bytes: int = 8):
         self.keys = np.frombuffer(keys, dtype="<i8")
-        self.grid = np.frombuffer(grid, dtype=np.int64).reshape(width, n)
+        self.grid = widened(grid, item_bytes, width, n)
         self.cuts = list(range(0, width, step)) + [width]
         masses = [np.square(self.grid[a:b].astype(np.float64)).sum(axis=0)
                   for a, b in zip(self.cuts[:-1], self.cuts[1:])]
@@ -171,12 +187,12 @@ def _streams(k: int):
                     if place is not None:
                         yield result()
                     place = (row["query_block"], row["lane"])
-                    grid = np.frombuffer(row["grid"], dtype=np.int64).reshape(row["width"], row["n"])
+                    grid = widened(row["grid"], row["bytes"], row["width"], row["n"])
                     queries = (np.frombuffer(row["keys"], dtype="<i8").tolist(),
                                np.ascontiguousarray(grid.T))
                     found = [Best(k) for _ in queries[0]]
                 elif place == (row["query_block"], row["lane"]):
-                    block = Block(row["n"], row["width"], row["keys"], row["grid"])
+                    block = Block(row["n"], row["width"], row["keys"], row["grid"], item_bytes=row["bytes"])
                     for own, query, best in zip(*queries, found):
                         block.search(query, own, best)
         if place is not None:
@@ -207,11 +223,11 @@ def top_products(vectors: DataFrame, queries: Column, k: int = 20, lanes: int =
                    .withColumn("block", F.monotonically_increasing_id()), "vector-blocks")
     lanes = max(1, min(lanes, kept.count()))
     lane = F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane")
-    first = asked.select("query_block", lane, F.lit(0).alias("late"), "n", "width", "keys", "grid")
+    first = asked.select("query_block", lane, F.lit(0).alias("late"), "n", "width", "bytes", "keys", "grid")
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(query_blocks - 1).cast("bigint")))
     rest = kept.select(every.alias("query_block"),
                        F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int").alias("lane"),
-                       F.lit(1).alias("late"), "n", "width", "keys", "grid")
+                       F.lit(1).alias("late"), "n", "width", "bytes", "keys", "grid")
     partial = (first.unionByName(rest).repartition("query_block", "lane")
                .sortWithinPartitions("query_block", "lane", "late")
                .mapInArrow(_streams(k), _RESULT))
