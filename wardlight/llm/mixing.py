@@ -41,7 +41,9 @@ WEIGHTS = (5, 2, 1)
 # Documents of one block, on average.
 BLOCK_DOCS = 512
 # Words of one output shard, about; their number is a power of two.
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 24
+# Levels of the tree that one plan works; their counts are then written.
+_LEVELS = 3
 
 
 @dataclass(frozen=True)
@@ -219,45 +221,62 @@ def _hypergeometric(mine: Column, others: Column, room: Column, *salt: Column) -
     def real(value: Column) -> Column:
         return value.cast("double")
 
-    total = mine + others
-    low, high = F.greatest(F.lit(0), room - others), F.least(mine, room)
-    mode = F.greatest(low, F.least(high, F.floor(
-        (room + F.lit(1.0)) * (mine + F.lit(1.0)) / (total + F.lit(2.0))).cast("bigint"))).cast("bigint")
-    share = real(mine) / F.greatest(total, F.lit(1))
-    spread = F.sqrt(F.greatest(F.lit(0.0), real(room) * share * (F.lit(1.0) - share)
-                               * real(total - room) / F.greatest(total - 1, F.lit(1))))
-    steps = F.sequence(F.lit(1), (F.ceil(spread * 10) + 64).cast("int"))
-
-    def start(**more: Column) -> Column:
-        return F.struct(mode.alias("up"), mode.alias("down"), F.lit(1.0).alias("w_up"),
-                        F.lit(1.0).alias("w_down"), *(c.alias(n) for n, c in more.items()))
-
-    def weights(acc: Column) -> tuple[Column, Column]:
-        up, down, apart = real(acc["up"]), real(acc["down"]), real(others) - real(room)
-        return (acc["w_up"] * (real(mine) - up) * (real(room) - up) / ((up + 1) * (apart + up + 1)),
-                acc["w_down"] * down * (apart + down) / ((real(mine) - down + 1) * (real(room) - down + 1)))
-
-    def moved(acc: Column, **more: Column) -> Column:
-        above, below = weights(acc)
-        return F.struct((acc["up"] + 1).alias("up"), (acc["down"] - 1).alias("down"), above.alias("w_up"),
-                        below.alias("w_down"), *(c.alias(n) for n, c in more.items()))
-
-    def added(acc: Column, _: Column) -> Column:
-        above, below = weights(acc)
-        return moved(acc, sum=acc["sum"] + above + below)
-
-    def sought(acc: Column, _: Column) -> Column:
-        above, below = weights(acc)
-        left = acc["left"] - above
-        found = (F.when(acc["found"] >= 0, acc["found"]).when(left < 0, acc["up"] + 1)
-                 .when(left - below < 0, acc["down"] - 1).otherwise(F.lit(-1).cast("bigint")))
-        return moved(acc, left=left - below, found=found)
-
-    whole = F.aggregate(steps, start(sum=F.lit(1.0)), added)["sum"]
-    at = _uniform(*salt) * whole
-    drawn = F.aggregate(steps, start(left=at - 1, found=F.when(at < 1, mode).otherwise(
-        F.lit(-1).cast("bigint"))), sought)["found"]
-    return F.greatest(low, F.least(high, F.when(drawn >= 0, drawn).otherwise(mode))).cast("bigint")
+    def first(b: Column) -> Column:
+        """The most likely count, the steps to take from it, and the counts that are possible."""
+        total = b["mine"] + b["others"]
+        low, high = F.greatest(F.lit(0), b["room"] - b["others"]), F.least(b["mine"], b["room"])
+        near = F.floor((b["room"] + F.lit(1.0)) * (b["mine"] + F.lit(1.0)) / (total + F.lit(2.0)))
+        share = real(b["mine"]) / F.greatest(total, F.lit(1))
+        spread = F.sqrt(F.greatest(F.lit(0.0), real(b["room"]) * share * (F.lit(1.0) - share)
+                                   * real(total - b["room"]) / F.greatest(total - 1, F.lit(1))))
+        return F.struct(
+            real(b["mine"]).alias("mine"), real(b["room"]).alias("room"),
+            real(b["others"] - b["room"]).alias("apart"), low.cast("bigint").alias("low"),
+            high.cast("bigint").alias("high"), b["share"].alias("share"),
+            F.greatest(low, F.least(high, near.cast("bigint"))).cast("bigint").alias("mode"),
+            F.sequence(F.lit(1), (F.ceil(spread * 10) + 64).cast("int")).alias("steps"))
+
+    def draw(b: Column) -> Column:
+        def start(**more: Column) -> Column:
+            return F.struct(b["mode"].alias("up"), b["mode"].alias("down"), F.lit(1.0).alias("w_up"),
+                            F.lit(1.0).alias("w_down"), *(c.alias(n) for n, c in more.items()))
+
+        def moved(acc: Column, _: Column) -> Column:
+            up, down = real(acc["up"]), real(acc["down"])
+            above = acc["w_up"] * (b["mine"] - up) * (b["room"] - up) / ((up + 1) * (b["apart"] + up + 1))
+            below = acc["w_down"] * down * (b["apart"] + down) / (
+                (b["mine"] - down + 1) * (b["room"] - down + 1))
+            return F.struct((acc["up"] + 1).alias("up"), (acc["down"] - 1).alias("down"), above.alias("w_up"),
+                            below.alias("w_down"), acc["sum"].alias("sum"), acc["found"].alias("found"))
+
+        def added(acc: Column, _: Column) -> Column:
+            return bound(moved(acc, _), lambda m: F.struct(
+                *(m[n].alias(n) for n in ("up", "down", "w_up", "w_down")),
+                (m["sum"] + m["w_up"] + m["w_down"]).alias("sum"), m["found"].alias("found")))
+
+        def sought(acc: Column, _: Column) -> Column:
+            return bound(moved(acc, _), lambda m: F.struct(
+                *(m[n].alias(n) for n in ("up", "down", "w_up", "w_down")),
+                (m["sum"] - m["w_up"] - m["w_down"]).alias("sum"),
+                F.when(m["found"] >= 0, m["found"]).when(m["sum"] < m["w_up"], m["up"])
+                .when(m["sum"] < m["w_up"] + m["w_down"], m["down"]).otherwise(none).alias("found")))
+
+        none = F.lit(-1).cast("bigint")
+        whole = F.aggregate(b["steps"], start(sum=F.lit(1.0), found=none), added)["sum"]
+        left = b["share"] * whole - 1
+        found = bound(left, lambda rest: F.aggregate(b["steps"], start(
+            sum=rest, found=F.when(rest < 0, b["mode"]).otherwise(none)), sought)["found"])
+        return bound(found, lambda k: F.greatest(b["low"], F.least(b["high"], F.when(
+            k >= 0, k).otherwise(b["mode"]))).cast("bigint"))
+
+    given = F.struct(mine.alias("mine"), others.alias("others"), room.alias("room"),
+                     _uniform(*salt).alias("share"))
+    return bound(bound(given, first), draw)
+
+
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out, and written in the plan, once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
@@ -299,6 +318,8 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
                          F.col("part.far").alias("units")))).alias("child"),
             F.col("part.mix_source").alias("mix_source")).select(
             "child.node", "mix_source", "child.units").where(F.col("units") > 0)
+        if level % _LEVELS == _LEVELS - 1:
+            nodes = settled(nodes, "mix-nodes")
     return nodes.withColumnRenamed("node", "shard")
 
 
