@@ -2,6 +2,15 @@
 
 Every stage reads what its predecessor wrote; ``run`` writes each stage's rows
 to the shared folder and reads them again, as a scheduler of stages would.
+
+Defined cases, in every stage but the last: the columns of ``docs`` come back as
+they are, whatever their names. Null or empty text fails the quality rules and
+goes there; given to a later stage it stays: it has no line to lose, resembles
+nothing, and is never taken by the mix, as is a text without words. Repeated rows
+are judged each, lose the same lines, stay together if their document stays, and
+are mixed each. A null ``doc_id`` is no document of its own to the line and
+similarity stages, which keep it; a null source is a source. An empty table gives
+an empty one. The last stage packs a null text as an empty one.
 """
 
 from __future__ import annotations
