@@ -151,3 +151,19 @@ def test_unlinked_texts_of_one_passage_give_few_pairs(spark, documents, prose, m
 
     few, many = pairs(500), pairs(2000)
     assert many <= 6 * few and many <= 20 * 2000
+
+
+def test_a_block_with_few_partners_on_average_is_left_whole():
+    """One member meets all others, which differ among themselves: one round settles the block."""
+    n = 9
+    docs, block = np.arange(n), np.zeros(n, dtype=int)
+    sketches = np.zeros((n, 8), dtype=np.uint64)
+    sketches[1:] = (np.arange(1, n, dtype=np.uint64)[:, None] == np.arange(1, 9, dtype=np.uint64)) * np.uint64(0x7F)
+    sizes = np.full(n, 100)
+    args = (docs, docs, sizes, block, sketches, 0, 0, 90)
+    assert P.near_in_block(*args, 1) == ([0] * 8, list(range(1, 9)), False)
+    # Where all meet all, the nearest are left, and the rest is said to be missing.
+    sketches[:] = 0
+    a, b, cut = P.near_in_block(*args, 2)
+    assert cut and len(a) == len(b) == 2 * (n - 2) + 1
+    assert [len(P.near_in_block(*args, reach)[0]) for reach in (4, None)] == [36, 36]

@@ -12,8 +12,9 @@ an exclusive-or checksum of the part's shingles, are the join key.
 3. Members of a key are compared with its smallest member, and linked ones joined
    into components. Only keys whose members still lie in several components need
    more: there, members of different components are compared within bounded
-   blocks by folded sketches, nearest first, in rounds of growing reach. If a member still
-   had more partners than the widest reach, a last round without any compares
+   blocks by folded sketches. A block whose members have few partners on average gives
+   all of them at once; others give each member's nearest, in rounds of growing reach. If
+   a block still had more than the widest reach, a last round without any compares
    everything that is left, so no link is lost, and a large group of near copies
    never becomes all its pairs.
 4. Candidate pairs are cut by size and by sketch distance, then verified on the
@@ -47,7 +48,8 @@ from wardlight.session import settled
 
 # Similarity in percent, and words of a shingle.
 SIMILARITY, WORDS = 90, 3
-# Members that one block compares, and how many nearest ones a member meets per round.
+# Members that one block compares, and how many partners a member meets per round, on average
+# or, where that is too few, at most.
 BLOCK = 1024
 REACH = (8, 64, 512, BLOCK)
 _BAND = 1.5
@@ -296,12 +298,13 @@ _PLACED = ["part_key", "left", "right", "block", "band", "doc", "root", "size",
 
 def near_in_block(docs, roots, sizes, block, sketches, left: int, right: int, percent: int,
                   reach: int | None) -> tuple[list[int], list[int], bool]:
-    """Pairs of different components that may be similar, each member's ``reach`` nearest, or all.
+    """Pairs of different components that may be similar, and whether any were left out.
 
-    Members of block ``left`` meet those of block ``right``; within one block
-    each pair is met once. ``sketches`` may be folded alike.
+    All are given if they are ``reach`` a member or fewer on average, or if there is no
+    reach; else each member's ``reach`` nearest. Members of block ``left`` meet those of
+    block ``right``; within one block each pair is met once. ``sketches`` may be folded alike.
     """
-    out_a, out_b, cut = [], [], False
+    found, out_a, out_b = [], [], []
     others = np.flatnonzero(block == right)
     for i in np.flatnonzero(block == left):
         js = others[roots[others] != roots[i]]
@@ -312,9 +315,11 @@ def near_in_block(docs, roots, sizes, block, sketches, left: int, right: int, pe
         js, limit = js[close], limit[close]
         apart = np.bitwise_count(sketches[js] ^ sketches[i]).sum(axis=1, dtype=np.int64)
         close = apart <= limit
-        js, apart = js[close], apart[close]
-        if reach is not None and len(js) > reach:
-            js, cut = js[np.argsort(apart, kind="stable")[:reach]], True
+        found.append((i, js[close], apart[close]))
+    cut = reach is not None and sum(len(js) for _, js, _ in found) > reach * len(found)
+    for i, js, apart in found:
+        if cut and len(js) > reach:
+            js = js[np.argsort(apart, kind="stable")[:reach]]
         out_a += [int(docs[i])] * len(js)
         out_b += docs[js].tolist()
     return out_a, out_b, cut
@@ -410,7 +415,7 @@ def similarity_classes(docs: DataFrame, percent: int = SIMILARITY, words: int =
                .groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("doc")))
     classes = settled(classes, "parity-classes")
     # Keys move only once they are known to be shared, so the list of representatives comes to them.
-    speakers = settled(classes.select(F.col("doc").alias("doc_id")).distinct(), "parity-speakers")
+    speakers = classes.select(F.col("doc").alias("doc_id"))
     keyed = with_few(features.select("doc_id", "part_keys"), speakers, "doc_id", "left_semi").select(
         F.explode("part_keys").alias("part_key"), F.col("doc_id").alias("doc"))
     # A count alone is the smallest row to shuffle; most keys occur once.
@@ -435,17 +440,18 @@ def _roots(members: DataFrame, texts: DataFrame, percent: int, words: int) -> Da
     first = members.groupBy("part_key").agg(F.min("doc").alias("a"))
     pairs = (members.join(first, "part_key").where(F.col("doc") != F.col("a"))
              .select("a", F.col("doc").alias("b"), band).distinct())
-    links = settled(linked_pairs(pairs, sketches, texts, percent, words), "parity-links")
-    roots = settled(components(links), "parity-roots")
+    roots = components(linked_pairs(pairs, sketches, texts, percent, words))
     for reach in (*REACH, None):
         open_pairs = settled(_open_pairs(members, roots, sketches, percent, reach), "parity-open")
         if open_pairs.isEmpty():
             break
         whole = open_pairs.where("cut").isEmpty()
-        more = linked_pairs(open_pairs.select("a", "b", "band").distinct(), sketches, texts,
-                            percent, words)
-        links = settled(links.unionByName(more).distinct(), "parity-links")
-        roots = settled(components(links), "parity-roots")
+        more = settled(linked_pairs(open_pairs.select("a", "b", "band").distinct(), sketches, texts,
+                                    percent, words), "parity-links")
+        if not more.isEmpty():
+            # A member on its root says all that its earlier links did.
+            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+                               .unionByName(more))
         if whole:
             break
     return roots
