@@ -92,3 +92,43 @@ def test_repeated_rows_nothing_to_learn_and_empty(spark, documents):
     alone = G.score_documents(documents((held, "a b"))).collect()
     assert [(r.train_tokens, r.n_known, r.base_score, r.score) for r in alone] == [(0, 0, 0.0, 0.0)]
     assert G.score_documents(documents()).count() == 0
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    found = (files.apply(i) for i in range(files.size()))
+    return {f.getName(): f.length() for f in found if f.getName().startswith("shuffle_")}
+
+
+def test_shuffled_requests_do_not_wait_for_the_garbage_collector(spark, documents):
+    """What stays are the shuffles of a few sums, a small part of what was asked and answered."""
+    import time
+
+    before = shuffle_files(spark)
+    G.score_documents(documents(*corpus(1500)), chunk_tokens=1000)
+    for _ in range(50):
+        left = sum(n for name, n in shuffle_files(spark).items() if name not in before)
+        if left < 10_000:
+            break
+        time.sleep(0.1)
+    assert left < 10_000
+
+
+def test_settling_alone_leaves_the_session_as_it_was(spark):
+    from pyspark.sql import functions as F
+
+    from wardlight import session
+
+    rows = spark.range(3)
+    held = spark.conf.get(session._CLEANUP, None)
+    try:
+        for value in ("false", "true"):
+            spark.conf.set(session._CLEANUP, value)
+            assert session.settled_alone(rows, "as-it-was").count() == 3
+            with pytest.raises(Exception):
+                session.settled_alone(rows.select(F.raise_error(F.lit("no"))), "as-it-was")
+            assert spark.conf.get(session._CLEANUP) == value
+    finally:
+        spark.conf.unset(session._CLEANUP)
+    session.settled_alone(rows, "as-it-was")
+    assert spark.conf.get(session._CLEANUP, None) == held

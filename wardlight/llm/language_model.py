@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, functions as F
 from wardlight.llm.arrays import loosened, sorted_counts, squeezed, steps
 from wardlight.llm.quality import joined
 from wardlight.llm.words import as_bytes, each_row, grouped_words, mixed
-from wardlight.session import settled
+from wardlight.session import settled, settled_alone
 
 # Tokens of one chunk, at most (one longer text alone is a chunk), and of one range, about.
 CHUNK_TOKENS = 1_000_000
@@ -413,7 +413,7 @@ def score_documents(docs: DataFrame, folds: int = 7, held: int = 2, tuned: int =
     tokens = sum(r["n"] for r in chunks.mapInArrow(_token_totals, "n bigint").groupBy().agg(
         F.sum("n").alias("n")).collect() if r["n"])
     ranges = 1 << max(0, (tokens // RANGE_TOKENS)).bit_length()
-    answers = settled(
+    answers = settled_alone(
         chunks.mapInArrow(_request_rows(ranges), _REQUEST).groupBy("range").applyInArrow(
             _answer_range, _ANSWER), "lm-answers")
     sums = answers.where(F.col("kind") == 0).agg(
@@ -428,7 +428,7 @@ def score_documents(docs: DataFrame, folds: int = 7, held: int = 2, tuned: int =
         "chunk", F.lit(1).alias("late"), F.lit(0).alias("kind"), F.lit(0).alias("range"),
         nothing.alias("trained"), nothing.alias("folded"), "doc_ids", "parts", "lengths",
         "vocabulary", "tokens")
-    counted = settled(
+    counted = settled_alone(
         first.unionByName(last).repartition("chunk").sortWithinPartitions("chunk", "late")
         .mapInArrow(_count_tokens(totals), _COUNTED), "lm-counted")
     cells = counted.select("histogram").mapInArrow(
